@@ -9,14 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Spark alone would also take "12.5f"; a recorded number never has a suffix.
-NUMERIC_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+def to_number(text: Column) -> Column:
+    """Double, or NULL for text that is not a plain decimal number.
 
+    ``text`` is referenced several times: name it in a projection before. The cast
+    alone would also take ``12.5f``, ``NaN`` and hexadecimal numbers.
+    """
+    plain = F.right(text, F.lit(1)).between(".", "9") & ~text.contains("x") & ~text.contains("X")
+    return F.when(plain, text.try_cast("double"))
 
-def to_number(text: Column) -> Column:
-    """Double, or NULL for blank, malformed or NaN text."""
-    bare = F.btrim(text, F.lit(" \t\r"))
-    return F.when(bare.rlike(NUMERIC_TEXT), bare.try_cast("double"))
+
+def bare_text(text: Column) -> Column:
+    return F.btrim(text, F.lit(" \t\r"))
 
 
 def drop_sentinels(value: Column, sentinels: Sequence[float]) -> Column:

@@ -16,9 +16,8 @@ MINUTE = 60 * SECOND
 HOUR = 60 * MINUTE
 DAY = 24 * HOUR
 
-# Fixed values.
+# Fixed value.
 TAI_OFFSET_SECONDS = 37
-TWO_DIGIT_YEAR_PIVOT = 69  # 69-99 are 19xx, 00-68 are 20xx
 
 
 def micros(step: timedelta) -> int:
@@ -85,79 +84,49 @@ def fractional_hour(ts: Column) -> Column:
     return F.hour(ts) + F.minute(ts) / F.lit(60.0)
 
 
-def _clock(parts: Column, year: Column, month: int, day: int, first_clock: int) -> Column:
-    """Timestamp from matched text parts; absent clock parts are zero."""
+_TIME = r"\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,6})?"
+_YEAR = r"(?!0000)(\d{4})"
+_DAY = r"(?: (?=[1-9](?:\D|$)))?(\d{1,2})"
 
-    def number(i: int) -> Column:
-        return F.trim(parts[i]).try_cast("int")
+# Pattern of a whole text, and how to say it in year-month-day order.
+_YEAR_FIRST = (rf"^{_YEAR}([-/])(\d{{1,2}})\2{_DAY}(?:(?:T|\s+)({_TIME}))?$", "$1-$3-$4 $5")
+_YEAR_LAST = (rf"^(\d{{1,2}})/(\d{{1,2}})/{_YEAR}(?:\s+({_TIME}))?$", "$3-$2-$1 $4")
+_SHORT_YEAR_19 = (rf"^(\d{{1,2}})/(\d{{1,2}})/(69|[7-9]\d)(?:\s+({_TIME}))?$", "19$3-$2-$1 $4")
+_SHORT_YEAR_20 = (rf"^(\d{{1,2}})/(\d{{1,2}})/([0-5]\d|6[0-8])(?:\s+({_TIME}))?$", "20$3-$2-$1 $4")
+_DOTTED = (rf"^{_YEAR}\.(\d{{1,2}})\.{_DAY}_({_TIME})$", "$1-$2-$3 $4")
+_ISO_T = (rf"^{_YEAR}-(\d{{1,2}})-{_DAY}T({_TIME})$", "$1-$2-$3 $4")
 
-    def clock(i: int) -> Column:
-        return F.coalesce(number(first_clock + i), F.lit(0))
 
-    fraction = F.rpad(parts[first_clock + 3], 6, "0").try_cast("int")
-    second = clock(2) + fraction / F.lit(SECOND).cast("decimal(7,0)")
-    made = F.try_make_timestamp_ntz(
-        year, number(month), number(day), clock(0), clock(1), second.cast("decimal(8,6)")
-    )
-    return F.when((clock(2) <= 59) & (year >= 1), made)
-
-
-def _parts(text: Column, pattern: str, groups: int) -> Column:
-    """Groups of a whole-string match as an array, NULL without a match."""
-    joined = F.regexp_replace(text, pattern, "|".join(f"${g}" for g in range(1, groups + 1)))
-    return F.when(text.rlike(pattern), F.split(joined, r"\|", -1))
-
-
-_TIME = r"(\d{1,2}):(\d{1,2}):(\d{1,2})(?:\.(\d{1,6}))?"
-_YEAR_FIRST = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2}| [1-9])(?:(?:T|\s+)" + _TIME + r")?$"
-_YEAR_LAST = r"^(\d{1,2})/(\d{1,2})/(\d{4}|\d{2})(?:\s+" + _TIME + r")?$"
-_DOTTED = r"^(\d{4})\.(\d{1,2})\.(\d{1,2}| [1-9])_" + _TIME + r"$"
-_ISO_T = r"^(\d{4})-(\d{1,2})-(\d{1,2}| [1-9])T" + _TIME + r"$"
-
-
-def _year_first(text: Column) -> Column:
-    p = _parts(text, _YEAR_FIRST, 8)
-    return _clock(p, p[0].try_cast("int"), 2, 3, 4)
-
-
-def _year_last(text: Column) -> Column:
-    p = _parts(text, _YEAR_LAST, 7)
-    raw = p[2].try_cast("int")
-    short = raw + F.when(raw >= TWO_DIGIT_YEAR_PIVOT, 1900).otherwise(2000)
-    return _clock(p, F.when(F.length(p[2]) == 2, short).otherwise(raw), 1, 0, 3)
-
-
-def _dotted(text: Column) -> Column:
-    p = _parts(text, _DOTTED, 7)
-    return _clock(p, p[0].try_cast("int"), 1, 2, 3)
-
-
-def _iso_t(text: Column) -> Column:
-    p = _parts(text, _ISO_T, 7)
-    return _clock(p, p[0].try_cast("int"), 1, 2, 3)
+def _read(text: Column, form: tuple[str, str]) -> Column:
+    """Timestamp of a text in one form, else NULL; ``text`` is referenced once."""
+    pattern, plain = form
+    return F.regexp_replace(F.regexp_substr(text, F.lit(pattern)), pattern, plain).try_cast("timestamp_ntz")
 
 
 def parse_tai(text: Column) -> Column:
     """``2024.01.01_00:00:37_TAI``, with or without a fraction; no offset applied."""
-    return F.when(text.contains("_TAI"), _dotted(F.replace(text, F.lit("_TAI"), F.lit(""))))
+    return F.when(text.contains("_TAI"), _read(F.replace(text, F.lit("_TAI"), F.lit("")), _DOTTED))
 
 
 def parse_datetime(text: Column) -> Column:
     """Any observation time written in an image header.
 
     TAI text, ISO with ``T`` (closing ``Z`` dropped), ``-`` or ``/`` dates with a
-    blank before the clock, day-first dates with two or four year digits, and
-    dates alone. Days, months and clocks need no leading zero.
+    blank before the clock, day-first dates with two (69-99 are 19xx) or four year
+    digits, and dates alone. Days, months and clocks need no leading zero.
     """
     bare = F.btrim(text, F.lit(" \t\r\n"))
     plain = F.when(bare.contains("T"), F.rtrim(bare, F.lit("Z"))).otherwise(bare)
-    return F.coalesce(parse_tai(bare), _year_first(plain), _year_last(plain))
+    return F.coalesce(
+        parse_tai(bare),
+        *[_read(plain, form) for form in (_YEAR_FIRST, _SHORT_YEAR_19, _SHORT_YEAR_20, _YEAR_LAST)],
+    )
 
 
 def parse_record_time(text: Column) -> Column:
     """Record time of the solar-disc imagers: TAI, ISO with ``T`` or dotted text."""
-    iso = F.when(text.contains("T"), _iso_t(F.replace(text, F.lit("Z"), F.lit(""))))
-    return F.coalesce(parse_tai(text), iso, _dotted(text))
+    iso = F.when(text.contains("T"), _read(F.replace(text, F.lit("Z"), F.lit("")), _ISO_T))
+    return F.coalesce(parse_tai(text), iso, _read(text, _DOTTED))
 
 
 def time_in_file_name(path: Column) -> Column:
@@ -167,7 +136,7 @@ def time_in_file_name(path: Column) -> Column:
     tai = F.regexp_extract(name, r"(\d{8}_\d{6})_TAI", 1)
     spread_iso = F.regexp_replace(iso, r"^(.{13})(..)(..)$", "$1:$2:$3")
     spread_tai = F.regexp_replace(tai, r"^(....)(..)(..)_(..)(..)(..)$", "$1-$2-$3T$4:$5:$6")
-    return F.coalesce(_iso_t(spread_iso), _iso_t(spread_tai))
+    return F.coalesce(_read(spread_iso, _ISO_T), _read(spread_tai, _ISO_T))
 
 
 def date_in_file_name(name: Column) -> Column:

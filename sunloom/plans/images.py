@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sunloom.functions.names import lasco_folder, sdo_folder, secchi_folder
 from sunloom.functions.times import ntz, parse_datetime, parse_record_time, tai_to_utc, time_in_file_name
 from sunloom.sinks.tables import InsertCounts, insert_ignore, quarantine, with_target_path
+from sunloom.sources.headers import keyword, with_keywords
 from sunloom.tables import TABLES, TableSpec
 
 # Classes of refused files.
@@ -21,117 +22,129 @@ NON_ZERO_QUALITY = "non_zero_quality"
 INVALID_TIME = "invalid_time"
 
 
-def _text(header: Column, *keys: str) -> Column:
-    """First non-empty value of the keys."""
-    return F.coalesce(*[F.nullif(header[k], F.lit("")) for k in keys])
+# Header keywords read, in order of preference where several serve.
+SDO_KEYWORDS = ("T_REC", "QUALITY", "TELESCOP", "WAVELNTH", "CONTENT")
+CAMERA_KEYWORDS = (
+    "T_REC", "T_OBS", "DATE-OBS", "DATE_OBS", "TIME-OBS", "TIME_OBS",
+    "DETECTOR", "EXPTIME", "EXP_TIME", "FILTER", "FILTER1", "WAVELNTH",
+)
 
 
-def _number(header: Column, *keys: str) -> Column:
-    """First non-zero number of the keys; zero counts as absent."""
-    return F.coalesce(*[F.nullif(header[k].try_cast("double"), F.lit(0.0)) for k in keys])
+def _text(*keys: str) -> Column:
+    """First non-empty value of the keyword columns."""
+    return F.coalesce(*[F.nullif(F.col(f"`{k}`"), F.lit("")) for k in keys])
+
+
+def _number(*keys: str) -> Column:
+    """First non-zero number of the keyword columns; zero counts as absent."""
+    return F.coalesce(*[F.nullif(F.col(f"`{k}`").try_cast("double"), F.lit(0.0)) for k in keys])
 
 
 def _whole(number: Column) -> Column:
     return number.try_cast("int")
 
 
-def observation_time(header: Column, path: Column) -> Column:
+def observation_time(path: Column) -> Column:
     """Record or observation time, else date with or without time, else the file name."""
-    day, clock = _text(header, "DATE-OBS", "DATE_OBS"), _text(header, "TIME-OBS", "TIME_OBS")
+    day, clock = _text("DATE-OBS", "DATE_OBS"), _text("TIME-OBS", "TIME_OBS")
     dated = F.when(clock.isNotNull(), F.concat_ws(" ", day, clock)).otherwise(day)
     return F.coalesce(
-        parse_datetime(_text(header, "T_REC", "T_OBS")),
+        parse_datetime(_text("T_REC", "T_OBS")),
         F.when(day.isNotNull(), parse_datetime(dated)),
         time_in_file_name(path),
     )
 
 
-def classify_sdo(units: DataFrame, check_quality: bool = True, has_data: Column | None = None) -> DataFrame:
+def classify_sdo(units: DataFrame, check_quality: bool = True, has_data: str | None = None) -> DataFrame:
     """``error`` (NULL if valid) and the catalogue columns of a solar-disc image.
 
-    The second header is used if it carries a record time. ``has_data`` says
-    whether pixels were found; without it that check is left out. ``datetime`` is
-    as recorded, not yet shifted to UTC.
+    The second header is used if it carries a record time. The boolean column
+    ``has_data`` says whether pixels were found; without it that check is left
+    out. ``datetime`` is as recorded, not yet shifted to UTC.
     """
-    record = _text(F.col("unit1"), "T_REC")
-    chosen = units.withColumn("_h", F.when(record.isNotNull(), F.col("unit1")).otherwise(F.col("unit0")))
-    h = F.col("_h")
-    when = parse_record_time(h["T_REC"])
-    quality = h["QUALITY"].try_cast("double")
-    wavelength_text, content = _text(h, "WAVELNTH"), _text(h, "CONTENT")
-    wavelength = wavelength_text.try_cast("double")
-    absent = h["T_REC"].isNull() | h["QUALITY"].isNull() | h["TELESCOP"].isNull()
-    empty = F.lit(False) if has_data is None else ~F.coalesce(has_data, F.lit(False))
-    flagged = F.coalesce(quality != 0, F.lit(True)) if check_quality else F.lit(False)
+    second = F.coalesce(keyword(F.col("unit1"), "T_REC") != "", F.lit(False))
+    chosen = units.withColumn("_h", F.when(second, F.col("unit1")).otherwise(F.col("unit0")))
+    read = with_keywords(chosen, "_h", SDO_KEYWORDS)
+    read = read.withColumns(
+        {
+            "datetime": parse_record_time(F.col("T_REC")),
+            "_quality": F.col("QUALITY").try_cast("double"),
+            "_wavelength": _text("WAVELNTH").try_cast("double"),
+            "content": _text("CONTENT"),
+        }
+    )
+    absent = F.col("T_REC").isNull() | F.col("QUALITY").isNull() | F.col("TELESCOP").isNull()
+    empty = ~F.coalesce(F.col(has_data), F.lit(False)) if has_data else F.lit(False)
+    flagged = F.coalesce(F.col("_quality") != 0, F.lit(True)) if check_quality else F.lit(False)
     error = (
         F.when(F.col("unit0").isNull(), INVALID_FILE)
-        .when(absent | when.isNull(), INVALID_HEADER)
+        .when(absent | F.col("datetime").isNull(), INVALID_HEADER)
         .when(empty, INVALID_DATA)
         .when(flagged, NON_ZERO_QUALITY)
-        .when(wavelength_text.isNotNull() & wavelength.isNull(), INVALID_HEADER)
+        .when(_text("WAVELNTH").isNotNull() & F.col("_wavelength").isNull(), INVALID_HEADER)
     )
-    telescope = F.when(F.upper(h["TELESCOP"]).contains("AIA"), "aia").otherwise("hmi")
-    lowered = F.lower(content)
+    lowered = F.lower("content")
     # The header does not tell the two magnetogram cadences apart.
     hmi = (
-        F.when(content.isNull() | lowered.contains("magnetogram"), "m_45s")
+        F.when(lowered.isNull() | lowered.contains("magnetogram"), "m_45s")
         .when(lowered.contains("continuum"), "ic_45s")
         .otherwise(F.replace(lowered, F.lit(" "), F.lit("_")))
     )
-    whole = F.when(wavelength != 0, _whole(wavelength))
-    found = chosen.select(
-        *[c for c in units.columns if c not in ("unit0", "unit1", "content")],
-        error.alias("error"),
-        telescope.alias("telescope"),
-        F.when(telescope == "aia", whole.cast("string")).otherwise(hmi).alias("channel"),
-        when.alias("datetime"),
-        _whole(quality).alias("quality"),
-        whole.alias("wavelength"),
-        content.alias("content"),
+    judged = read.withColumns(
+        {
+            "error": error,
+            "telescope": F.when(F.upper("TELESCOP").contains("AIA"), "aia").otherwise("hmi"),
+            "wavelength": F.when(F.col("_wavelength") != 0, _whole(F.col("_wavelength"))),
+        }
     )
-    derived = ("telescope", "channel", "datetime", "quality", "wavelength", "content")
-    return found.select(
-        *[c for c in found.columns if c not in derived],
-        *[F.when(F.col("error").isNull(), F.col(c)).alias(c) for c in derived],
+    valid = F.col("error").isNull()
+    channel = F.when(F.col("telescope") == "aia", F.col("wavelength").cast("string")).otherwise(hmi)
+    return judged.select(
+        *[c for c in units.columns if c not in ("unit0", "unit1")],
+        "error",
+        F.when(valid, F.col("telescope")).alias("telescope"),
+        F.when(valid, channel).alias("channel"),
+        F.when(valid, F.col("datetime")).alias("datetime"),
+        F.when(valid, _whole(F.col("_quality"))).alias("quality"),
+        F.when(valid, F.col("wavelength")).alias("wavelength"),
+        F.when(valid, F.col("content")).alias("content"),
     )
 
 
-def _camera_error(when: Column) -> Column:
-    return F.when(F.col("unit0").isNull(), INVALID_FILE).when(when.isNull(), INVALID_TIME)
+def _camera_headers(units: DataFrame) -> DataFrame:
+    read = with_keywords(units, "unit0", CAMERA_KEYWORDS).withColumn("datetime", observation_time(F.col("path")))
+    error = F.when(F.col("unit0").isNull(), INVALID_FILE).when(F.col("datetime").isNull(), INVALID_TIME)
+    return read.withColumn("error", error)
 
 
 def lasco_records(units: DataFrame, camera: str | None = None) -> DataFrame:
     """Coronagraph records; a given camera wins over the header's detector."""
-    h = F.col("unit0")
-    when = observation_time(h, F.col("path"))
-    return units.select(
+    return _camera_headers(units).select(
         "path",
-        _camera_error(when).alias("error"),
-        F.coalesce(F.lit(camera), F.lower(_text(h, "DETECTOR"))).alias("camera"),
-        when.alias("datetime"),
+        "error",
+        F.coalesce(F.lit(camera), F.lower(_text("DETECTOR"))).alias("camera"),
+        "datetime",
         F.col("path").alias("file_path"),
-        _number(h, "EXPTIME", "EXP_TIME").alias("exposure_time"),
-        _text(h, "FILTER", "FILTER1").alias("filter"),
+        _number("EXPTIME", "EXP_TIME").alias("exposure_time"),
+        _text("FILTER", "FILTER1").alias("filter"),
     )
 
 
 def secchi_records(units: DataFrame, datatype: Column, spacecraft: Column, instrument: str | None = None) -> DataFrame:
     """Records of the twin spacecraft; only the EUV imager has a channel."""
-    h = F.col("unit0")
-    when = observation_time(h, F.col("path"))
-    detector = F.lower(F.coalesce(h["DETECTOR"], F.lit("")))
-    wavelength = _whole(_number(h, "WAVELNTH"))
-    return units.select(
+    detector = F.lower(F.coalesce(F.col("DETECTOR"), F.lit("")))
+    wavelength = _whole(_number("WAVELNTH"))
+    return _camera_headers(units).select(
         "path",
-        _camera_error(when).alias("error"),
+        "error",
         datatype.alias("datatype"),
         spacecraft.alias("spacecraft"),
         F.coalesce(F.lit(instrument), detector).alias("instrument"),
         F.when(detector == "euvi", wavelength.cast("string")).alias("channel"),
-        when.alias("datetime"),
+        "datetime",
         F.col("path").alias("file_path"),
-        _number(h, "EXPTIME", "EXP_TIME").alias("exposure_time"),
-        _text(h, "FILTER", "FILTER1").alias("filter"),
+        _number("EXPTIME", "EXP_TIME").alias("exposure_time"),
+        _text("FILTER", "FILTER1").alias("filter"),
         wavelength.alias("wavelength"),
     )
 

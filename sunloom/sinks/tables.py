@@ -12,7 +12,7 @@ from sunloom.functions.names import child
 from sunloom.functions.times import ntz
 from sunloom.operators.inserts import accept_in_order, first_per_key, without_known
 from sunloom.session import materialise
-from sunloom.tables import TableSpec, conform, read_table, split_unkeyed, table_path, with_partition
+from sunloom.tables import TableSpec, conform, ensure_tables, read_table, split_unkeyed, table_path, with_partition
 
 
 def _store(df: DataFrame, spec: TableSpec, root: str, mode: str) -> None:
@@ -84,6 +84,7 @@ def insert_ignore(batch: DataFrame, spec: TableSpec, root: str, ordinal: Sequenc
     lo, hi, offered = staged.agg(F.min("datetime"), F.max("datetime"), F.count("*")).first()
     if not offered:
         return InsertCounts(0, 0)
+    ensure_tables(spark, root, [spec])
     stored = read_table(spark, root, spec)
     if spec.unique:
         existing = stored.select(*spec.key, *spec.unique)

@@ -1,37 +1,54 @@
 """Image headers: 80-character cards in 2880-byte blocks.
 
-The cards are cut and read by column expressions. Python only fetches the
-header bytes of a file, so a large image is never read whole.
+A unit's header becomes one text column, a ``KEYWORD<TAB>value`` line per card, from
+which ``keyword`` picks values; all by column expressions. Python only fetches the
+header bytes of stored files, so a large image is never read whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sunloom.functions.stages import computed_once
+
 CARD = 80
 BLOCK = 2880
+_END = r"(?s)^(?:.{80})*?END {77}"
+_VALUE_CARD = (
+    r"(?m)^(?=[^\n]{8}= )([^ \n]+) *= *(?:'((?:[^'\n]|'')*+)'[^\n]*|([^'/ \n][^/\n]*?) *(?:/[^\n]*)?)\n"
+)
 
 
-def _header_end(handle) -> bytes:
-    """Blocks from the current position through the one that holds END."""
+def _header_bytes(handle) -> bytes:
+    """Blocks from here through the one with the END card."""
     head = b""
     while True:
         block = handle.read(BLOCK)
         head += block
-        cards = (block[i : i + CARD] for i in range(0, len(block), CARD))
-        if len(block) < BLOCK or any(c.rstrip() == b"END" for c in cards):
+        if len(block) < BLOCK or re.search(rb"^(?:.{80})*?END {77}", block, re.S):
             return head
 
 
-def fetch_header_bytes(files: DataFrame, path: str = "path") -> DataFrame:
-    """``(path, content)`` with the first header, and the second where data units are empty.
+def _data_blocks(head: bytes) -> int:
+    """Blocks of pixels behind a header."""
+    sizes = dict(re.findall(rb"(BITPIX|NAXIS\d*) *= *(-?\d+)", head))
+    if not int(sizes.get(b"NAXIS", 0)):
+        return 0
+    size = abs(int(sizes.get(b"BITPIX", 8))) // 8
+    for i in range(1, int(sizes[b"NAXIS"]) + 1):
+        size *= int(sizes.get(b"NAXIS%d" % i, 0))
+    return -(-size // BLOCK)
+
 
-    The store is opened by its address (local, HDFS, S3 ...). A file that cannot
-    be read has NULL content.
+def fetch_headers(files: DataFrame, path: str = "path") -> DataFrame:
+    """``(path, head0, head1)``: header bytes of the first two units, NULL if unreadable or absent.
+
+    The store is opened by its address (local, HDFS, S3 ...); pixels are skipped.
     """
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,73 +60,75 @@ def fetch_header_bytes(files: DataFrame, path: str = "path") -> DataFrame:
                 try:
                     store, key = fs.FileSystem.from_uri(address)
                     with store.open_input_file(key) as handle:
-                        first = _header_end(handle)
-                        heads.append(first + _header_end(handle))
+                        first = _header_bytes(handle)
+                        handle.seek(len(first) + _data_blocks(first) * BLOCK)
+                        mark = handle.read(8)
+                        handle.seek(handle.tell() - len(mark))
+                        heads.append((first, _header_bytes(handle) if mark == b"XTENSION" else None))
                 except (OSError, ValueError):
-                    heads.append(None)
-            yield pd.DataFrame({"path": batch[path], "content": heads})
+                    heads.append((None, None))
+            yield pd.DataFrame({"path": batch[path], "head0": [h[0] for h in heads], "head1": [h[1] for h in heads]})
 
-    return files.select(path).mapInPandas(fetch, "path string, content binary")
+    return files.select(path).mapInPandas(fetch, "path string, head0 binary, head1 binary")
 
 
-def _cards(content: Column) -> Column:
-    text = F.decode(content, "ISO-8859-1")
-    count = F.floor(F.length(text) / CARD).cast("int")
-    return F.when(
-        count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(text, i * CARD + 1, F.lit(CARD)))
-    )
+def keyword(header: Column, key: str | Column) -> Column:
+    """Value text of the first card of a keyword; NULL if there is none."""
+    name = F.lit(key) if isinstance(key, str) else key
+    line = F.regexp_substr(header, F.concat(F.lit("(?m)^"), name, F.lit("\t.*$")))
+    return F.substr(line, F.length(name) + 2)
 
 
-def _card_value(card: Column) -> Column:
-    """Value text of a ``KEY     = value / comment`` card; quotes undone."""
-    field = F.trim(F.substring(card, 11, CARD))
-    quoted = F.regexp_extract(field, r"^'((?:[^']|'')*)'", 1)
-    text = F.rtrim(F.replace(quoted, F.lit("''"), F.lit("'")))
-    bare = F.trim(F.regexp_extract(field, r"^([^/]*)", 1))
-    return F.when(field.startswith("'"), text).otherwise(bare)
+def with_keywords(units: DataFrame, header: str, keys: Sequence[str]) -> DataFrame:
+    """One text column per keyword of the header column."""
+    return computed_once(units, {k: keyword(F.col(header), k) for k in keys})
 
 
-def _card_map(cards: Column) -> Column:
-    """Upper-case keyword to value text; the first card of a keyword counts."""
-    valued = F.filter(
-        cards,
-        lambda c: (F.substring(c, 9, 2) == "= ") & ((F.trim(F.substring(c, 11, CARD)) != "")),
-    )
-    keys = F.transform(valued, lambda c: F.upper(F.trim(F.substring(c, 1, 8))))
-    entries = F.zip_with(keys, valued, lambda k, c: F.struct(k.alias("key"), _card_value(c).alias("value")))
-    firsts = F.transform(
-        F.array_distinct(keys), lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), 1)
-    )
-    return F.map_from_entries(firsts)
+def _card_text(head: Column) -> Column:
+    """Valued cards as lines; comments, undefined values and closing quotes undone."""
+    lines = F.regexp_replace(head, "(?s)(.{80})", "$1\n")
+    valued = F.regexp_replace(lines, r"(?m)^(?![^\n]{8}= *[^/ \n])[^\n]*\n", "")
+    named = F.regexp_replace(valued, _VALUE_CARD, "$1\t$2$3\n")
+    return F.replace(F.regexp_replace(named, "(?m) +$", ""), F.lit("''"), F.lit("'"))
+
 
+def _sound(head: Column, mark: str) -> Column:
+    return F.when(head.startswith(mark), _card_text(head))
 
-def header_units(raw: DataFrame, content: str = "content") -> DataFrame:
-    """Adds ``unit0`` and ``unit1``, the header maps of the first two units.
 
-    ``unit0`` is NULL where the content is not a header; ``unit1`` is NULL where
-    there is no second header right behind the first unit.
+def header_units(heads: DataFrame) -> DataFrame:
+    """``head0`` and ``head1`` bytes to the header texts ``unit0`` and ``unit1``.
+
+    ``unit0`` is NULL where the bytes are no image header.
     """
-    cut = raw.withColumn("_cards", _cards(F.col(content)))
-    end = F.array_position(F.transform("_cards", lambda c: F.rtrim(c)), "END")
-    first = F.slice(F.col("_cards"), F.lit(1), F.greatest(F.col("_end"), F.lit(1)).cast("int"))
-    sound = F.get("_cards", F.lit(0)).startswith("SIMPLE  =") & (F.col("_end") > 0)
-    unit0 = cut.withColumn("_end", end).withColumn("unit0", F.when(sound, _card_map(first)))
-
-    axes = F.coalesce(F.col("unit0")["NAXIS"].try_cast("int"), F.lit(0))
-    size = F.aggregate(
-        F.when(axes > 0, F.sequence(F.lit(1), axes)).otherwise(F.array().cast("array<int>")),
-        F.when(axes > 0, F.abs(F.coalesce(F.col("unit0")["BITPIX"].try_cast("bigint"), F.lit(8).cast("bigint"))) / 8)
-        .otherwise(0.0)
-        .cast("bigint"),
-        lambda acc, i: acc
-        * F.coalesce(F.col("unit0")[F.concat(F.lit("NAXIS"), i.cast("string"))].try_cast("bigint"), F.lit(0).cast("bigint")),
+    texts = heads.withColumns(
+        {h: F.regexp_substr(F.decode(F.col(h), "ISO-8859-1"), F.lit(_END)) for h in ("head0", "head1")}
+    )
+    units = computed_once(
+        texts, {"unit0": _sound(F.col("head0"), "SIMPLE  ="), "unit1": _sound(F.col("head1"), "XTENSION=")}
+    )
+    return units.drop("head0", "head1")
+
+
+def cut_units(files: DataFrame, content: str = "content") -> DataFrame:
+    """``head0`` and ``head1`` bytes of whole file contents, pixels skipped."""
+    measured = files.withColumn(
+        "_first", F.regexp_substr(F.decode(F.col(content), "ISO-8859-1"), F.lit(_END))
+    )
+    header = measured.withColumn("_cards", _card_text(F.col("_first")))
+    axes = header.withColumn("_axes", F.coalesce(keyword(F.col("_cards"), "NAXIS").try_cast("int"), F.lit(0)))
+    unit = F.floor(F.abs(F.coalesce(keyword(F.col("_cards"), "BITPIX").try_cast("bigint"), F.lit(8))) / 8).cast("bigint")
+
+    def length(i: Column) -> Column:
+        key = F.concat(F.lit("NAXIS"), i.cast("string"))
+        return F.coalesce(keyword(F.col("_cards"), key).try_cast("bigint"), F.lit(0).cast("bigint"))
+
+    pixels = F.aggregate(F.sequence(F.lit(1), F.col("_axes")), unit, lambda size, i: size * length(i))
+    sized = axes.withColumn("_pixels", F.when(F.col("_axes") > 0, pixels).otherwise(F.lit(0)))
+    start = (F.ceil(F.length("_first") / BLOCK) + F.ceil(F.col("_pixels") / BLOCK)) * BLOCK + 1
+    rest = F.substring(F.col(content), start.cast("int"), F.length(content))
+    return sized.select(
+        *[c for c in files.columns if c != content],
+        F.when(F.col("_first").isNotNull(), F.col(content)).alias("head0"),
+        F.when(F.col("_first").isNotNull() & (F.length(rest) > 0), rest).alias("head1"),
     )
-    per_block = BLOCK // CARD
-    start = F.ceil(F.col("_end") / per_block) * per_block + F.ceil(size / BLOCK) * per_block
-    placed = unit0.withColumn("_start", start.cast("int"))
-    rest = F.slice(F.col("_cards"), F.col("_start") + 1, F.greatest(F.size("_cards") - F.col("_start"), F.lit(0)))
-    tail = placed.withColumn("_rest", F.when(F.col("unit0").isNotNull(), rest))
-    second_end = F.array_position(F.transform("_rest", lambda c: F.rtrim(c)), "END")
-    second = F.slice(F.col("_rest"), F.lit(1), F.greatest(second_end, F.lit(1)).cast("int"))
-    sound1 = F.get("_rest", F.lit(0)).startswith("XTENSION=") & (second_end > 0)
-    return tail.withColumn("unit1", F.when(sound1, _card_map(second))).drop("_cards", "_end", "_start", "_rest")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunloom.functions.numbers import drop_sentinels, to_number
+from sunloom.functions.numbers import bare_text, drop_sentinels, to_number
+from sunloom.functions.stages import computed_once
 from sunloom.functions.times import fractional_hour, fractional_hour_timestamp, parse_datetime
 
 
@@ -34,17 +35,17 @@ HP60 = IndexSpec("hpo_hp60", "Hp60", "ap60")
 
 def parse_index_text(lines: DataFrame, spec: IndexSpec, keep: Sequence[str] = ()) -> DataFrame:
     """Rows of ``value`` text; ``#`` starts a comment anywhere in a line."""
-    bare = lines.select(*keep, F.btrim(F.regexp_replace("value", "#.*$", ""), F.lit(" \t\r")).alias("value"))
+    bare = lines.select(*keep, bare_text(F.regexp_replace("value", "#.*$", "")).alias("value"))
     parts = bare.where(F.col("value") != "").select(*keep, F.split("value", r"\s+").alias("part"))
     place = {name: i for i, name in enumerate(spec.raw_names)}
 
-    def number(name: str):
-        return to_number(F.get("part", F.lit(place[name])))
-
-    numbers = parts.select(
+    used = ("Year", "Month", "Day", "hh_start", spec.hp, spec.ap)
+    texts = computed_once(parts, {n: F.get("part", F.lit(place[n])) for n in used})
+    values = texts.select(*keep, *[to_number(F.col(n)).alias(n) for n in used])
+    numbers = values.select(
         *keep,
-        *[number(n).alias(n.lower()) for n in ("Year", "Month", "Day", "hh_start")],
-        *[drop_sentinels(number(n), (spec.fill,)).alias(n) for n in (spec.hp, spec.ap)],
+        *[F.col(n).alias(n.lower()) for n in used[:4]],
+        *[drop_sentinels(F.col(n), (spec.fill,)).alias(n) for n in used[4:]],
     )
     when = fractional_hour_timestamp(F.col("year"), F.col("month"), F.col("day"), F.col("hh_start"))
     return numbers.select(*keep, when.alias("datetime"), "year", "month", "day", "hh_start", spec.hp, spec.ap)
