@@ -27,21 +27,27 @@ def vector_length(*components: Column) -> Column:
     return F.sqrt(total)
 
 
-def mean_over_sensors(rows: Column) -> Column:
-    """Mean per channel of an array of sensors, missing values skipped.
+def mean_over_sensors(data: Column, sensors: Column, channels: Column, first: Column) -> Column:
+    """Mean per channel of a (sensor, channel) block of flat values, missing ones skipped.
 
-    ``rows`` is ``array<array<double>>`` (sensor, channel) with equal lengths.
+    The block starts at position ``first`` of ``data``, which should be a plain
+    column: it is read once per value.
     """
 
-    def channel_mean(i: Column) -> Column:
-        seen = F.filter(F.transform(rows, lambda sensor: F.get(sensor, i)), lambda v: v.isNotNull())
-        total = F.aggregate(seen, F.lit(0.0), lambda acc, v: acc + v)
-        return F.try_divide(total, F.size(seen))
-
-    channels = F.coalesce(F.size(F.get(rows, F.lit(0))), F.lit(0))
-    return F.when(
-        channels > 0, F.transform(F.sequence(F.lit(0), channels - 1), channel_mean)
-    )
+    def channel_mean(c: Column) -> Column:
+        values = F.transform(
+            F.sequence(F.lit(0), sensors - 1), lambda s: F.get(data, first + s * channels + c)
+        )
+        seen = F.filter(values, lambda v: v.isNotNull())
+        counted = F.aggregate(
+            seen,
+            F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n")),
+            lambda acc, v: F.struct((acc["total"] + v).alias("total"), (acc["n"] + 1).alias("n")),
+            lambda acc: F.try_divide(acc["total"], acc["n"]),
+        )
+        return counted
+
+    return F.transform(F.sequence(F.lit(0), channels - 1), channel_mean)
 
 
 def integral_flux(flux: Column, lower_kev: Column, upper_kev: Column, threshold_mev: float) -> Column:

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sunloom.queries import analytic, ingest
+from sunloom.queries import analytic, ingest, satellites, storage
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (analytic, ingest)
+MODULES = (analytic, ingest, satellites, storage)
 
 QUERIES: dict[str, Query] = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

@@ -7,6 +7,7 @@ from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sunloom.functions.times import ntz
 from sunloom.tables import SW30_COLUMNS, TABLES, read_table
@@ -39,9 +40,22 @@ def export_parquet(
     chosen.repartitionByRange("datetime").sortWithinPartitions("datetime").write.mode("overwrite").parquet(path)
 
 
+def csv_text(df: DataFrame) -> DataFrame:
+    """Timestamps to the microsecond with a blank between date and clock, booleans as t and f."""
+    out = []
+    for f in df.schema.fields:
+        value = F.col(f.name)
+        if isinstance(f.dataType, T.TimestampNTZType):
+            value = value.cast("string")
+        elif isinstance(f.dataType, T.BooleanType):
+            value = F.when(value, "t").when(~value, "f")
+        out.append(value.alias(f.name))
+    return df.select(*out)
+
+
 def export_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
     """Ordered CSV part files with a header each; NULL is an empty field."""
-    df.orderBy(*order).write.mode("overwrite").option("header", "true").csv(path)
+    csv_text(df.orderBy(*order)).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def export_tables(
@@ -69,14 +83,14 @@ def export_events(windows: DataFrame, path: str, event: str = "reference_time")
     """One folder of CSV per event, named by its reference time."""
     tagged = windows.withColumn("event_id", F.date_format(event, "yyyyMMddHHmmss")).drop(event)
     spread = tagged.repartitionByRange("event_id", "datetime").sortWithinPartitions("event_id", "datetime")
-    spread.write.mode("overwrite").option("header", "true").partitionBy("event_id").csv(path)
+    csv_text(spread).write.mode("overwrite").option("header", "true").partitionBy("event_id").csv(path)
 
 
 def export_index(samples: DataFrame, path: str, phase: str = "phase") -> None:
     """One folder of CSV per split with ``datetime`` and ``label``."""
     rows = samples.select("datetime", "label", phase)
     spread = rows.repartitionByRange(phase, "datetime").sortWithinPartitions(phase, "datetime")
-    spread.write.mode("overwrite").option("header", "true").partitionBy(phase).csv(path)
+    csv_text(spread).write.mode("overwrite").option("header", "true").partitionBy(phase).csv(path)
 
 
 def manifest_documents(files: DataFrame, by: Sequence[str] = ("query_time", "target_time", "time_range", "telescope")) -> DataFrame:

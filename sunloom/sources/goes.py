@@ -21,6 +21,8 @@ from sunloom.functions.nested import (
     nulls_for_nans,
     vector_length,
 )
+from sunloom.functions.numbers import nan_to_null
+from sunloom.functions.stages import computed_once
 from sunloom.functions.times import decode_time_axis
 
 VARIABLE = T.StructType(
@@ -111,54 +113,48 @@ def series(names: Sequence[str]) -> Column:
     return F.when(F.size(values) == F.size("t"), values)
 
 
-def vector_component(variable: Column, i: int) -> Column:
-    """Component ``i`` of a packed ``(n, 3)`` variable."""
-    rows = variable["shape"][0]
-    return F.when(
-        rows > 0,
-        F.transform(
-            F.sequence(F.lit(0), rows - 1), lambda k: F.get(nulls_for_nans(variable["data"]), k * 3 + i)
-        ),
-    )
-
-
 def _with_times(files: DataFrame, names: Sequence[str]) -> DataFrame:
     """Files without a usable time axis give no rows."""
-    return files.withColumn("t", time_axis(names)).where(F.size("t") > 0)
+    return computed_once(files, {"t": time_axis(names)}).where(F.size("t") > 0)
+
 
+def _unnest(files: DataFrame, names: Sequence[str], per_file: Sequence[str] = ()) -> DataFrame:
+    """One row per time step, tagged by file and step; an absent series is NULL throughout.
 
-def _unnest(files: DataFrame, columns: dict[str, Column], per_file: Sequence[str] = ()) -> DataFrame:
-    """One row per time step, tagged by file and step; an absent series is NULL throughout."""
-    wide = files.select("path", "satellite", *per_file, F.col("t").alias("datetime"), *[c.alias(n) for n, c in columns.items()])
-    step = F.posexplode("datetime").alias("k", "when")
-    stepped = wide.select("path", "satellite", *per_file, step, *columns)
-    return stepped.select(
+    The series are zipped before they are spread, so a row carries its own values
+    and not the arrays of its file.
+    """
+    filled = files.select(
         "path",
-        F.col("k").alias("step"),
         "satellite",
-        F.col("when").alias("datetime"),
-        *[F.get(n, F.col("k")).alias(n) for n in columns],
         *per_file,
+        F.col("t").alias("datetime"),
+        *[F.coalesce(F.col(n), F.array().cast(files.schema[n].dataType)).alias(n) for n in names],
     )
+    zipped = F.posexplode(F.arrays_zip("datetime", *names)).alias("step", "_at")
+    spread = filled.select("path", "satellite", *per_file, zipped)
+    return spread.select("path", "step", "satellite", *[f"_at.{n}" for n in ("datetime", *names)], *per_file)
 
 
 def xrs_rows(files: DataFrame) -> DataFrame:
     """X-ray flux rows: two primary and four redundant channels, two flags."""
     timed = _with_times(files, ("time",))
-    rows = _unnest(timed, {name: series(aliases) for name, aliases in XRS_CHANNELS.items()})
-    return rows.withColumn("is_goes_r", is_r_series(F.col("satellite")))
-
-
-def _frame_vector(packed: str, components: Sequence[Sequence[str]]) -> list[Column]:
-    whole = _variable((packed,))
-    shape = whole["shape"]
-    usable = (F.size(shape) == 2) & (shape[1] == 3)
-    return [
-        F.when(F.coalesce(usable, F.lit(False)), vector_component(whole, i)).otherwise(
-            one_dimensional(_variable(names))
-        )
-        for i, names in enumerate(components)
-    ]
+    chosen = timed.select("*", *[series(aliases).alias(name) for name, aliases in XRS_CHANNELS.items()])
+    return _unnest(chosen, list(XRS_CHANNELS)).withColumn("is_goes_r", is_r_series(F.col("satellite")))
+
+
+def _packed(names: Sequence[str]) -> Column:
+    """Flat values of a packed ``(n, 3)`` variable, else NULL."""
+    variable = _variable(names)
+    shape = variable["shape"]
+    return F.when((F.size(shape) == 2) & (F.get(shape, F.lit(1)) == 3), variable["data"])
+
+
+def _every_third(packed: Column, i: int) -> Column:
+    """Component ``i`` of a packed vector, given as a plain column."""
+    rows = F.floor(F.size(packed) / 3).cast("int")
+    picked = F.transform(F.sequence(F.lit(0), rows - 1), lambda k: nan_to_null(F.get(packed, k * 3 + i)))
+    return F.when(rows > 0, picked)
 
 
 def mag_rows(files: DataFrame) -> DataFrame:
@@ -168,51 +164,57 @@ def mag_rows(files: DataFrame) -> DataFrame:
     they go, under the frame name UNKNOWN.
     """
     timed = _with_times(files, ("time",))
+    packed = computed_once(timed, {f"{frame}_packed": _packed((name,)) for frame, (name, _) in MAG_FRAMES.items()})
+    vectors = {}
+    for frame, (_, components) in MAG_FRAMES.items():
+        whole = F.col(f"{frame}_packed")
+        for i, names in enumerate(components):
+            alone = one_dimensional(_variable(names))
+            vectors[f"{frame}_{i}"] = F.when(whole.isNotNull(), _every_third(whole, i)).otherwise(alone)
+    split = computed_once(packed, vectors)
+
     n = F.size("t")
-    vectors = {frame: _frame_vector(*spec) for frame, spec in MAG_FRAMES.items()}
-    frame = F.when(F.lit(False), F.lit(""))
-    parts = [F.when(F.lit(False), next(iter(vectors.values()))[i]) for i in range(3)]
-    for name, vector in vectors.items():
-        complete = (F.size(vector[0]) == n) & (F.size(vector[1]) == n) & (F.size(vector[2]) == n)
-        complete = F.coalesce(complete, F.lit(False))
-        frame = frame.when(complete, name)
-        parts = [part.when(complete, v) for part, v in zip(parts, vector)]
-    last = list(vectors.values())[-1]
-    parts = [part.otherwise(F.when(F.size(v) == n, v)) for part, v in zip(parts, last)]
-    framed = timed.withColumn("coord_frame", frame.otherwise("UNKNOWN"))
-    total = series(MAG_TOTAL)
-    columns = {
-        "bx_nt": parts[0],
-        "by_nt": parts[1],
-        "bz_nt": parts[2],
-        "total": total,
-        "mag_flag": series(MAG_FLAG),
-    }
-    framed = framed.withColumn("has_total", total.isNotNull())
-    rows = _unnest(framed, columns, ("coord_frame", "has_total"))
+    chosen = F.when(F.lit(False), F.lit(""))
+    for frame in MAG_FRAMES:
+        complete = F.lit(True)
+        for i in range(3):
+            complete = complete & F.coalesce(F.size(f"{frame}_{i}") == n, F.lit(False))
+        chosen = chosen.when(complete, frame)
+    framed = computed_once(split, {"frame": chosen})
+
+    last = list(MAG_FRAMES)[-1]
+    columns = {}
+    for i, name in enumerate(("bx_nt", "by_nt", "bz_nt")):
+        value = F.when(F.col("frame").isNull() & (F.size(f"{last}_{i}") == n), F.col(f"{last}_{i}"))
+        for frame in MAG_FRAMES:
+            value = value.when(F.col("frame") == frame, F.col(f"{frame}_{i}"))
+        columns[name] = value
+    columns |= {"total": series(MAG_TOTAL), "mag_flag": series(MAG_FLAG)}
+    ready = framed.select(
+        "path", "satellite", "t", "frame", *[value.alias(name) for name, value in columns.items()]
+    ).withColumn("has_total", F.col("total").isNotNull())
+    rows = _unnest(ready, list(columns), ("frame", "has_total"))
     length = vector_length(F.col("bx_nt"), F.col("by_nt"), F.col("bz_nt"))
-    bt = F.when(F.col("has_total"), F.col("total")).otherwise(length)
     return rows.select(
-        "path", "step", "satellite", "datetime", "bx_nt", "by_nt", "bz_nt", bt.alias("bt_nt"),
-        "coord_frame", "mag_flag",
-    )
-
-
-def _sensor_rows(data: Column, sensors: Column, channels: Column, offset: Column) -> Column:
-    """``array<array<double>>`` (sensor, channel) sliced from flat values."""
-    return F.transform(
-        F.sequence(F.lit(0), sensors - 1),
-        lambda s: F.slice(data, offset + s * channels + 1, channels),
+        "path",
+        "step",
+        "satellite",
+        "datetime",
+        "bx_nt",
+        "by_nt",
+        "bz_nt",
+        F.when(F.col("has_total"), F.col("total")).otherwise(length).alias("bt_nt"),
+        F.coalesce("frame", F.lit("UNKNOWN")).alias("coord_frame"),
+        "mag_flag",
     )
 
 
-def _energy_bounds(name: str) -> Column:
+def _channel_bounds(prefix: str) -> Column:
     """Channel bounds; a (sensor, channel) table is averaged over its sensors."""
-    variable = F.col("variables")[name]
-    data, shape = nulls_for_nans(variable["data"]), variable["shape"]
-    flat = F.when(F.size(shape) == 1, data)
-    table = (F.size(shape) == 2) & (shape[0] > 0) & (shape[1] > 0)
-    return F.when(table, mean_over_sensors(_sensor_rows(data, shape[0], shape[1], F.lit(0)))).otherwise(flat)
+    data, shape = F.col(f"{prefix}_data"), F.col(f"{prefix}_shape")
+    table = (F.size(shape) == 2) & (F.get(shape, F.lit(0)) > 0) & (F.get(shape, F.lit(1)) > 0)
+    mean = mean_over_sensors(data, F.get(shape, F.lit(0)), F.get(shape, F.lit(1)), F.lit(0))
+    return F.when(table, mean).when(F.size(shape) == 1, data)
 
 
 def proton_rows(files: DataFrame) -> DataFrame:
@@ -222,36 +224,46 @@ def proton_rows(files: DataFrame) -> DataFrame:
     others give the per-threshold series they name.
     """
     timed = _with_times(files, TIME_NAMES)
-    held = [F.map_contains_key("variables", v) for v in (PROTON_DIFFERENTIAL, PROTON_LOWER, PROTON_UPPER)]
-    shape = F.col("variables")[PROTON_DIFFERENTIAL]["shape"]
-    channels = F.element_at(shape, -1)
+    sources = {"flux": PROTON_DIFFERENTIAL, "lower": PROTON_LOWER, "upper": PROTON_UPPER}
+    flat = {}
+    for prefix, name in sources.items():
+        flat[f"{prefix}_data"] = nulls_for_nans(F.col("variables")[name]["data"])
+        flat[f"{prefix}_shape"] = F.col("variables")[name]["shape"]
+    opened = computed_once(timed, flat)
+    bounded = computed_once(opened, {"lower": _channel_bounds("lower"), "upper": _channel_bounds("upper")})
+
+    shape = F.col("flux_shape")
+    channels = F.get(shape, F.size(shape) - 1)
+    sensors = F.when(F.size(shape) == 3, F.get(shape, F.lit(1))).otherwise(1)
     fits = (
-        held[0]
-        & held[1]
-        & held[2]
-        & F.size(shape).isin(2, 3)
-        & (shape[0] == F.size("t"))
+        F.size(shape).isin(2, 3)
+        & (F.get(shape, F.lit(0)) == F.size("t"))
         & (channels == F.size("lower"))
         & (channels == F.size("upper"))
         & (channels > 0)
+        & (sensors > 0)
     )
-    bounded = timed.withColumn("lower", _energy_bounds(PROTON_LOWER)).withColumn("upper", _energy_bounds(PROTON_UPPER))
-    judged = bounded.withColumn("integrate", F.coalesce(fits, F.lit(False)))
-    named = {
-        f"proton_flux_gt{mev}mev": series([n.format(mev) for n in PROTON_NAMES]) for mev in PROTON_THRESHOLDS_MEV
-    }
-    sensors = F.when(F.size(shape) == 3, shape[1]).otherwise(1)
-    data = nulls_for_nans(F.col("variables")[PROTON_DIFFERENTIAL]["data"])
-    steps = F.transform(
+    judged = computed_once(
+        bounded, {"integrate": F.coalesce(fits, F.lit(False)), "channels": channels, "sensors": sensors}
+    )
+    means = F.transform(
         F.sequence(F.lit(0), F.size("t") - 1),
-        lambda k: mean_over_sensors(_sensor_rows(data, sensors, channels, k * sensors * channels)),
+        lambda k: mean_over_sensors(
+            F.col("flux_data"), F.col("sensors"), F.col("channels"), k * F.col("sensors") * F.col("channels")
+        ),
+    )
+    named = {f"proton_flux_gt{mev}mev": [n.format(mev) for n in PROTON_NAMES] for mev in PROTON_THRESHOLDS_MEV}
+    ready = judged.select(
+        "path",
+        "satellite",
+        "t",
+        "integrate",
+        "lower",
+        "upper",
+        F.when(F.col("integrate"), means).alias("flux"),
+        *[series(aliases).alias(name) for name, aliases in {**named, "proton_flag": PROTON_FLAG}.items()],
     )
-    columns = {
-        **named,
-        "proton_flag": series(PROTON_FLAG),
-        "flux": F.when(F.col("integrate") & (sensors > 0), steps),
-    }
-    rows = _unnest(judged, columns, ("integrate", "lower", "upper"))
+    rows = _unnest(ready, ["flux", *named, "proton_flag"], ("integrate", "lower", "upper"))
     out = [
         F.when(F.col("integrate"), integral_flux(F.col("flux"), F.col("lower"), F.col("upper"), mev))
         .otherwise(F.col(f"proton_flux_gt{mev}mev"))
