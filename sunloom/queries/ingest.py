@@ -22,7 +22,7 @@ from sunloom.functions.times import (
 from sunloom.operators.quality import outcome_counts
 from sunloom.plans import images
 from sunloom.plans.ingest import ingest_index_years, ingest_solar_wind
-from sunloom.queries.inputs import table
+from sunloom.queries.inputs import spread, table
 from sunloom.session import materialise, scratch_path
 from sunloom.sinks.tables import quarantine
 from sunloom.sources.fixed_width import parse_fixed_width, read_lines
@@ -74,7 +74,7 @@ def _printed(f: Field, i: int) -> Column:
 
 
 def record_lines(spark: SparkSession, sf_dir: str, layout: RecordLayout) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     digits = [
         F.expr(_digits(f, i).replace(SEED, "seed")).cast("bigint").alias(f.name) for i, f in enumerate(layout.fields)
     ]
@@ -150,7 +150,7 @@ def _sql_stored() -> str:
 
 
 def index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     line = F.expr(
         """format_string('%04d %02d %02d %04.1f %05.2f %11.5f %11.5f %s %4d %d',
              year(o_orderdate), month(o_orderdate), day(o_orderdate),
@@ -180,7 +180,7 @@ FROM orders
 
 def index_documents(spark: SparkSession, sf_dir: str, name: str, delay: int, skipped: int) -> DataFrame:
     """One document of four half hours per order, two hours apart."""
-    orders = table(spark, sf_dir, "orders").where(f"o_orderkey % 5 <> {skipped}")
+    orders = spread(table(spark, sf_dir, "orders")).where(f"o_orderkey % 5 <> {skipped}")
     first = f"TIMESTAMP_NTZ'2000-01-01 00:00:00' + make_dt_interval(0, CAST(o_orderkey * 2 AS INT), {delay})"
     return orders.selectExpr(
         f"""transform(sequence(0, 3), i -> date_format({first} + make_dt_interval(0, 0, i * 30),
@@ -293,7 +293,7 @@ _MOMENT = "o_orderdate + make_dt_interval(0, 0, 0, CAST((o_orderkey * 7919 % 864
 
 
 def multi_format_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").withColumn("ts", F.expr(_MOMENT))
+    o = spread(table(spark, sf_dir, "orders")).withColumn("ts", F.expr(_MOMENT))
     form = F.expr(f"o_orderkey % {len(FORMATS)}")
     text = F.lit(None).cast("string")
     for i, (pattern, _) in enumerate(FORMATS):
@@ -408,7 +408,7 @@ def _only(condition: str, card: Column) -> Column:
 
 def sdo_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One image file per event: an empty first unit and a second one, or all in the first."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     t_rec = F.expr(
         """CASE WHEN event_id % 11 = 2 THEN 'unknown'
                 WHEN event_type IN ('click', 'view') THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -523,7 +523,8 @@ SELECT error, count(*) AS n FROM classified WHERE error IS NOT NULL GROUP BY 1
 
 def camera_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coronagraph or EUV files from orders: date and time apart or together, some without."""
-    o = table(spark, sf_dir, "orders").withColumn("ts", F.expr("o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400)"))
+    o = spread(table(spark, sf_dir, "orders"))
+    o = o.withColumn("ts", F.expr("o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400)"))
     day = F.expr("CASE WHEN o_orderkey % 3 = 0 THEN date_format(ts, 'dd/MM/yy') ELSE date_format(ts, 'yyyy/MM/dd') END")
     cards = [
         _card("SIMPLE", F.lpad(F.lit("T"), 20, " ")),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sunloom.functions.nested import vector_length
 from sunloom.plans.ingest import register_satellite
-from sunloom.queries.inputs import table
+from sunloom.queries.inputs import spread, table
 from sunloom.session import scratch_path
 from sunloom.sources.goes import DECODED_FILE, PROTON_THRESHOLDS_MEV, XRS_CHANNELS, normaliser
 from sunloom.tables import TABLES, read_table
@@ -30,7 +30,7 @@ def _entry(name: str, data: str, *shape: int, when: str = "true") -> str:
 
 
 def _files(spark: SparkSession, sf_dir: str, entries: list[str], raw_time: str = "false") -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").selectExpr("vec_id", "transform(embedding, x -> CAST(x AS DOUBLE)) AS v")
+    rows = spread(table(spark, sf_dir, "embeddings")).selectExpr("vec_id", "transform(embedding, x -> CAST(x AS DOUBLE)) AS v")
     entries = [*entries, _entry("L2_SciData_TimeStamp", _SECONDS, when=raw_time)]
     files = rows.selectExpr(
         "concat('/in/', lpad(vec_id, 9, '0'), '.nc') AS path",

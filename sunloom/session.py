@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A generated method above this size is never compiled to machine code; the wide
+    # record projections are faster as separate operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Split a hot join key even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunloom.functions.numbers import bare_text, drop_sentinels, to_number
+from sunloom.functions.numbers import bare_text, to_number
 from sunloom.functions.stages import computed_once
 from sunloom.sources.layouts import RecordLayout
 
@@ -34,18 +34,19 @@ def parse_fixed_width(lines: DataFrame, layout: RecordLayout, keep: Sequence[str
     names other columns of ``lines`` to carry along.
     """
     # One pass of a pattern cuts the whole line; a line holds no line break, so that
-    # can part the slices. One projection per step: each is cut and parsed once.
+    # can part the slices. The slices stay an array until they are numbers: one
+    # short expression for all fields instead of one per field.
     pattern = "^" + "".join(f"(.{{{f.width}}})" for f in layout.fields)
     parted = "\n".join(f"${i}" for i, _ in enumerate(layout.fields, 1))
-    filled = F.rpad("value", layout.length, " ")
-    cut = F.split(F.regexp_replace(filled, pattern, parted), "\n")
-    pieces = computed_once(lines.where(F.trim("value") != ""), {"_piece": cut})
-    slices = pieces.select(
-        *keep, *[bare_text(F.get("_piece", F.lit(i))).alias(f.name) for i, f in enumerate(layout.fields)]
-    )
-    numbers = slices.select(*keep, *[to_number(F.col(f.name)).alias(f.name) for f in layout.fields])
-    cut = numbers.select(
-        *keep,
-        *[drop_sentinels(F.col(f.name), () if f.fill is None else (f.fill,)).alias(f.name) for f in layout.fields],
+    line = F.rpad("value", layout.length, " ")
+    slices = F.transform(F.split(F.regexp_replace(line, pattern, parted), "\n"), bare_text)
+    cut = computed_once(lines.where(F.trim("value") != ""), {"_slice": slices})
+    fills = F.array(*[F.lit(f.fill).cast("double") for f in layout.fields])
+    numbers = F.zip_with(
+        F.transform("_slice", to_number),
+        fills,
+        lambda number, fill: F.when(fill.isNull() | (number != fill), number),
     )
+    parsed = computed_once(cut, {"_number": numbers})
+    cut = parsed.select(*keep, *[F.get("_number", F.lit(i)).alias(f.name) for i, f in enumerate(layout.fields)])
     return cut.select(*keep, layout.timestamp().alias("datetime"), *[f.name for f in layout.fields])
