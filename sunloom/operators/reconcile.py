@@ -7,14 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+def _names(others: DataFrame, on: Sequence[str] | str) -> DataFrame:
+    """Each name once: copies combine before the shuffle, which the join then reuses."""
+    return others.select(*([on] if isinstance(on, str) else on)).distinct()
+
+
 def present(rows: DataFrame, others: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """Rows whose name the other side also has."""
-    return rows.join(others.select(*([on] if isinstance(on, str) else on)), on, "left_semi")
+    return rows.join(_names(others, on), on, "left_semi")
 
 
 def absent(rows: DataFrame, others: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """Rows whose name the other side lacks."""
-    return rows.join(others.select(*([on] if isinstance(on, str) else on)), on, "left_anti")
+    return rows.join(_names(others, on), on, "left_anti")
 
 
 def wanted_files(remote: DataFrame, held: DataFrame, on: Sequence[str] | str, overwrite: bool = False) -> DataFrame:

@@ -13,6 +13,8 @@ from sunloom.operators.grids import in_ranges
 from sunloom.operators.windows import moving_window, with_row_index
 
 STEP = timedelta(minutes=30)
+# Eight bytes each: up to this many reference times are sent to every task.
+BROADCAST_REFERENCES = 2_000_000
 
 
 def event_window(
@@ -65,7 +67,11 @@ def event_windows(
     clean = judged.where(F.col("_bad") == 0)
     if require_complete:
         clean = clean.where(F.col("_times") == (before + after) // STEP)
-    rows = table.withColumn("_ref", F.explode(served)).join(clean.select("_ref"), "_ref", "left_semi")
+    clean = clean.select("_ref")
+    # Their number is known from the arguments, whatever the size of the table.
+    if (end - start) // cadence < BROADCAST_REFERENCES:
+        clean = F.broadcast(clean)
+    rows = table.withColumn("_ref", F.explode(served)).join(clean, "_ref", "left_semi")
     from_start = epoch_micros(F.col("datetime")) - (F.col("_ref") - micros(before))
     return rows.select(
         from_micros(F.col("_ref")).alias("reference_time"),

@@ -64,8 +64,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(shared_folder(spark), "sunloom", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_folder(spark), "sunloom", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(_scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -76,3 +80,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application, once nothing reads them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sunloom.functions.names import child
 from sunloom.functions.times import ntz
 from sunloom.operators.inserts import accept_in_order, first_per_key, without_known
+from sunloom.operators.reconcile import absent, present
 from sunloom.session import materialise
 from sunloom.tables import TableSpec, conform, ensure_tables, read_table, split_unkeyed, table_path, with_partition
 
@@ -19,7 +20,8 @@ def _store(df: DataFrame, spec: TableSpec, root: str, mode: str) -> None:
     """One sorted run of files per year folder.
 
     A year may be any share of the data, so rows are spread by range of the key
-    and not by year; every file then covers a narrow range of times.
+    and not by year; every file then covers a narrow range of times. Finding the
+    ranges reads the keys once before, so ``df`` should be stored already.
     """
     placed = with_partition(df, spec)
     order = [spec.partition, *[c for c in spec.key if c != spec.partition]]
@@ -34,14 +36,14 @@ def replace_years(df: DataFrame, spec: TableSpec, root: str) -> DataFrame:
     Returns the rows refused because a required column, in practice the
     timestamp, is missing.
     """
-    fit, unfit = split_unkeyed(conform(df, spec), spec)
+    fit, unfit = split_unkeyed(materialise(conform(df, spec), spec.name), spec)
     _store(fit, spec, root, "overwrite")
     return unfit
 
 
 def append_rows(df: DataFrame, spec: TableSpec, root: str) -> DataFrame:
     """Plain append, all or nothing."""
-    fit, unfit = split_unkeyed(conform(df, spec), spec)
+    fit, unfit = split_unkeyed(materialise(conform(df, spec), spec.name), spec)
     _store(fit, spec, root, "append")
     return unfit
 
@@ -99,12 +101,12 @@ def insert_ignore(batch: DataFrame, spec: TableSpec, root: str, ordinal: Sequenc
 
 def surviving_rows(catalog: DataFrame, listing: DataFrame, column: str = "file_path", path: str = "path") -> DataFrame:
     """Catalogue rows whose file is still listed."""
-    return catalog.join(listing.select(F.col(path).alias(column)), column, "left_semi").select(*catalog.columns)
+    return present(catalog, listing.select(F.col(path).alias(column)), column).select(*catalog.columns)
 
 
 def orphan_rows(catalog: DataFrame, listing: DataFrame, column: str = "file_path", path: str = "path") -> DataFrame:
     """Catalogue rows whose file is gone."""
-    return catalog.join(listing.select(F.col(path).alias(column)), column, "left_anti").select(*catalog.columns)
+    return absent(catalog, listing.select(F.col(path).alias(column)), column).select(*catalog.columns)
 
 
 def delete_orphans(spark: SparkSession, spec: TableSpec, root: str, new_root: str, listing: DataFrame) -> int:
