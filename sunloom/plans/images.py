@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sunloom.functions.names import lasco_folder, sdo_folder, secchi_folder
 from sunloom.functions.times import ntz, parse_datetime, parse_record_time, tai_to_utc, time_in_file_name
+from sunloom.operators.reconcile import absent, present
 from sunloom.sinks.tables import InsertCounts, insert_ignore, quarantine, with_target_path
 from sunloom.sources.headers import keyword, with_keywords
 from sunloom.tables import TABLES, TableSpec
@@ -158,6 +159,14 @@ def sdo_records(classified: DataFrame, archive: str | None = None) -> DataFrame:
     return with_target_path(utc, sdo_folder(F.lit(archive), F.col("telescope"), F.col("datetime")))
 
 
+def split_held(records: DataFrame, held: DataFrame, path: str = "path") -> tuple[DataFrame, DataFrame]:
+    """Records to file, and those skipped since another file already has their place."""
+    moved = records.where(F.col("path") != F.col("file_path"))
+    stays = records.where(F.col("path") == F.col("file_path"))
+    places = held.select(F.col(path).alias("file_path"))
+    return stays.unionByName(absent(moved, places, "file_path")), present(moved, places, "file_path")
+
+
 @dataclass(frozen=True)
 class Registration:
     inserted: InsertCounts

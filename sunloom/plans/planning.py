@@ -15,6 +15,8 @@ from sunloom.functions.names import (
     HMI_CHANNELS,
     SECCHI_INSTRUMENTS,
     SPACECRAFT,
+    URL_TEMPLATES,
+    fill_template,
     goes_path,
     goes_url,
     is_spike,
@@ -31,6 +33,17 @@ from sunloom.plans.images import good_quality
 SDO_CHANNELS = {"aia": AIA_CHANNELS, "hmi": HMI_CHANNELS}
 
 
+def yearly_urls(spans: DataFrame, start: str, end: str, dataset: str, indexes: Sequence[str] = ()) -> DataFrame:
+    """Remote file per year of a span, and per index where the source serves them one by one."""
+    first, last = F.year(start), F.year(end)
+    yearly = spans.withColumn("year", F.explode(F.when(first <= last, F.sequence(first, last))))
+    parts = {"year": F.col("year")}
+    if indexes:
+        yearly = with_options(yearly, index=indexes)
+        parts["index"] = F.col("index")
+    return yearly.withColumn("url", fill_template(URL_TEMPLATES[dataset], **parts))
+
+
 def satellite_folders(spans: DataFrame, instrument: str, start: str, end: str) -> DataFrame:
     """Remote folder per satellite and month; ``spans`` has ``satellite`` and two dates."""
     monthly = months(spans, start, end)

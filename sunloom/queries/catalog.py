@@ -28,6 +28,7 @@ from sunloom.plans.planning import (
     satellite_plan,
     spacecraft_folders,
     uncovered_targets,
+    yearly_urls,
 )
 from sunloom.queries.analytic import _SQL_TARGETS, hourly
 from sunloom.queries.inputs import image_catalog, table
@@ -228,6 +229,22 @@ FROM day, (VALUES ('science'), ('beacon')) AS t(datatype), (VALUES ('ahead'), ('
 """
 
 
+def yearly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly files per satellite's mission: the minute records and two index documents."""
+    spans = _satellite_spans(spark, sf_dir)
+    minutes = yearly_urls(spans, "first", "last", "omni_high_resolution")
+    indexes = yearly_urls(spans, "first", "last", "hpo", ("Hp30", "ap30"))
+    return minutes.select("satellite", "year", "url").unionByName(indexes.select("satellite", "year", "url"))
+
+
+SQL_YEARLY = f"""
+WITH {_SQL_SPANS}, y AS (SELECT DISTINCT satellite, year(m)::INTEGER AS year FROM monthly)
+SELECT satellite, year, 'https://spdf.gsfc.nasa.gov/pub/data/omni/high_res_omni/omni_min' || year || '.asc' AS url FROM y
+UNION ALL SELECT satellite, year, 'https://kp.gfz.de/app/json/?start=' || year || '-01-01T00:00:00Z&end=' || year
+  || '-12-31T23:59:59Z&index=' || i FROM y, (VALUES ('Hp30'), ('ap30')) AS t(i)
+"""
+
+
 def _satellite_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listed file per order: some of another satellite, some without a date."""
     return table(spark, sf_dir, "orders").selectExpr(
@@ -343,6 +360,7 @@ QUERIES = {
     "first_listed": first_listed,
     "month_grid": month_grid,
     "remote_folders": remote_folders,
+    "yearly_files": yearly_files,
     "satellite_listing": satellite_listing,
     "satellite_downloads": satellite_downloads,
     "open_requests": open_requests,
@@ -359,6 +377,7 @@ ORACLES = {
     "first_listed": SQL_FIRST,
     "month_grid": SQL_MONTHS,
     "remote_folders": SQL_FOLDERS,
+    "yearly_files": SQL_YEARLY,
     "satellite_listing": SQL_LISTING,
     "satellite_downloads": SQL_DOWNLOADS,
     "open_requests": SQL_REQUESTS,

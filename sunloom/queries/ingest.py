@@ -506,6 +506,28 @@ FROM utc QUALIFY row_number() OVER (PARTITION BY telescope, channel, t ORDER BY
 """
 
 
+def filing_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each valid image goes; every fifth place is taken by another file already."""
+    units = header_units(cut_units(sdo_files(spark, sf_dir)))
+    found = materialise(images.classify_sdo(units, check_quality=False), "classified")
+    records = images.sdo_records(found, "/archive")
+    held = records.where("CAST(substring(path, 5, 9) AS INT) % 5 = 0").select(F.col("file_path").alias("path"))
+    fresh, skipped = images.split_held(records, held)
+    fates = fresh.withColumn("outcome", F.lit("valid")).unionByName(skipped.withColumn("outcome", F.lit("skipped")))
+    return fates.select("path", "file_path", "outcome")
+
+
+SQL_FILING = f"""
+WITH {_sql_classified(False, False)},
+utc AS (
+  SELECT *, CASE WHEN telescope = 'hmi' THEN datetime - INTERVAL 37 SECOND ELSE datetime END AS t
+  FROM classified WHERE error IS NULL
+)
+SELECT path, '/archive/' || telescope || strftime(t, '/%Y/%Y%m%d/') || printf('%09d.fits', event_id) AS file_path,
+  CASE WHEN event_id % 5 = 0 THEN 'skipped' ELSE 'valid' END AS outcome FROM utc
+"""
+
+
 def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refused headers per class folder, as read back."""
     units = header_units(cut_units(sdo_files(spark, sf_dir)))
@@ -620,6 +642,7 @@ QUERIES = {
     "classify_headers": classify_headers,
     "header_outcomes": header_outcomes,
     "sdo_registered": sdo_registered,
+    "filing_outcomes": filing_outcomes,
     "quarantine_counts": quarantine_counts,
     "lasco_records": lasco_records,
     "secchi_records": secchi_records,
@@ -639,6 +662,7 @@ ORACLES = {
     "classify_headers": SQL_CLASSIFY,
     "header_outcomes": SQL_OUTCOMES,
     "sdo_registered": SQL_SDO_REGISTERED,
+    "filing_outcomes": SQL_FILING,
     "quarantine_counts": SQL_QUARANTINE,
     "lasco_records": SQL_LASCO,
     "secchi_records": SQL_SECCHI,

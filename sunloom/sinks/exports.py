@@ -93,18 +93,31 @@ def export_index(samples: DataFrame, path: str, phase: str = "phase") -> None:
     csv_text(spread).write.mode("overwrite").option("header", "true").partitionBy(phase).csv(path)
 
 
-def manifest_documents(files: DataFrame, by: Sequence[str] = ("query_time", "target_time", "time_range", "telescope")) -> DataFrame:
-    """One nested document per request: channels to their files.
+FILES_PER_DOCUMENT = 10_000
+REQUEST = ("query_time", "target_time", "time_range", "telescope")
 
-    A request is a few minutes of one instrument, so its document is small.
-    Requests without any file give no document.
+
+def manifest_documents(files: DataFrame, by: Sequence[str] = REQUEST) -> DataFrame:
+    """Nested documents: request to channels to files.
+
+    A row without a file name is a channel searched in vain; it shows as an empty
+    list. A request without any file gives no document. A request too large for
+    one document comes in several, parted by channel and name; the reader takes
+    them together.
     """
-    held = files.where(F.col("filename").isNotNull())
-    per_channel = held.groupBy(*by, "channel").agg(
-        F.array_sort(F.collect_list(F.struct("url", "filename"))).alias("files")
-    )
+    group = (*by, "channel")
+    sizes = files.groupBy(*[F.col(c).alias(f"_of_{c}") for c in group]).agg(F.count("filename").alias("_n"))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group]
+    sized = files.join(sizes, same, "left").select(*files.columns, "_n")
+    parts = F.ceil((F.col("_n") + 1) / FILES_PER_DOCUMENT)
+    parted = sized.withColumn("_part", F.pmod(F.xxhash64("channel", "url", "filename"), parts))
+    file = F.when(F.col("filename").isNotNull(), F.struct("url", "filename"))
+    per_channel = parted.groupBy(*by, "_part", "channel").agg(F.array_sort(F.collect_list(file)).alias("files"))
     channels = F.map_from_entries(F.array_sort(F.collect_list(F.struct("channel", F.struct("files")))))
-    return per_channel.groupBy(*by).agg(channels.alias("channels"))
+    documents = per_channel.groupBy(*by, "_part").agg(
+        channels.alias("channels"), F.max(F.size("files")).alias("_most")
+    )
+    return documents.where(F.col("_most") > 0).select(*by, "channels")
 
 
 def write_manifests(documents: DataFrame, path: str) -> None:

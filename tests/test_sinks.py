@@ -129,3 +129,19 @@ def test_one_failed_table_does_not_stop_the_rest(spark, tmp_path):
     append_rows(_mag(spark, [(16, T0, 1.0, 1)]), MAG, root)
     outcome = exports.export_tables(spark, root, str(tmp_path / "out"), ["goes_xrs", "goes_mag", "omni_1min"])
     assert outcome["goes_mag"] is None and outcome["goes_xrs"] and outcome["omni_1min"]
+
+
+def test_manifest_parts(spark, tmp_path, monkeypatch):
+    from sunloom.sources.files import read_manifest
+
+    monkeypatch.setattr(exports, "FILES_PER_DOCUMENT", 10)
+    rows = [("a", "193", f"u{i}", f"f{i}") for i in range(95)] + [("a", "211", None, None), ("b", "193", None, None)]
+    files = spark.createDataFrame(rows, "telescope string, channel string, url string, filename string")
+    files = files.select(F.lit("2024-01-01T00:00:00").alias("query_time"), F.lit("2024-01-01T00:00:00").alias("target_time"),
+                         F.lit(6).alias("time_range"), *files.columns)
+    documents = exports.manifest_documents(files)
+    assert documents.where("telescope = 'b'").count() == 0
+    assert documents.count() > 5
+    exports.write_manifests(documents, str(tmp_path / "m"))
+    back = read_manifest(spark, str(tmp_path / "m"), one_per_file=False)
+    assert sorted(r["filename"] for r in back.collect()) == sorted(r[3] for r in rows if r[3])
