@@ -58,19 +58,26 @@ class InsertCounts:
         return self.offered - self.inserted
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, spec: TableSpec, ordinal: Sequence[str]) -> DataFrame:
-    """The rows of ``batch`` an insert-or-ignore would add to ``existing``.
+def new_rows(
+    batch: DataFrame,
+    known: DataFrame,
+    spec: TableSpec,
+    ordinal: Sequence[str],
+    known_values: DataFrame | None = None,
+) -> DataFrame:
+    """The rows of ``batch`` an insert-or-ignore would add to the ``known`` ones.
 
     ``ordinal`` gives the row order of the batch; rows already stored win, then
     the first of the batch. With a unique column (``file_path``) both the key and
-    that column must be free, and the order is one column of distinct values.
+    that column must be free, and the order is one column of distinct values;
+    ``known_values`` has the stored values of that column if ``known`` does not
+    hold them all.
     """
     if not spec.unique:
-        firsts = first_per_key(batch, spec.key, ordinal)
-        return without_known(firsts, existing, spec.key)
+        return without_known(first_per_key(batch, spec.key, ordinal), known, spec.key)
     (unique,) = spec.unique
-    free = without_known(without_known(batch, existing, spec.key), existing, [unique])
     (place,) = ordinal
+    free = without_known(without_known(batch, known, spec.key), known if known_values is None else known_values, [unique])
     return accept_in_order(free, spec.key, unique, place)
 
 
@@ -88,11 +95,12 @@ def insert_ignore(batch: DataFrame, spec: TableSpec, root: str, ordinal: Sequenc
         return InsertCounts(0, 0)
     ensure_tables(spark, root, [spec])
     stored = read_table(spark, root, spec)
-    if spec.unique:
-        existing = stored.select(*spec.key, *spec.unique)
-    else:
-        existing = stored.where(F.col("datetime").between(ntz(lo), ntz(hi))).select(*spec.key)
-    fresh = materialise(new_rows(staged, existing, spec, ordinal).select(*spec.columns), "fresh")
+    near = stored.where(F.col("datetime").between(ntz(lo), ntz(hi)))
+    if spec.partition not in spec.columns:  # the folder is the year of the timestamp
+        near = near.where(F.col(spec.partition).between(lo.year, hi.year))
+    values = stored.select(*spec.unique) if spec.unique else None
+    found = new_rows(staged, near.select(*spec.key), spec, ordinal, values)
+    fresh = materialise(found.select(*spec.columns), "fresh")
     inserted = fresh.count()
     if inserted:
         _store(fresh, spec, root, "append")
