@@ -36,7 +36,7 @@ def nearest_matches(
     tolerance: timedelta,
     order: Sequence[str],
     target_time: str = "target_time",
-    splits: int = 1,
+    slots: int = 1024,
     how: str = "inner",
 ) -> DataFrame:
     """For each target the record nearest in time with the same ``dims``.
@@ -44,16 +44,17 @@ def nearest_matches(
     On equal gaps the earlier record wins, then the lower ``order`` columns. All
     other columns of the record are added; ``how='left'`` keeps unmatched targets.
 
-    No pairs are formed. Records of one time collapse to one, as do targets of
-    one time; both share time blocks of ``tolerance / splits`` in which the last record
-    before and the first one after a target are read off by a window. Each block
-    also gets the outermost records of the blocks within reach. Copies of a time
-    are gone before the shuffle, so a block holds at most one record per
-    microsecond; a dense archive takes more ``splits`` to cut its blocks shorter.
+    No pairs are formed. Records of one time collapse to one, as do targets of one
+    time. Time is cut into blocks a tolerance long and these into ``slots``; inside
+    a slot two running windows read off the last record before and the first one
+    after a target. What lies outside the slot comes from the slots' outermost
+    records, by a window over the slots of a block and its two neighbours. So no
+    group grows with the data: a slot holds at most one record per microsecond
+    (under two million for half an hour and 1024 slots), a block three times
+    ``slots`` rows.
     """
     span = micros(tolerance)
-    block_size = max(-(-span // splits), 1)
-    reach = -(-span // block_size)
+    slot_size = max(-(-span // slots), 1)
     payload = [c for c in records.columns if c not in dims]
     rest = [c for c in payload if c not in ("datetime", *order)]
 
@@ -61,31 +62,37 @@ def nearest_matches(
     keyed = records.where(F.col("datetime").isNotNull()).select(
         *dims, at.alias("_us"), F.struct(*order, *rest).alias("_rec")
     )
-    single = keyed.groupBy(*dims, "_us").agg(F.min("_rec").alias("_rec"))
-    block = F.floor(F.col("_us") / F.lit(block_size)).cast("bigint")
-    single = single.withColumn("_block", block)
+    slot = F.floor(F.col("_us") / F.lit(slot_size)).cast("bigint").alias("_slot")
+    single = keyed.groupBy(*dims, "_us").agg(F.min("_rec").alias("_rec")).select(*dims, slot, "_us", "_rec")
+    # Copies of a target time meet once; they fan out again in the last join.
+    wanted = targets.select(*dims, epoch_micros(F.col(target_time)).alias("_us")).distinct().select(*dims, slot, "_us")
 
     point = F.struct("_us", "_rec")
-    edges = single.groupBy(*dims, "_block").agg(F.min(point).alias("first"), F.max(point).alias("last"))
-    before = F.sequence(F.col("_block") - reach, F.col("_block") - 1)
-    after = F.sequence(F.col("_block") + 1, F.col("_block") + reach)
-    sent = F.array(
-        F.struct(after.alias("to"), F.col("last").alias("edge")), F.struct(before.alias("to"), F.col("first").alias("edge"))
+    both = single.select(*dims, "_slot", point.alias("_point"), F.lit(0).alias("_asked")).unionByName(
+        wanted.select(*dims, "_slot", F.lit(1).alias("_asked")), allowMissingColumns=True
     )
-    carried = edges.select(*dims, F.inline(sent)).select(*dims, F.explode("to").alias("_block"), "edge")
-
-    # Copies of a target time meet once; they fan out again in the last join.
-    wanted = targets.select(*dims, epoch_micros(F.col(target_time)).alias("_us")).distinct()
-    mixed = (
-        wanted.select(*dims, block.alias("_block"), "_us")
-        .unionByName(single.select(*dims, "_block", "_us", "_rec"), allowMissingColumns=True)
-        .unionByName(
-            carried.select(*dims, "_block", F.col("edge._us").alias("_us"), F.col("edge._rec").alias("_rec")),
-            allowMissingColumns=True,
-        )
+    edges = both.groupBy(*dims, "_slot").agg(
+        F.min("_point").alias("_first"), F.max("_point").alias("_last"), F.max("_asked").alias("_asked")
+    )
+    home = F.floor(F.col("_slot") / F.lit(slots)).cast("bigint")
+    visited = F.when(F.col("_first").isNotNull(), F.sequence(home - 1, home + 1)).otherwise(F.array(home))
+    visiting = edges.withColumn("_home", home).withColumn("_block", F.explode(visited))
+    blocks = Window.partitionBy(*dims, "_block")
+    earlier = blocks.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    later = blocks.orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = visiting.select(
+        "*",
+        F.last("_last", ignorenulls=True).over(earlier).alias("_before"),
+        F.last("_first", ignorenulls=True).over(later).alias("_after"),
+    ).where((F.col("_home") == F.col("_block")) & (F.col("_asked") == 1))
+    carried = reached.select(*dims, "_slot", F.explode(F.array("_before", "_after")).alias("_edge"))
+    carried = carried.where(F.col("_edge").isNotNull())
+
+    mixed = wanted.unionByName(single, allowMissingColumns=True).unionByName(
+        carried.select(*dims, "_slot", F.col("_edge._us").alias("_us"), F.col("_edge._rec").alias("_rec"))
     )
     seen = F.when(F.col("_rec").isNotNull(), point)
-    groups = Window.partitionBy(*dims, "_block")
+    groups = Window.partitionBy(*dims, "_slot")
     is_target = F.col("_rec").isNull().cast("int")
     back = groups.orderBy("_us", is_target).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ahead = groups.orderBy(F.desc("_us"), is_target).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -121,10 +128,10 @@ def covered(
     tolerance: timedelta,
     target_time: str = "target_time",
     inverted: bool = False,
-    splits: int = 1,
+    slots: int = 1024,
 ) -> DataFrame:
     """Targets with (or, ``inverted``, without) any record within the tolerance."""
     times = records.select(*dims, "datetime")
-    near = nearest_matches(targets, times, dims, tolerance, (), target_time, splits, how="left")
+    near = nearest_matches(targets, times, dims, tolerance, (), target_time, slots, how="left")
     found = F.col("gap_us").isNotNull()
     return near.where(~found if inverted else found).select(*targets.columns)

@@ -147,7 +147,7 @@ def best_match_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     targets = events.where("event_type = 'signup'").selectExpr("event_id AS target_id", "grp", "datetime AS target_time")
     records = events.where("event_type <> 'signup'").drop("event_type")
-    near = nearest_matches(targets, records, ("grp",), timedelta(minutes=10), ("event_id",), splits=4, how="left")
+    near = nearest_matches(targets, records, ("grp",), timedelta(minutes=10), ("event_id",), slots=64, how="left")
     return near.withColumns({c: F.col(c).cast("double") for c in ("gap_us", "event_id")})
 
 

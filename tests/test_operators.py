@@ -35,9 +35,9 @@ def _records(rng, n):
     return out
 
 
-@pytest.mark.parametrize("splits", [1, 3, 16])
-def test_nearest_matches_like_brute_force(spark, splits):
-    rng = random.Random(splits)
+@pytest.mark.parametrize("slots", [1, 3, 16, 1024])
+def test_nearest_matches_like_brute_force(spark, slots):
+    rng = random.Random(slots)
     records = _records(rng, 400)
     targets = [(i, rng.choice("abc"), T0 + timedelta(hours=5, seconds=rng.randrange(-900, 90000))) for i in range(150)]
     targets += [(1000 + i, "a", T0 + timedelta(hours=5)) for i in range(60)]
@@ -49,7 +49,7 @@ def test_nearest_matches_like_brute_force(spark, splits):
     found = nearest_matches(
         spark.createDataFrame(targets, "id int, dim string, target_time timestamp_ntz"),
         spark.createDataFrame(records, "dim string, datetime timestamp_ntz, file_path string"),
-        ("dim",), tolerance, ("file_path",), splits=splits, how="left",
+        ("dim",), tolerance, ("file_path",), slots=slots, how="left",
     )
     assert {r["id"]: (r["datetime"], r["file_path"]) for r in found.collect()} == expected
     plan = _plan(found)
