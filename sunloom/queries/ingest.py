@@ -178,14 +178,15 @@ FROM orders
 """
 
 
-def index_documents(spark: SparkSession, sf_dir: str, name: str, delay: int, skipped: int) -> DataFrame:
-    """One document of four half hours per order, two hours apart."""
-    orders = spread(table(spark, sf_dir, "orders")).where(f"o_orderkey % 5 <> {skipped}")
+def index_documents(spark: SparkSession, sf_dir: str, name: str, delay: int, empty: int) -> DataFrame:
+    """One document of four half hours per order, two hours apart; every fifth is empty."""
+    orders = spread(table(spark, sf_dir, "orders"))
     first = f"TIMESTAMP_NTZ'2000-01-01 00:00:00' + make_dt_interval(0, CAST(o_orderkey * 2 AS INT), {delay})"
+    steps = f"IF(o_orderkey % 5 = {empty}, CAST(array() AS array<int>), sequence(0, 3))"
     return orders.selectExpr(
-        f"""transform(sequence(0, 3), i -> date_format({first} + make_dt_interval(0, 0, i * 30),
+        f"""transform({steps}, i -> date_format({first} + make_dt_interval(0, 0, i * 30),
               "yyyy-MM-dd'T'HH:mm:ss'Z'")) AS datetime""",
-        f"""transform(sequence(0, 3), i -> CASE WHEN (o_custkey + i) % 10 = 0 THEN -1.0D
+        f"""transform({steps}, i -> CASE WHEN (o_custkey + i) % 10 = 0 THEN -1.0D
               ELSE (o_custkey + i) % 90 / 3.0D END) AS {name}""",
     )
 
