@@ -138,7 +138,7 @@ def pattern_posteriors(votes: DataFrame, names: list[str], rounds: int = ROUNDS)
                      'bad', array_repeat(0.3D, {len(names)})),
         (s, r) -> aggregate(array(transform(p, q -> named_struct('v', q.v, 'n', q.n, 'g', {posterior}))), s,
           (old, e) -> named_struct(
-            'share', {bounded("aggregate(e, 0D, (t, q) -> t + q.n * q.g) / aggregate(e, 0D, (t, q) -> t + q.n)", SHARE_GOOD)},
+            'share', {bounded("aggregate(e, 0D, (t, q) -> t + q.n * q.g) / nullif(aggregate(e, 0D, (t, q) -> t + q.n), 0D)", SHARE_GOOD)},
             'good', transform({each}, j -> {bounded(right("q.g", 1), GOOD_RIGHT)}),
             'bad', transform({each}, j -> {bounded(right("(1 - q.g)", -1), BAD_RIGHT)}))))
     """
