@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,9 +27,9 @@ from sunloom.llm.common import slices, tokenizer_file
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 # A pre-token is frequent if more than one in FREQUENT occurrences is of it.
-FREQUENT = 150_000
+FREQUENT = 500_000
 # Entries held by a task before they are handed on or forgotten.
-HELD = 200_000
+HELD = 300_000
 
 # Every version of the character tables agrees on what lies below.
 COMMON = "ɐ"
@@ -69,24 +69,32 @@ class PreTokens:
         plain = self.library.normalizer.normalize_str(text)
         return [plain[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(plain)]
 
-    def frequencies(self, text: str) -> tuple[Counter, int]:
-        """Pre-tokens with their counts, and the number of special strings."""
+    def pieces(self, run: str) -> tuple[str, ...]:
+        """Pre-tokens of a run between white space."""
+        known = self.known.get(run)
+        if known is None:
+            if len(self.known) >= HELD:
+                self.known.clear()
+            known = self.known[run] = self._split(run)
+        return known
+
+    def runs(self, text: str) -> tuple[list[str], list[str], int]:
+        """Runs between white space, or else the pre-tokens themselves, and how many special
+        strings there are."""
         specials = 0
         if "<|" in text:
             parts = self.special.split(text)
             specials, text = len(parts) - 1, "\n".join(parts)
-        counts: Counter = Counter()
         if _SEPARATORS.search(text):
-            counts.update(self._exact(text))
-            return counts, specials
-        known = self.known
-        for run, n in Counter(text.split()).items():
-            pieces = known.get(run)
-            if pieces is None:
-                if len(known) >= HELD:
-                    known.clear()
-                pieces = known[run] = self._split(run)
-            for piece in pieces:
+            return [], self._exact(text), specials
+        return text.split(), [], specials
+
+    def frequencies(self, text: str) -> tuple[Counter, int]:
+        """Pre-tokens with their counts, and the number of special strings."""
+        runs, exact, specials = self.runs(text)
+        counts = Counter(exact)
+        for run, n in Counter(runs).items():
+            for piece in self.pieces(run):
                 counts[piece] += n
         return counts, specials
 
@@ -101,22 +109,28 @@ VOCABULARY_SCHEMA = "pre_token string, n long"
 
 def _vocabulary_counts(batches):
     split = PreTokens()
-    held: dict[str, int] = defaultdict(int)
+    runs: Counter = Counter()
+    exact: Counter = Counter()
 
     def handed():
+        for run, n in runs.items():
+            for piece in split.pieces(run):
+                exact[piece] += n
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["pre_token", "n"]
+            [pa.array(list(exact), pa.string()), pa.array(list(exact.values()), pa.int64())], names=["pre_token", "n"]
         )
-        held.clear()
+        runs.clear()
+        exact.clear()
 
     for batch in slices(batches):
         for text in batch.column("text").to_pylist():
             if text:
-                for piece, n in split.frequencies(text)[0].items():
-                    held[piece] += n
-        if len(held) >= HELD:
+                between, others, _ = split.runs(text)
+                runs.update(between)
+                exact.update(others)
+        if len(runs) + len(exact) >= HELD:
             yield from handed()
-    if held:
+    if runs or exact:
         yield from handed()
 
 
@@ -161,20 +175,35 @@ def count_tokens(documents: DataFrame, frequent: int = FREQUENT) -> DataFrame:
 
     def run(batches):
         split, pieces = PreTokens(), known.value
+        parted: dict[str, tuple[int, tuple[str, ...]]] = {}
+
+        def part(run: str) -> tuple[int, tuple[str, ...]]:
+            """Pieces of a run's known pre-tokens, and the others."""
+            if len(parted) >= HELD:
+                parted.clear()
+            found = split.pieces(run)
+            held = sum(pieces.get(p, 0) for p in found), tuple(p for p in found if p not in pieces)
+            parted[run] = held
+            return held
+
         for batch in slices(batches):
             sizes, sums, rests = [], [], []
             for text in batch.column("text").to_pylist():
-                counts, sum_known = split.frequencies(text) if text else ({}, 0)
-                rest = []
-                for piece, n in counts.items():
-                    k = pieces.get(piece)
-                    if k is None:
-                        rest.append((piece, n))
+                between, others, total = split.runs(text) if text else ([], [], 0)
+                rest: dict[str, int] = {}
+                for p in others:
+                    if p in pieces:
+                        total += pieces[p]
                     else:
-                        sum_known += k * n
+                        rest[p] = rest.get(p, 0) + 1
+                for run, n in Counter(between).items():
+                    held, rare = parted.get(run) or part(run)
+                    total += held * n
+                    for p in rare:
+                        rest[p] = rest.get(p, 0) + n
                 sizes.append(len(text.encode()) if text else 0)
-                sums.append(sum_known)
-                rests.append(rest)
+                sums.append(total)
+                rests.append(list(rest.items()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
