@@ -48,6 +48,25 @@ def marginals(e: np.ndarray, mask: np.ndarray, trans: np.ndarray, first: np.ndar
     return np.exp(alpha + beta - z[:, None, None])
 
 
+def two_label_marginals(e: np.ndarray, mask: np.ndarray, trans: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The same for two labels, by recursions of the log odds alone."""
+    d = np.ascontiguousarray((e[..., 1] - e[..., 0]).T)
+    real = np.ascontiguousarray(mask.T)
+    length = len(d)
+    ahead, back = np.empty_like(d), np.zeros_like(d)
+    ahead[0] = first[1] - first[0] + d[0]
+    for t in range(1, length):
+        a = ahead[t - 1]
+        step = d[t] + np.logaddexp(trans[0, 1], trans[1, 1] + a) - np.logaddexp(trans[0, 0], trans[1, 0] + a)
+        ahead[t] = np.where(real[t], step, a)
+    for t in range(length - 2, -1, -1):
+        b = d[t + 1] + back[t + 1]
+        step = np.logaddexp(trans[1, 0], trans[1, 1] + b) - np.logaddexp(trans[0, 0], trans[0, 1] + b)
+        back[t] = np.where(real[t + 1], step, 0)
+    p = 1 / (1 + np.exp(-np.clip(ahead + back, -60, 60)))
+    return np.stack([1 - p.T, p.T], axis=2)
+
+
 def viterbi(e: np.ndarray, mask: np.ndarray, trans: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Best labels (chain, place); padding repeats the last label."""
     n, length, k = e.shape
@@ -156,9 +175,12 @@ class Chain:
         self.weights, self.trans, self.first = params
         return self
 
-    def scores(self, word: str) -> np.ndarray:
-        """Label scores of a word as (role, label)."""
-        found = [self.index[f] for f in self.features(word) if f in self.index]
+    def known_features(self, word: str) -> tuple[int, ...]:
+        index = self.index
+        return tuple(index[f] for f in self.features(word) if f in index)
+
+    def scores(self, found: tuple[int, ...]) -> np.ndarray:
+        """Label scores of a word with these features as (role, label)."""
         return self.weights[:, [*found, self.weights.shape[1] - 1]].sum(axis=1)
 
 
@@ -172,48 +194,57 @@ class Decoder:
     def _forget(self) -> None:
         k = len(self.field.labels)
         self.known: dict[str, int] = {}
-        # Row 0 is the missing neighbour.
+        # Words with the same known features share a row; row 0 is the missing neighbour.
+        self.rows: dict[tuple[int, ...], int] = {}
         self.table = np.zeros((4096, ROLES, k), dtype=np.float32)
 
-    def _ids(self, words: list[str]) -> list[int]:
-        known = self.known
-        ids = [known.get(w, -1) for w in words]
-        if -1 in ids:
-            for i, row in enumerate(ids):
-                if row < 0:
-                    word = words[i]
-                    row = known.get(word)
-                    if row is None:
-                        row = known[word] = len(known) + 1
-                        if row >= len(self.table):
-                            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                        self.table[row] = self.field.scores(word)
-                    ids[i] = row
-        return ids
+    def _learn(self, word: str) -> int:
+        found = self.field.known_features(word)
+        row = self.rows.get(found)
+        if row is None:
+            row = self.rows[found] = len(self.rows) + 1
+            if row >= len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[row] = self.field.scores(found)
+        self.known[word] = row
+        return row
 
     def _emissions(self, texts: Iterable[list[str]]):
+        """Sizes, label scores of all tokens on end, and the chains' places and masks."""
         if len(self.known) > REMEMBERED:
             self._forget()
-        ids = [self._ids(words) for words in texts]
-        sizes = np.array([len(i) for i in ids], dtype=np.int64)
-        flat = np.array([x for i in ids for x in i], dtype=np.int64)
+        words: list[str] = []
+        sizes = []
+        for tokens in texts:
+            words += tokens
+            sizes.append(len(tokens))
+        known, ids = self.known, list(map(self.known.get, words))
+        if None in ids:
+            for i, row in enumerate(ids):
+                if row is None:
+                    row = known.get(words[i])
+                    ids[i] = self._learn(words[i]) if row is None else row
+        flat, sizes = np.array(ids, dtype=np.int64), np.array(sizes, dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
-        before, after = np.zeros_like(flat), np.zeros_like(flat)
-        before[1:], after[:-1] = flat[:-1], flat[1:]
         filled = starts[sizes > 0]
-        before[filled] = 0
-        after[filled + sizes[sizes > 0] - 1] = 0
-        e = self.table[flat, 0] + self.table[before, 1] + self.table[after, 2]
+        e = self.table[flat, 0]
+        if self.field.context:
+            before, after = np.zeros_like(flat), np.zeros_like(flat)
+            before[1:], after[:-1] = flat[:-1], flat[1:]
+            before[filled] = 0
+            after[filled + sizes[sizes > 0] - 1] = 0
+            e = e + self.table[before, 1] + self.table[after, 2]
         at, mask = _chains(filled, sizes[sizes > 0], CHAIN)
         return sizes, e, at, mask
 
-    def _run(self, texts: list[list[str]], method, width: int) -> list[np.ndarray]:
+    def _run(self, texts: list[list[str]], method, width: int, plain=None) -> list[np.ndarray]:
         sizes, e, at, mask = self._emissions(texts)
         out = np.zeros((len(e), width), dtype=np.float32)
         if len(at):
-            # Chains of equal length need no padding; the short last ones do.
             full = mask.all(axis=1)
-            for rows in (full, ~full):
+            open_chains = np.ones(len(at), bool) if plain is None else ~plain(e)[at].all(axis=1)
+            # Chains of equal length need no padding; the short last ones do.
+            for rows in (full & open_chains, ~full & open_chains):
                 if rows.any():
                     longest = int(mask[rows].sum(axis=1).max())
                     places, real = at[rows, :longest], mask[rows, :longest]
@@ -221,10 +252,24 @@ class Decoder:
                     out[places[real]] = found.reshape(*places.shape, -1)[real]
         return np.split(out, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
+    def _certain(self, e: np.ndarray) -> np.ndarray:
+        """Tokens so far on the side of label 0 that a chain of such has no other label.
+
+        A stretch of other labels gains at most its tokens' own margins, one step inside for
+        each token but the first, and a way in and out; the largest of these per token bounds
+        all, so below it every stretch loses against label 0 throughout.
+        """
+        t, f = self.field.trans, self.field.first
+        into, out = (t[0, 1:] - t[0, 0]).max(), (t[1:, 0] - t[0, 0]).max()
+        begin, inside = (f[1:] - f[0]).max(), (t[1:, 1:] - t[0, 0]).max()
+        bound = max(into, into + out, begin, begin + out, inside)
+        return e[:, 1:].max(axis=1) - e[:, 0] + bound < 0
+
     def best(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Viterbi labels of each text's tokens."""
-        return [a[:, 0].astype(np.int8) for a in self._run(texts, viterbi, 1)]
+        return [a[:, 0].astype(np.int8) for a in self._run(texts, viterbi, 1, self._certain)]
 
     def probabilities(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Marginals (token, label) of each text."""
-        return self._run(texts, marginals, len(self.field.labels))
+        k = len(self.field.labels)
+        return self._run(texts, two_label_marginals if k == 2 else marginals, k)

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,12 +30,12 @@ from sunloom.llm.crf import Chain, Decoder
 
 FOLDS, HELD_OUT = 3, 1
 # At most so many toxic and clean labelled documents teach, each with so many characters.
-TOXIC_ROWS, CLEAN_ROWS = 1024, 4096
+TOXIC_ROWS, CLEAN_ROWS = 1024, 3072
 SAMPLE_CHARS = 6000
 THRESHOLD = 0.7
 # Chains the field learns from: tokens on each side of a toxic one, and tokens of a clean one.
 BESIDE, CLEAN_CHAIN = 6, 24
-TOXIC_CHAINS, CLEAN_CHAINS = 2000, 5000
+TOXIC_CHAINS, CLEAN_CHAINS = 2000, 4000
 # Evidence beyond what the best of all candidates shows by chance, in nats.
 EVIDENCE = 4.0
 LABELS = ("clean", "toxic")
@@ -67,23 +68,19 @@ def toxic_marks(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
     index: dict[str, int] = {}
 
     def contexts(texts: list[list[str]], grow: bool) -> tuple[np.ndarray, int]:
-        pairs, total = [], set()
+        pairs, total = array("q"), array("q")
         for words in texts:
             around = ["", *words, ""]
             for i, word in enumerate(words):
                 where = hash((around[i], word, around[i + 2])) & 0xFFFFFFFF
-                if grow:
-                    total.add(where)
+                total.append(where)
                 for mark in _marks(word):
                     known = index.setdefault(mark, len(index)) if grow else index.get(mark)
                     if known is not None:
                         pairs.append(known << 32 | where)
-                        if not grow:
-                            total.add(where)
-            if not grow:
-                total.update(hash((a, b)) & 0xFFFFFFFF for a, b in zip(words, words[1:]))
-        found = np.unique(np.array(pairs, dtype=np.int64)) >> 32
-        return np.bincount(found, minlength=len(index)) if index else np.zeros(0, int), len(total)
+        found = np.unique(np.frombuffer(pairs, dtype=np.int64)) >> 32 if pairs else np.zeros(0, np.int64)
+        n = len(np.unique(np.frombuffer(total, dtype=np.int64))) if total else 0
+        return np.bincount(found, minlength=len(index)), n
 
     bad, n_bad = contexts(toxic, True)
     good, n_good = contexts(clean, False)
@@ -105,7 +102,13 @@ def labelled_chains(rows: list[tuple[int, str]]) -> list[tuple[list[str], list[i
     Chains lie around marked tokens, toxic in toxic documents and not in clean ones, and all
     along clean documents.
     """
-    split = {flag: [[core(t) for t in text.split()] for text in texts] for flag, texts in _by_flag(rows).items()}
+    known: dict[str, str] = {}
+
+    def cores(text: str) -> list[str]:
+        # Equal tokens share one string.
+        return [known.get(t) or known.setdefault(t, core(t)) for t in text.split()]
+
+    split = {flag: [cores(text) for text in texts] for flag, texts in _by_flag(rows).items()}
     marks = toxic_marks(split[1], split[0])
 
     alike = {b for m in marks for b in _marks(m.rstrip("*"))} | marks

@@ -322,6 +322,27 @@ def test_forward_backward_and_viterbi_match_all_paths():
         assert best[row, :n].tolist() == paths[scores.argmax()].tolist()
 
 
+def test_two_label_recursions_and_certain_chains():
+    rng = np.random.default_rng(1)
+    e, trans, first = rng.normal(size=(5, 7, 2)), rng.normal(size=(2, 2)), rng.normal(size=2)
+    mask = np.arange(7) < np.array([[7], [5], [1], [3], [6]])
+    assert np.allclose(
+        crf.two_label_marginals(e, mask, trans, first)[mask], crf.marginals(e, mask, trans, first)[mask], atol=1e-6
+    )
+    words = [f"w{k}" for k in range(30)]
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        field = crf.Chain(("o", "a", "b"), lambda w: [w])
+        field.index = {w: k for k, w in enumerate(words)}
+        field.weights = rng.normal(size=(3, 31, 3)) * 0.4
+        field.weights[0, :30, 0] += rng.exponential(3, size=30)
+        field.trans, field.first = rng.normal(size=(3, 3)), rng.normal(size=3)
+        texts = [list(rng.choice(words, size=n)) for n in (1, 5, 64, 65, 200)]
+        decoder = crf.Decoder(field)
+        pruned, whole = decoder.best(texts), decoder._run(texts, crf.viterbi, 1)
+        assert all((a == b[:, 0]).all() for a, b in zip(pruned, whole))
+
+
 # --- secrets
 
 HIDDEN = [
