@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunloom.session import materialise
 
-LAST_ROUND_ROWS = 50_000
-
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key (NULLs equal); combined before the shuffle."""
@@ -39,9 +36,10 @@ def accept_in_order(df: DataFrame, key: Sequence[str], unique: str, ordinal: str
     value. Taking the first per key and then the first per value is wrong: a
     row beaten by a row that is itself refused must come back. So each round
     takes the rows that are first in both of their groups and drops what these
-    exclude, until none remain. Every round finishes at least the earliest open
-    row; a handful is usual. The last rows, once few enough, are walked through in
-    one task. ``ordinal`` must be distinct.
+    exclude, until none remain; the same rounds for any size. A handful is usual.
+    Every round finishes at least the earliest open row and what it excludes, so a
+    chain of n rows, each barred by the one before, takes n / 2 rounds: such batches
+    are sequential by their meaning. ``ordinal`` must be distinct.
     """
     keyed = df.select(*key, F.col(unique), F.col(ordinal))
     # Exact copies of a key and value pair can never be taken after their first.
@@ -50,12 +48,7 @@ def accept_in_order(df: DataFrame, key: Sequence[str], unique: str, ordinal: str
     )
     taken: DataFrame | None = None
     while True:
-        count = remaining.count()
-        if count == 0:
-            break
-        if count <= LAST_ROUND_ROWS:
-            finished = _walk(remaining, key, unique, ordinal)
-            taken = finished if taken is None else taken.unionByName(finished)
+        if remaining.isEmpty():
             break
         by_key = remaining.groupBy(*key).agg(F.min(ordinal).alias(ordinal)).select(ordinal)
         by_value = remaining.groupBy(unique).agg(F.min(ordinal).alias(ordinal)).select(ordinal)
@@ -68,23 +61,3 @@ def accept_in_order(df: DataFrame, key: Sequence[str], unique: str, ordinal: str
     if taken is None:
         return df.limit(0)
     return df.join(taken, ordinal, "left_semi")
-
-
-def _walk(rows: DataFrame, key: Sequence[str], unique: str, ordinal: str) -> DataFrame:
-    """At most ``LAST_ROUND_ROWS`` rows, in order, in one task."""
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, values = set(), set()
-        for batch in batches:
-            kept = []
-            for row in batch.itertuples(index=False):
-                key_part = tuple(None if pd.isna(v) else v for v in row[: len(key)])
-                if key_part not in keys and row[-2] not in values:
-                    keys.add(key_part)
-                    values.add(row[-2])
-                    kept.append(row[-1])
-            yield pd.DataFrame({ordinal: kept})
-
-    ordered = rows.select(*key, unique, ordinal).coalesce(1).sortWithinPartitions(ordinal)
-    place = rows.schema[ordinal].dataType.simpleString()
-    return ordered.mapInPandas(walk, f"`{ordinal}` {place}")

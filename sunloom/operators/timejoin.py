@@ -128,10 +128,25 @@ def covered(
     tolerance: timedelta,
     target_time: str = "target_time",
     inverted: bool = False,
-    slots: int = 1024,
 ) -> DataFrame:
-    """Targets with (or, ``inverted``, without) any record within the tolerance."""
-    times = records.select(*dims, "datetime")
-    near = nearest_matches(targets, times, dims, tolerance, (), target_time, slots, how="left")
-    found = F.col("gap_us").isNotNull()
-    return near.where(~found if inverted else found).select(*targets.columns)
+    """Targets with (or, ``inverted``, without) any record within the tolerance.
+
+    Time is cut into slots one tolerance long. A record in a target's own slot is near
+    enough; otherwise only the last one of the slot before or the first one of the slot
+    after can be. So the records shrink to their first and last time in each slot, and
+    each slot is looked up by the targets of three.
+    """
+    span = max(micros(tolerance), 1)
+    at = epoch_micros(F.col("datetime"))
+    times = records.where(F.col("datetime").isNotNull()).select(*dims, at.alias("_us"))
+    slot = F.floor(F.col("_us") / F.lit(span)).cast("bigint")
+    edges = times.groupBy(*dims, slot.alias("_slot")).agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"))
+    wanted = targets.select(*dims, epoch_micros(F.col(target_time)).alias("_us")).where("_us IS NOT NULL").distinct()
+    asked = wanted.withColumn("_slot", F.explode(F.sequence(slot - 1, slot + 1)))
+    limit = F.lit(micros(tolerance))
+    near = (F.abs(F.col("_first") - F.col("_us")) <= limit) | (F.abs(F.col("_last") - F.col("_us")) <= limit)
+    own = F.col("_slot") == slot
+    met = asked.join(edges, [*dims, "_slot"]).where(near | own & (limit >= span))
+    found = met.select(*dims, "_us").distinct()
+    keyed = targets.withColumn("_us", epoch_micros(F.col(target_time)))
+    return keyed.join(found, [*dims, "_us"], "left_anti" if inverted else "left_semi").select(*targets.columns)

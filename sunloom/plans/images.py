@@ -176,12 +176,16 @@ class Registration:
 def register(classified: DataFrame, records: DataFrame, spec: TableSpec, root: str, quarantine_root: str) -> Registration:
     """Store the valid records whose key and path are free, set the others aside.
 
-    Files are taken in path order. ``classified`` should be materialised: it is
-    read by both branches.
+    Files are taken in path order. Valid records that lack a key part are set aside
+    too, as ``missing_key``. ``classified`` should be materialised: it is read by
+    both branches.
     """
     counts = insert_ignore(records, spec, root, ("path",))
-    quarantine(classified, quarantine_root)
-    return Registration(counts, classified.where(F.col("error").isNotNull()).count())
+    bad = classified.where(F.col("error").isNotNull()).select("path", "error")
+    if counts.refused:
+        bad = bad.unionByName(counts.refused_rows.select("path", "error"))
+    quarantine(bad, quarantine_root)
+    return Registration(counts, classified.where(F.col("error").isNotNull()).count() + counts.refused)
 
 
 def register_sdo(classified: DataFrame, root: str, quarantine_root: str, archive: str | None = None) -> Registration:

@@ -19,9 +19,11 @@ from sunloom.tables import TABLES
 def ingest_solar_wind(spark: SparkSession, path: str | list[str], layout: RecordLayout, root: str) -> DataFrame:
     """Fixed-width files of any number of years; each year replaces itself.
 
-    Returns the rows refused for lack of a timestamp.
+    Of lines with one time the first stays. Returns the rows refused, for a repeated
+    or a missing timestamp.
     """
-    return replace_years(parse_fixed_width(read_lines(spark, path), layout), TABLES[layout.table], root)
+    rows = parse_fixed_width(read_lines(spark, path), layout, keep=LINE_ORDER)
+    return replace_years(rows, TABLES[layout.table], root, LINE_ORDER)
 
 
 def ingest_index_years(

@@ -74,7 +74,9 @@ def _printed(f: Field, i: int) -> Column:
 
 
 def record_lines(spark: SparkSession, sf_dir: str, layout: RecordLayout) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders"))
+    # In order of key, so the first line of a time is that of the lowest key.
+    cores = spark.sparkContext.defaultParallelism
+    orders = table(spark, sf_dir, "orders").repartitionByRange(cores, "o_orderkey").sortWithinPartitions("o_orderkey")
     digits = [
         F.expr(_digits(f, i).replace(SEED, "seed")).cast("bigint").alias(f.name) for i, f in enumerate(layout.fields)
     ]
@@ -143,7 +145,9 @@ def _sql_stored() -> str:
         f"({sql_value(f, i)}){'' if f.decimals is None else '::FLOAT'}::DOUBLE AS {f.name.lower()}"
         for i, f in enumerate(MINUTE.fields)
     )
-    return f"SELECT {_sql_clock(MINUTE)} AS datetime, {columns} FROM orders"
+    rows = f"SELECT o_orderkey, {_sql_clock(MINUTE)} AS datetime, {columns} FROM orders"
+    return f"""SELECT * EXCLUDE (o_orderkey) FROM ({rows}) WHERE datetime IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY datetime ORDER BY o_orderkey) = 1"""
 
 
 # --- blank-separated text and JSON ---------------------------------------------
@@ -485,9 +489,7 @@ SELECT coalesce(error, 'valid') AS outcome, count(*) AS n FROM classified GROUP
 def sdo_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headers to the stored catalogue, twice; the second run adds nothing."""
     units = header_units(cut_units(sdo_files(spark, sf_dir)))
-    found = materialise(images.classify_sdo(units, check_quality=False), "classified").where(
-        F.col("channel").isNotNull() | F.col("error").isNotNull()
-    )
+    found = materialise(images.classify_sdo(units, check_quality=False), "classified")
     root, refused = scratch_path(spark, "sdo"), scratch_path(spark, "refused")
     for _ in range(2):
         images.register_sdo(found, root, refused, archive="/archive")
@@ -507,6 +509,33 @@ FROM utc QUALIFY row_number() OVER (PARTITION BY telescope, channel, t ORDER BY
 """
 
 
+def refused_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs of the registration set aside, each file once: refused headers, and
+    valid ones that lack a part of the key."""
+    units = header_units(cut_units(sdo_files(spark, sf_dir)))
+    found = materialise(images.classify_sdo(units, check_quality=False), "classified")
+    root, refused = scratch_path(spark, "sdo"), scratch_path(spark, "refused")
+    for _ in range(2):
+        images.register_sdo(found, root, refused, archive="/archive")
+    return spark.read.parquet(refused).select("path", "error")
+
+
+SQL_REFUSED = f"""
+WITH {_sql_classified(False, False)}
+SELECT path, coalesce(error, 'missing_key') AS error FROM classified WHERE error IS NOT NULL OR channel IS NULL
+"""
+
+
+def quarantine_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch set aside twice is there once."""
+    units = header_units(cut_units(sdo_files(spark, sf_dir)))
+    out = scratch_path(spark, "quarantine")
+    found = materialise(images.classify_sdo(units, has_data="has_pixels").select("path", "error"), "classified")
+    for _ in range(2):
+        quarantine(found, out)
+    return outcome_counts(spark.read.parquet(out), "error")
+
+
 def filing_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each valid image goes; every fifth place is taken by another file already."""
     units = header_units(cut_units(sdo_files(spark, sf_dir)))
@@ -643,6 +672,8 @@ QUERIES = {
     "classify_headers": classify_headers,
     "header_outcomes": header_outcomes,
     "sdo_registered": sdo_registered,
+    "refused_keys": refused_keys,
+    "quarantine_replayed": quarantine_replayed,
     "filing_outcomes": filing_outcomes,
     "quarantine_counts": quarantine_counts,
     "lasco_records": lasco_records,
@@ -663,6 +694,8 @@ ORACLES = {
     "classify_headers": SQL_CLASSIFY,
     "header_outcomes": SQL_OUTCOMES,
     "sdo_registered": SQL_SDO_REGISTERED,
+    "refused_keys": SQL_REFUSED,
+    "quarantine_replayed": SQL_QUARANTINE,
     "filing_outcomes": SQL_FILING,
     "quarantine_counts": SQL_QUARANTINE,
     "lasco_records": SQL_LASCO,

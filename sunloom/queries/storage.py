@@ -83,10 +83,37 @@ def appended_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_APPENDED = """
-SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 3 = 0 THEN 'invalid_time' ELSE 'stored' END AS fate
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 3 = 0 THEN 'missing_key' ELSE 'stored' END AS fate
 FROM orders
 """
 
+def duplicate_keys_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the orders replace years, each line of one being a row; the rest is appended
+    with rows already stored. The fate of each line."""
+    lines = table(spark, sf_dir, "lineitem").join(_dated_orders(spark, sf_dir), F.expr("l_orderkey = o_orderkey"))
+    rows = lines.select("o_orderkey", "datetime", F.col("l_linenumber").cast("double").alias("o_totalprice"))
+    root = scratch_path(spark, "duplicates")
+    refused = replace_years(rows.where("o_orderkey % 2 = 0"), ORDERS_BY_YEAR, root, ("o_totalprice",))
+    more = append_rows(rows.where("o_orderkey % 4 <> 2"), ORDERS_BY_YEAR, root, ("o_totalprice",))
+    stored = read_table(spark, root, ORDERS_BY_YEAR).select("o_orderkey", "o_totalprice", F.lit("stored").alias("fate"))
+    for frame in (refused, more):
+        stored = stored.unionByName(frame.select("o_orderkey", "o_totalprice", F.col("error").alias("fate")))
+    return stored.groupBy("o_orderkey", "fate").agg(F.count("*").alias("n"), F.min("o_totalprice").alias("first_line"))
+
+
+SQL_DUPLICATES = """
+WITH rows AS (
+  SELECT o_orderkey, l_linenumber::DOUBLE AS line, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber) AS r
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+),
+fates AS (
+  SELECT o_orderkey, line, CASE WHEN r = 1 THEN 'stored' ELSE 'duplicate_key' END AS fate FROM rows
+  UNION ALL
+  SELECT o_orderkey, line, 'duplicate_key' FROM rows WHERE o_orderkey % 4 = 0
+)
+SELECT o_orderkey, fate, count(*) AS n, min(line) AS first_line FROM fates GROUP BY ALL
+"""
+
 _LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
 
 
@@ -325,6 +352,7 @@ FROM names LEFT JOIN lasco USING (table_name)
 QUERIES = {
     "replaced_years": replaced_years,
     "appended_rows": appended_rows,
+    "duplicate_keys_refused": duplicate_keys_refused,
     "insert_ignore_batch": insert_ignore_batch,
     "insert_ignore_unique": insert_ignore_unique,
     "insert_ignore_hot": insert_ignore_hot,
@@ -341,6 +369,7 @@ QUERIES = {
 ORACLES = {
     "replaced_years": SQL_REPLACED,
     "appended_rows": SQL_APPENDED,
+    "duplicate_keys_refused": SQL_DUPLICATES,
     "insert_ignore_batch": SQL_INSERT_IGNORE,
     "insert_ignore_unique": SQL_UNIQUE,
     "insert_ignore_hot": SQL_HOT,

@@ -58,7 +58,8 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    # local-cluster[...] has executors of their own, so only local[...] may fall back.
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="sunloom-"))
     return context.getCheckpointDir().rstrip("/")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,31 +94,23 @@ def export_index(samples: DataFrame, path: str, phase: str = "phase") -> None:
     csv_text(spread).write.mode("overwrite").option("header", "true").partitionBy(phase).csv(path)
 
 
-FILES_PER_DOCUMENT = 10_000
 REQUEST = ("query_time", "target_time", "time_range", "telescope")
 
 
 def manifest_documents(files: DataFrame, by: Sequence[str] = REQUEST) -> DataFrame:
-    """Nested documents: request to channels to files.
+    """Nested documents, one for each request and channel: request to channel to files.
 
     A row without a file name is a channel searched in vain; it shows as an empty
-    list. A request without any file gives no document. A request too large for
-    one document comes in several, parted by channel and name; the reader takes
-    them together.
+    list. A request without any file gives no document. The reader takes the
+    documents of a request together.
     """
-    group = (*by, "channel")
-    sizes = files.groupBy(*[F.col(c).alias(f"_of_{c}") for c in group]).agg(F.count("filename").alias("_n"))
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group]
-    sized = files.join(sizes, same, "left").select(*files.columns, "_n")
-    parts = F.ceil((F.col("_n") + 1) / FILES_PER_DOCUMENT)
-    parted = sized.withColumn("_part", F.pmod(F.xxhash64("channel", "url", "filename"), parts))
-    file = F.when(F.col("filename").isNotNull(), F.struct("url", "filename"))
-    per_channel = parted.groupBy(*by, "_part", "channel").agg(F.array_sort(F.collect_list(file)).alias("files"))
-    channels = F.map_from_entries(F.array_sort(F.collect_list(F.struct("channel", F.struct("files")))))
-    documents = per_channel.groupBy(*by, "_part").agg(
-        channels.alias("channels"), F.max(F.size("files")).alias("_most")
-    )
-    return documents.where(F.col("_most") > 0).select(*by, "channels")
+    found = F.col("filename").isNotNull()
+    file = F.when(found, F.struct("url", "filename"))
+    per_channel = files.groupBy(*by, "channel").agg(F.array_sort(F.collect_list(file)).alias("files"))
+    documents = per_channel.select(*by, F.create_map("channel", F.struct("files")).alias("channels"))
+    wanted = files.where(found).select(*[F.col(c).alias(f"_of_{c}") for c in by]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
+    return documents.join(wanted, same, "left_semi")
 
 
 def write_manifests(documents: DataFrame, path: str) -> None:

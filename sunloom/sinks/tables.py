@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunloom.functions.names import child
@@ -13,7 +14,16 @@ from sunloom.functions.times import ntz
 from sunloom.operators.inserts import accept_in_order, first_per_key, without_known
 from sunloom.operators.reconcile import absent, present
 from sunloom.session import materialise
-from sunloom.tables import TableSpec, conform, ensure_tables, read_table, split_unkeyed, table_path, with_partition
+from sunloom.tables import (
+    TableSpec,
+    conform,
+    ensure_tables,
+    read_table,
+    split_unkeyed,
+    table_exists,
+    table_path,
+    with_partition,
+)
 
 
 def _store(df: DataFrame, spec: TableSpec, root: str, mode: str) -> None:
@@ -30,28 +40,70 @@ def _store(df: DataFrame, spec: TableSpec, root: str, mode: str) -> None:
     writer.partitionBy(spec.partition).parquet(table_path(root, spec.name))
 
 
-def replace_years(df: DataFrame, spec: TableSpec, root: str) -> DataFrame:
+DUPLICATE = "duplicate_key"
+
+
+def _same_key(spec: TableSpec, other: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{other}{c}")) for c in spec.key])
+
+
+def settle_keys(df: DataFrame, spec: TableSpec, order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """One row for each key, the first in ``order``, and the rows refused with their ``error``.
+
+    Refused are rows without a required column and all but the first of a key.
+    Keys are counted with partial sums; rows of repeated keys alone are compared.
+    """
+    numbered = conform(df, spec, keep=order).withColumn("_row", F.monotonically_increasing_id())
+    staged = materialise(numbered, spec.name)
+    fit, unfit = split_unkeyed(staged, spec)
+    firsts = fit.groupBy(*[F.col(c).alias(f"_of_{c}") for c in spec.key]).agg(
+        F.count("*").alias("_n"), F.min(F.struct(*order, "_row")).alias("_first")
+    )
+    repeated = materialise(firsts.where("_n > 1").select("*", F.col("_first._row").alias("_kept")).drop("_first"), "repeated")
+    dropped = [*[c for c in order if c not in spec.columns], "_row"]
+    if repeated.isEmpty():
+        return fit.drop(*dropped), unfit.drop(*dropped)
+    losers = fit.join(repeated, _same_key(spec, "_of_"), "left_semi").join(
+        repeated.select(F.col("_kept").alias("_row")), "_row", "left_anti"
+    )
+    losers = losers.select(*fit.columns, F.lit(DUPLICATE).alias("error"))
+    kept = fit.join(losers.select("_row"), "_row", "left_anti").select(*fit.columns)
+    return kept.drop(*dropped), unfit.unionByName(losers).drop(*dropped)
+
+
+def replace_years(df: DataFrame, spec: TableSpec, root: str, order: Sequence[str] = ()) -> DataFrame:
     """Replace the years present in ``df``, in one commit; other years stay.
 
-    Returns the rows refused because a required column, in practice the
-    timestamp, is missing.
+    Returns the rows refused: those without a required column, in practice the
+    timestamp, and those whose key an earlier row has.
     """
-    fit, unfit = split_unkeyed(materialise(conform(df, spec), spec.name), spec)
-    _store(fit, spec, root, "overwrite")
-    return unfit
+    kept, refused = settle_keys(df, spec, order)
+    _store(kept, spec, root, "overwrite")
+    return refused
 
 
-def append_rows(df: DataFrame, spec: TableSpec, root: str) -> DataFrame:
-    """Plain append, all or nothing."""
-    fit, unfit = split_unkeyed(materialise(conform(df, spec), spec.name), spec)
-    _store(fit, spec, root, "append")
-    return unfit
+def append_rows(df: DataFrame, spec: TableSpec, root: str, order: Sequence[str] = ()) -> DataFrame:
+    """Append the rows of new keys; returns the others, with what ``replace_years`` refuses."""
+    spark = df.sparkSession
+    kept, refused = settle_keys(df, spec, order)
+    if table_exists(spark, table_path(root, spec.name)):
+        held = read_table(spark, root, spec).select(*[F.col(c).alias(f"_of_{c}") for c in spec.key])
+        known = kept.join(held, _same_key(spec, "_of_"), "left_semi").withColumn("error", F.lit(DUPLICATE))
+        # The refused rows outlive the write that makes their keys known, so they are set down first.
+        refused = materialise(refused.unionByName(known), "refused")
+        kept = materialise(without_known(kept, held.toDF(*spec.key), spec.key), "fresh")
+    _store(kept, spec, root, "append")
+    return refused
 
 
 @dataclass(frozen=True)
 class InsertCounts:
+    """Rows with a key that were offered and inserted, and the rows refused for lack of one."""
+
     offered: int
     inserted: int
+    refused: int = 0
+    refused_rows: DataFrame | None = field(default=None, compare=False, repr=False)
 
     @property
     def ignored(self) -> int:
@@ -84,15 +136,20 @@ def new_rows(
 def insert_ignore(batch: DataFrame, spec: TableSpec, root: str, ordinal: Sequence[str]) -> InsertCounts:
     """Insert the rows whose key (and unique column) are free; count what went in.
 
+    Rows without a required column are counted and returned, not inserted.
+
     Only the stored rows inside the batch's time range are compared by key; paths
     are compared with all stored paths, one column read.
     """
     spark = batch.sparkSession
-    fit, _ = split_unkeyed(conform(batch, spec, keep=ordinal), spec)
-    staged = materialise(fit, "batch")
+    # Columns the table lacks stay with the batch, so refused rows can be told.
+    extra = [c for c in batch.columns if c.lower() not in spec.columns and c not in ordinal]
+    whole = materialise(conform(batch, spec, keep=[*ordinal, *[c.lower() for c in extra if c.lower() != "error"]]), "batch")
+    staged, unfit = split_unkeyed(whole, spec)
+    refused = unfit.count()
     lo, hi, offered = staged.agg(F.min("datetime"), F.max("datetime"), F.count("*")).first()
     if not offered:
-        return InsertCounts(0, 0)
+        return InsertCounts(0, 0, refused, unfit)
     ensure_tables(spark, root, [spec])
     stored = read_table(spark, root, spec)
     near = stored.where(F.col("datetime").between(ntz(lo), ntz(hi)))
@@ -104,7 +161,7 @@ def insert_ignore(batch: DataFrame, spec: TableSpec, root: str, ordinal: Sequenc
     inserted = fresh.count()
     if inserted:
         _store(fresh, spec, root, "append")
-    return InsertCounts(offered, inserted)
+    return InsertCounts(offered, inserted, refused, unfit)
 
 
 def surviving_rows(catalog: DataFrame, listing: DataFrame, column: str = "file_path", path: str = "path") -> DataFrame:
@@ -130,9 +187,16 @@ def delete_orphans(spark: SparkSession, spec: TableSpec, root: str, new_root: st
     return catalog.count() - read_table(spark, new_root, spec).count()
 
 
-def quarantine(classified: DataFrame, root: str, error: str = "error") -> None:
-    """Refused records below ``root``, one folder per error class."""
+def quarantine(classified: DataFrame, root: str, error: str = "error", path: str = "path") -> None:
+    """Refused records below ``root``, one folder per error class, each path once.
+
+    Paths already set aside are left as they are, so a run may be repeated.
+    """
+    spark = classified.sparkSession
     bad = classified.where(F.col(error).isNotNull())
+    if table_exists(spark, root):
+        held = spark.read.parquet(root).select(path)
+        bad = materialise(without_known(bad, held, [path]), "refused")
     bad.write.mode("append").partitionBy(error).parquet(root)
 
 

@@ -18,20 +18,35 @@ from sunloom.functions.stages import computed_once
 
 CARD = 80
 BLOCK = 2880
+# Names that Spark gives to stores known under others.
+_SCHEMES = re.compile(r"^(?:s3a|s3n)://|^file:/(?!/)")
+
+
+def _store_scheme(found: re.Match) -> str:
+    return "file:///" if found[0].startswith("file") else "s3://"
+
+
 _END = r"(?s)^(?:.{80})*?END {77}"
 _VALUE_CARD = (
     r"(?m)^(?=[^\n]{8}= )([^ \n]+) *= *(?:'((?:[^'\n]|'')*+)'[^\n]*|([^'/ \n][^/\n]*?) *(?:/[^\n]*)?)\n"
 )
 
 
-def _header_bytes(handle) -> bytes:
-    """Blocks from here through the one with the END card."""
-    head = b""
+def _header_bytes(handle, mark: bytes) -> bytes:
+    """Blocks from here through the one with the END card, if the first starts with ``mark``.
+
+    Cards are whole within a block, so each block is looked at once; what has no
+    mark, or a block that is no text, ends the header.
+    """
+    blocks: list[bytes] = []
     while True:
         block = handle.read(BLOCK)
-        head += block
-        if len(block) < BLOCK or re.search(rb"^(?:.{80})*?END {77}", block, re.S):
-            return head
+        if not blocks and not block.startswith(mark):
+            return block
+        blocks.append(block)
+        cards = (block[at : at + CARD] for at in range(0, len(block), CARD))
+        if len(block) < BLOCK or not block.isascii() or any(c.rstrip() == b"END" for c in cards):
+            return b"".join(blocks)
 
 
 def _data_blocks(head: bytes) -> int:
@@ -46,9 +61,11 @@ def _data_blocks(head: bytes) -> int:
 
 
 def fetch_headers(files: DataFrame, path: str = "path") -> DataFrame:
-    """``(path, head0, head1)``: header bytes of the first two units, NULL if unreadable or absent.
+    """``(path, head0, head1)``: header bytes of the first two units, NULL if the file has none.
 
-    The store is opened by its address (local, HDFS, S3 ...); pixels are skipped.
+    The store is opened by its address (local, HDFS, S3 ...); pixels are skipped. A
+    store that is not known or does not answer is an error, so the task is retried;
+    a file that is gone or is no image is not.
     """
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,16 +74,19 @@ def fetch_headers(files: DataFrame, path: str = "path") -> DataFrame:
         for batch in batches:
             heads = []
             for address in batch[path]:
+                store, key = fs.FileSystem.from_uri(_SCHEMES.sub(_store_scheme, address))
                 try:
-                    store, key = fs.FileSystem.from_uri(address)
-                    with store.open_input_file(key) as handle:
-                        first = _header_bytes(handle)
-                        handle.seek(len(first) + _data_blocks(first) * BLOCK)
-                        mark = handle.read(8)
-                        handle.seek(handle.tell() - len(mark))
-                        heads.append((first, _header_bytes(handle) if mark == b"XTENSION" else None))
-                except (OSError, ValueError):
+                    handle = store.open_input_file(key)
+                except FileNotFoundError:
                     heads.append((None, None))
+                    continue
+                with handle:
+                    first = _header_bytes(handle, b"SIMPLE  =")
+                    second = None
+                    if first.startswith(b"SIMPLE  ="):
+                        handle.seek(min(len(first) + _data_blocks(first) * BLOCK, handle.size()))
+                        second = _header_bytes(handle, b"XTENSION")
+                    heads.append((first, second if second and second.startswith(b"XTENSION") else None))
             yield pd.DataFrame({"path": batch[path], "head0": [h[0] for h in heads], "head1": [h[1] for h in heads]})
 
     return files.select(path).mapInPandas(fetch, "path string, head0 binary, head1 binary")

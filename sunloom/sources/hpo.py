@@ -75,7 +75,11 @@ def merge_index_documents(hp_documents: DataFrame, ap_documents: DataFrame, spec
     """Outer merge of the two index series on their times."""
     hp = unnest_document(hp_documents, spec.hp)
     ap = unnest_document(ap_documents, spec.ap)
-    merged = hp.join(ap, "datetime", "full")
+    # Entries without a readable time match nothing and would meet in one task.
+    known = F.col("datetime").isNotNull()
+    merged = hp.where(known).join(ap.where(known), "datetime", "full")
+    for odd in (hp.where(~known), ap.where(~known)):
+        merged = merged.unionByName(odd, allowMissingColumns=True)
     when = F.col("datetime")
     return merged.select(
         when,

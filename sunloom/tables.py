@@ -170,12 +170,12 @@ def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFra
 
 
 def split_unkeyed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """Rows fit to store, and rows whose required columns are missing (``invalid_time``)."""
+    """Rows fit to store, and rows whose required columns are missing (``missing_key``)."""
     required = [f.name for f in spec.schema.fields if not f.nullable]
     lacks = F.lit(False)
     for name in required:
         lacks = lacks | F.col(name).isNull()
-    return df.where(~lacks), df.where(lacks).withColumn("error", F.lit("invalid_time"))
+    return df.where(~lacks), df.where(lacks).withColumn("error", F.lit("missing_key"))
 
 
 def with_partition(df: DataFrame, spec: TableSpec) -> DataFrame:

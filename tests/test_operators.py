@@ -123,9 +123,7 @@ def _sequential(rows):
     return kept
 
 
-@pytest.mark.parametrize("last_round", [0, 40, 50_000])
-def test_accept_like_sequential_inserts(spark, monkeypatch, last_round):
-    monkeypatch.setattr(inserts, "LAST_ROUND_ROWS", last_round)
+def test_accept_like_sequential_inserts(spark):
     rng = random.Random(7)
     rows = [(i, rng.choice([None, "hot", *map(str, range(40))]), f"p{rng.randrange(60)}") for i in range(300)]
     rows += [(300, "k1", "q1"), (301, "k2", "q1"), (302, "k2", "q3")]

@@ -38,7 +38,8 @@ def test_insert_ignore_counts_and_repeats(spark, tmp_path):
     root = str(tmp_path)
     batch = _mag(spark, [(16, T0, 1.0, 2), (16, T0, 2.0, 1), (17, T0, 3.0, 3), (16, None, 4.0, 4)])
     first = insert_ignore(batch, MAG, root, ("n",))
-    assert (first.offered, first.inserted, first.ignored) == (3, 2, 1)
+    assert (first.offered, first.inserted, first.ignored, first.refused) == (3, 2, 1, 1)
+    assert [r["error"] for r in first.refused_rows.collect()] == ["missing_key"]
     later = _mag(spark, [(16, T0, 9.0, 1), (16, T0 + timedelta(days=400), 5.0, 2)])
     assert insert_ignore(later, MAG, root, ("n",)).inserted == 1
     assert insert_ignore(later, MAG, root, ("n",)).inserted == 0
@@ -51,7 +52,7 @@ def test_replace_keeps_other_years_and_repeats(spark, tmp_path):
     replace_years(_mag(spark, [(16, T0, 1.0, 1), (16, datetime(2023, 5, 1), 2.0, 2)]), MAG, root)
     for _ in range(2):
         refused = replace_years(_mag(spark, [(16, T0 + timedelta(hours=1), 3.0, 1), (16, None, 4.0, 2)]), MAG, root)
-        assert [r["error"] for r in refused.collect()] == ["invalid_time"]
+        assert [r["error"] for r in refused.collect()] == ["missing_key"]
     assert sorted(r["bx_nt"] for r in read_table(spark, root, MAG).collect()) == [2.0, 3.0]
 
 
@@ -131,17 +132,45 @@ def test_one_failed_table_does_not_stop_the_rest(spark, tmp_path):
     assert outcome["goes_mag"] is None and outcome["goes_xrs"] and outcome["omni_1min"]
 
 
-def test_manifest_parts(spark, tmp_path, monkeypatch):
+def test_manifest_documents(spark, tmp_path):
     from sunloom.sources.files import read_manifest
 
-    monkeypatch.setattr(exports, "FILES_PER_DOCUMENT", 10)
     rows = [("a", "193", f"u{i}", f"f{i}") for i in range(95)] + [("a", "211", None, None), ("b", "193", None, None)]
     files = spark.createDataFrame(rows, "telescope string, channel string, url string, filename string")
     files = files.select(F.lit("2024-01-01T00:00:00").alias("query_time"), F.lit("2024-01-01T00:00:00").alias("target_time"),
                          F.lit(6).alias("time_range"), *files.columns)
     documents = exports.manifest_documents(files)
     assert documents.where("telescope = 'b'").count() == 0
-    assert documents.count() > 5
+    assert sorted(next(iter(r['channels'])) for r in documents.collect()) == ['193', '211']
     exports.write_manifests(documents, str(tmp_path / "m"))
     back = read_manifest(spark, str(tmp_path / "m"), one_per_file=False)
     assert sorted(r["filename"] for r in back.collect()) == sorted(r[3] for r in rows if r[3])
+
+
+def test_duplicate_keys_are_refused(spark, tmp_path):
+    root = str(tmp_path)
+    twice = _mag(spark, [(16, T0, 1.0, 2), (16, T0, 2.0, 1), (17, T0, 3.0, 3)])
+    refused = replace_years(twice, MAG, root, order=("n",))
+    assert [(r["bx_nt"], r["error"]) for r in refused.collect()] == [(1.0, "duplicate_key")]
+    refused = append_rows(_mag(spark, [(16, T0, 9.0, 1), (18, T0, 4.0, 2)]), MAG, root)
+    assert [(r["bx_nt"], r["error"]) for r in refused.collect()] == [(9.0, "duplicate_key")]
+    assert sorted(r["bx_nt"] for r in read_table(spark, root, MAG).collect()) == [2.0, 3.0, 4.0]
+
+
+def test_a_chain_of_barred_rows(spark):
+    from sunloom.operators.inserts import accept_in_order
+
+    # Each row shares the key or the path of the one before: every second one gets in.
+    rows = [(f"k{(n + 1) // 2}", f"p{n // 2}", n, datetime(2999, 1, 1)) for n in range(12)]
+    batch = spark.createDataFrame(rows, "k string, file_path string, n long, t timestamp_ntz")
+    taken = accept_in_order(batch, ("k", "t"), "file_path", "n")
+    assert sorted(r["n"] for r in taken.collect()) == [0, 2, 4, 6, 8, 10]
+
+
+def test_quarantine_may_be_replayed(spark, tmp_path):
+    from sunloom.sinks.tables import quarantine
+
+    rows = spark.createDataFrame([("a", "invalid_file"), ("b", None), ("c", "invalid_time")], "path string, error string")
+    for _ in range(2):
+        quarantine(rows, str(tmp_path / "bad"))
+    assert sorted(r["path"] for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == ["a", "c"]

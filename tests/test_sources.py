@@ -197,3 +197,21 @@ def test_nan_is_missing_and_unknown_instrument(spark):
     assert [(r["xrs_a_flux_w_m2"], r["xrs_b_flux_w_m2"], r["is_goes_r"]) for r in rows] == [(None, None, True), (1.0, None, True)]
     with pytest.raises(ValueError):
         normaliser("euv")
+
+
+def test_header_fetching_faults(spark, tmp_path):
+    import time
+
+    import pytest
+
+    (tmp_path / "big.fits").write_bytes(b"x" * (64 << 20))
+    (tmp_path / "text.fits").write_bytes((b"SIMPLE  =" + b" " * 71) * 400 + b"\xff" * (8 << 20))
+    head = _header(_card("SIMPLE", "T"), _card("NAXIS", "0"))
+    (tmp_path / "cut.fits").write_bytes(head[:200])
+    paths = [f"file:{tmp_path}/{n}.fits" for n in ("big", "text", "cut", "gone")]
+    began = time.perf_counter()
+    found = header_units(fetch_headers(spark.createDataFrame([(p,) for p in paths], "path string"))).collect()
+    assert [r["unit0"] for r in found] == [None] * 4 and time.perf_counter() - began < 15
+    odd = spark.createDataFrame([("nosuchstore://bucket/a.fits",)], "path string")
+    with pytest.raises(Exception, match="nosuchstore"):
+        fetch_headers(odd).collect()
