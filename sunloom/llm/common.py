@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -44,6 +46,19 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def touching(spans: Iterable[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a stretch shares a character with any of the spans, by one search each."""
+    ordered = sorted(spans)
+    starts = [a for a, _ in ordered]
+    reach = list(accumulate((b for _, b in ordered), max))
+
+    def touches(a: int, b: int) -> bool:
+        before = bisect_left(starts, b)
+        return before > 0 and reach[before - 1] > a
+
+    return touches
+
+
 def id_fold(doc_id: str | Column, folds: int) -> Column:
     """Remainder of the CRC-32 of the id's decimal text; 0 for a missing id."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

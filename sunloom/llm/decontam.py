@@ -5,8 +5,9 @@ non-ASCII to one blank). Each window of 13 consecutive item words is one pattern
 item is one pattern of its own. A document's normalised text is scanned once. Normalising
 keeps the length of the UTF-8 text, so places of words map straight back to the original.
 
-The automaton is bounded: items go into blocks of at most ``block_bytes`` of text, and each
-block is one more scan in the same stage, so a large benchmark costs scans, not memory.
+The automaton is bounded: items go into blocks of at most ``block_bytes`` of text (about 0.65
+GB of automaton for 1 MB), read one after the other. Each further block is one more scan, over
+a written table, so a large benchmark costs scans, not memory.
 
 Results in odd cases: a null or empty text has no words and no hits; items without words,
 without text or without id are no items; repeated items count once; repeated rows give a
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from sunloom.llm.common import ALNUM_TABLE, alnum_words, slices
 
 WINDOW = 13
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 512 << 10
 
 FOUND = T.StructType(
     [
@@ -149,13 +150,19 @@ def mark_contamination(
     """The columns of ``documents`` and a new one, ``name``: words, hit words, items, spans."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    spark = documents.sparkSession
+    from sunloom.session import materialise
+
     target = T.StructType([*documents.schema.fields, T.StructField(name, FOUND)])
-    marked = documents
-    blocks = list(item_blocks(benchmark, block_bytes)) or [[]]
-    for number, items in enumerate(blocks):
-        held = spark.sparkContext.broadcast(items)
-        marked = marked.mapInArrow(_scanned(held, window, to_arrow_schema(target), name, number > 0), target)
+
+    def scanned(rows: DataFrame, items: list[tuple[str, str]], earlier: bool) -> DataFrame:
+        held = documents.sparkSession.sparkContext.broadcast(items)
+        return rows.mapInArrow(_scanned(held, window, to_arrow_schema(target), name, earlier), target)
+
+    blocks = item_blocks(benchmark, block_bytes)
+    marked = scanned(documents, next(blocks, []), False)
+    for items in blocks:
+        # Written, so that a task holds one automaton at a time.
+        marked = scanned(materialise(marked, "marked"), items, True)
     return marked
 
 

@@ -2,8 +2,9 @@
 
 The patterns give the base spans of each kind. A linear-chain field over the shapes of words
 and of their neighbours learns from a small labelled table: token chains of a bounded sample
-of texts, labelled by the base spans, phone numbers also without their country code. It is decoded by Viterbi, in batches of chains, over
-every token of every text; runs it labels that no base span touches are added.
+of texts, labelled by the base spans, phone numbers also without their country code. It is
+decoded by Viterbi, in batches of chains, over every token of every text; runs it labels that
+no base span touches are added.
 
 Results in odd cases: a null or empty text has no spans; repeated rows get a row each; with
 an empty table or no personal data in the sample the field adds nothing; other columns are
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunloom.llm.common import bounded_sample, slices
+from sunloom.llm.common import bounded_sample, slices, touching
 from sunloom.llm.crf import Chain, Decoder
 
 KINDS = ("email", "ip", "card", "phone")
@@ -164,7 +165,7 @@ def added_spans(text: str, labels: np.ndarray, base: list[Span]) -> list[Span]:
     """Runs of one label that no base span touches, without punctuation around them."""
     if not labels.any():
         return []
-    taken = sorted((a, b) for _, a, b in base)
+    taken = touching((a, b) for _, a, b in base)
     out: list[Span] = []
     run: list[tuple[int, int]] = []
     kind = 0
@@ -177,7 +178,7 @@ def added_spans(text: str, labels: np.ndarray, base: list[Span]) -> list[Span]:
             a += 1
         while b > a and not text[b - 1].isalnum():
             b -= 1
-        if _plausible(kind, text[a:b]) and not any(x < b and a < y for x, y in taken):
+        if _plausible(kind, text[a:b]) and not taken(a, b):
             out.append((LABELS[kind], a, b))
 
     for i, m in enumerate(_TOKEN.finditer(text)):

@@ -71,9 +71,13 @@ def shard(documents: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
         )
         last = depth == all_bits
         fits = (F.col("shard_bytes") <= limit_bytes) | (F.col("shard_docs") == 1) | F.lit(last) & (F.col("level") == depth)
+        fitting = materialise(sized.where(fits), "fitting")
+        # No shard fits above this level, where few keys would take all prefixes.
+        first = fitting.agg(F.min("level")).first()[0]
+        reached = levels.where(F.col("level") >= (depth if first is None else first))
         leaves = (
-            levels.select("prefix", "level", F.substring("prefix", F.lit(1), F.col("level")).alias("shard"))
-            .join(sized.where(fits), ["shard", "level"])
+            reached.select("prefix", "level", F.substring("prefix", F.lit(1), F.col("level")).alias("shard"))
+            .join(fitting, ["shard", "level"])
             .groupBy("prefix")
             .agg(F.min_by(F.struct("shard", "shard_bytes", "shard_docs"), "level").alias("leaf"))
         )

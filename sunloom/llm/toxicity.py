@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,7 +73,7 @@ def toxic_marks(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
         for words in texts:
             around = ["", *words, ""]
             for i, word in enumerate(words):
-                where = hash((around[i], word, around[i + 2])) & 0xFFFFFFFF
+                where = xxhash.xxh32_intdigest(" ".join(around[i : i + 3]))
                 total.append(where)
                 for mark in _marks(word):
                     known = index.setdefault(mark, len(index)) if grow else index.get(mark)
