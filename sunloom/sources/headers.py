@@ -26,6 +26,13 @@ def _store_scheme(found: re.Match) -> str:
     return "file:///" if found[0].startswith("file") else "s3://"
 
 
+def open_store(address: str):
+    """The file system of an address as Spark spells it, and the path inside it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(_SCHEMES.sub(_store_scheme, address))
+
+
 _END = r"(?s)^(?:.{80})*?END {77}"
 _VALUE_CARD = (
     r"(?m)^(?=[^\n]{8}= )([^ \n]+) *= *(?:'((?:[^'\n]|'')*+)'[^\n]*|([^'/ \n][^/\n]*?) *(?:/[^\n]*)?)\n"
@@ -69,12 +76,10 @@ def fetch_headers(files: DataFrame, path: str = "path") -> DataFrame:
     """
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for batch in batches:
             heads = []
             for address in batch[path]:
-                store, key = fs.FileSystem.from_uri(_SCHEMES.sub(_store_scheme, address))
+                store, key = open_store(address)
                 try:
                     handle = store.open_input_file(key)
                 except FileNotFoundError:

@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 from sunloom.plans import images
-from sunloom.sources.headers import cut_units, header_units
-from sunloom.streaming.flows import stream_files, stream_register
+from sunloom.session import materialise
+from sunloom.streaming.flows import stream_images
 from sunloom.tables import TABLES, read_table
 from tests.test_sources import _card, _header
 
 
 def test_arriving_images_are_registered_once(spark, tmp_path):
     landing, root, state = tmp_path / "in", str(tmp_path / "db"), str(tmp_path / "state")
+    refused = str(tmp_path / "refused")
     landing.mkdir()
 
     def arrive(name, day):
@@ -16,10 +17,10 @@ def test_arriving_images_are_registered_once(spark, tmp_path):
         (landing / name).write_bytes(head)
 
     def run():
-        files = stream_files(
-            spark, str(landing), "*.fts", lambda raw: images.lasco_records(header_units(cut_units(raw)))
-        )
-        stream_register(files, TABLES["lasco"], root, ("path",), state, once=True).awaitTermination()
+        def store(units):
+            images.register_lasco(materialise(images.lasco_records(units), "arrived"), root, refused)
+
+        stream_images(spark, str(landing), "*.fts", store, state, once=True).awaitTermination()
         return read_table(spark, root, TABLES["lasco"]).orderBy("datetime").collect()
 
     arrive("a.fts", 1)
@@ -27,4 +28,6 @@ def test_arriving_images_are_registered_once(spark, tmp_path):
     assert [r["file_path"].rsplit("/", 1)[-1] for r in run()] == ["a.fts"]
     arrive("c.fts", 2)
     assert [r["file_path"].rsplit("/", 1)[-1] for r in run()] == ["a.fts", "c.fts"]
+    (landing / "d.fts").write_bytes(b"no image")
     assert len(run()) == 2
+    assert [r.error for r in spark.read.parquet(refused).collect()] == ["invalid_file"]
