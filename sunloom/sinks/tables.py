@@ -195,7 +195,8 @@ def quarantine(classified: DataFrame, root: str, error: str = "error", path: str
     spark = classified.sparkSession
     bad = classified.where(F.col(error).isNotNull())
     if table_exists(spark, root):
-        held = spark.read.parquet(root).select(path)
+        # The folder may be there without rows, after a run that refused nothing.
+        held = spark.read.schema(bad.schema).parquet(root).select(path)
         bad = materialise(without_known(bad, held, [path]), "refused")
     bad.write.mode("append").partitionBy(error).parquet(root)
 
