@@ -29,6 +29,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# The setting that bounds the tasks of a listing, and what it is if nobody set it.
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_DEFAULT = 10_000
+
 
 def build_session(app: str = "sunloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -36,14 +40,21 @@ def build_session(app: str = "sunloom", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in {**STATIC_SETTINGS, **RUNTIME_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return _bound_listing(builder.getOrCreate())
+
+
+def _bound_listing(spark: SparkSession) -> SparkSession:
+    """Files are listed in a few rounds of tasks; without a bound each path is a task of its own."""
+    if int(spark.conf.get(LISTING_TASKS, str(LISTING_DEFAULT))) == LISTING_DEFAULT:
+        spark.conf.set(LISTING_TASKS, str(8 * spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime settings the operators rely on in a session made elsewhere."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    return spark
+    return _bound_listing(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
