@@ -45,17 +45,6 @@ def any_missing(df: DataFrame, names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [is_missing(df, n) for n in names], F.lit(False))
 
 
-def nans_to_nulls(df: DataFrame) -> DataFrame:
-    """NULL is the only missing value past this point."""
-    floating = (T.FloatType, T.DoubleType)
-    return df.select(
-        *[
-            nan_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, floating) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
-
-
 def storage_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
     """Cast to the declared type; fractions round half to even, misfits become NULL."""
     if source == target:

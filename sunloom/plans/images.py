@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunloom.functions.names import lasco_folder, sdo_folder, secchi_folder
+from sunloom.functions.names import sdo_folder
 from sunloom.functions.times import ntz, parse_datetime, parse_record_time, tai_to_utc, time_in_file_name
 from sunloom.operators.reconcile import absent, present
 from sunloom.sinks.tables import InsertCounts, insert_ignore, quarantine, with_target_path
@@ -228,16 +228,3 @@ def spacecraft_images(
 def good_quality(sdo: DataFrame, required: bool = True) -> DataFrame:
     """Quality zero only; an unknown quality does not pass."""
     return sdo.where(F.col("quality") == 0) if required else sdo
-
-
-def archive_folder(kind: str, root: str) -> Column:
-    """Dated folder of a record of one catalogue."""
-    if kind == "sdo":
-        return sdo_folder(F.lit(root), F.col("telescope"), F.col("datetime"))
-    if kind == "lasco":
-        return lasco_folder(F.lit(root), F.col("camera"), F.col("datetime"))
-    if kind == "secchi":
-        return secchi_folder(
-            F.lit(root), F.col("datatype"), F.col("spacecraft"), F.col("instrument"), F.col("datetime")
-        )
-    raise ValueError(f"unknown catalogue {kind!r}")

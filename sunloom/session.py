@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,8 +83,31 @@ def _scratch_root(spark: SparkSession) -> str:
     return os.path.join(shared_folder(spark), "sunloom", spark.sparkContext.applicationId)
 
 
+# Paths handed out inside the current scope, if there is one.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(_scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(_scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    held = _SCOPE.get()
+    if held is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediate tables made inside, once their work is done.
+
+    For steps that repeat without end, such as the batches of a stream.
+    """
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        for path in _SCOPE.get():
+            _remove(spark, path)
+        _SCOPE.reset(token)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -96,5 +122,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Remove the intermediate tables of this application, once nothing reads them."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    _remove(spark, _scratch_root(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

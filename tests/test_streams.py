@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 from sunloom.plans import images
-from sunloom.session import materialise
+from sunloom.session import materialise, shared_folder
 from sunloom.streaming.flows import stream_images
 from sunloom.tables import TABLES, read_table
 from tests.test_sources import _card, _header
@@ -23,6 +25,10 @@ def test_arriving_images_are_registered_once(spark, tmp_path):
         stream_images(spark, str(landing), "*.fts", store, state, once=True).awaitTermination()
         return read_table(spark, root, TABLES["lasco"]).orderBy("datetime").collect()
 
+    def scratch():
+        return set(Path(shared_folder(spark)).glob("sunloom/*/*"))
+
+    before = scratch()
     arrive("a.fts", 1)
     arrive("b.fts", 1)
     assert [r["file_path"].rsplit("/", 1)[-1] for r in run()] == ["a.fts"]
@@ -31,3 +37,5 @@ def test_arriving_images_are_registered_once(spark, tmp_path):
     (landing / "d.fts").write_bytes(b"no image")
     assert len(run()) == 2
     assert [r.error for r in spark.read.parquet(refused).collect()] == ["invalid_file"]
+    # Each batch took away what it had set down on the way.
+    assert scratch() <= before
