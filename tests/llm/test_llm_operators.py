@@ -383,6 +383,39 @@ def test_network_finds_new_secrets(spark):
         assert set(row.base) <= set(row.spans)
 
 
+def _key_texts():
+    """Texts with keys behind a key word, and as many with vendor keys that no pattern knows."""
+    rng = random.Random(12)
+    some = ["".join(rng.choices("etaoinshr", k=rng.randint(3, 8))) for _ in range(200)]
+    words = lambda n: " ".join(rng.choices(some, k=n))
+    upper = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=n))
+    rows = []
+    for k in range(150):
+        key = "".join(rng.choices("0123456789abcdef", k=40))
+        rows.append(f"{words(8)} token = {key} {words(8)} {k}@mail{k % 9}.{some[3]}-{some[4]}.com {words(6)}")
+        rows.append(f"{words(8)} {upper(32)} {words(8)}")
+    return rows, upper, words
+
+
+def test_recurring_keys_without_pattern_are_found(spark):
+    rows, upper, words = _key_texts()
+    net = secret_scan.train(brute.documents(spark, rows))
+    new = "note 9F3K2L8Q0ZX7Y5W1V4U6T8S2R0P9N7M5 end"
+    assert secret_scan.find([new], net)[0] == ([], [("network", 5, 37)])
+    found = secret_scan.find([f"{words(5)} {upper(32)} {words(5)}" for _ in range(100)], net)
+    assert sum(bool(added) for _, added in found) >= 95
+    plain = secret_scan.find([f"{words(5)} {'-'.join(words(4).split())}-2024 {words(5)}" for _ in range(100)], net)
+    assert sum(bool(added) for _, added in plain) <= 5
+
+
+def test_spellings_of_a_finding_are_held_back_together():
+    rows, _, _ = _key_texts()
+    windows, y, groups = secret_scan.examples(rows)
+    held, taught = secret_scan._held_back(groups, y, np.random.default_rng(0))
+    assert len(held) + len(taught) == len(y) and not set(groups[held]) & set(groups[taught])
+    assert len(windows) == len(groups) and len(set(groups[y == 1])) <= y.sum() / 4
+
+
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 8)), max_size=8), st.integers(0, 35), st.integers(1, 6))
 @settings(max_examples=100, deadline=None)
 def test_touching_is_any_overlap(parts, a, n):
