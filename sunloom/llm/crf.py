@@ -2,8 +2,9 @@
 
 A token scores each label by the features of its own word, of the word before and of the
 word after; neighbouring labels score each other. Weights are fitted by full-batch gradient
-ascent on the regularised likelihood. Texts are cut into chains of ``CHAIN`` tokens, which
-are decoded side by side.
+ascent on the regularised likelihood. A text is one chain. What can be told apart exactly is
+computed side by side: best labels between stretches that must have label 0, two-label
+marginals in stretches of ``CHAIN`` tokens that hand their last score on until none changes.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ CHAIN = 64
 # Distinct words whose scores a task remembers.
 REMEMBERED = 200_000
 ROLES = 3
+# Log odds that differ by no more are the same; each step on makes a difference smaller.
+SAME = 1e-9
 
 Features = Callable[[str], list[str]]
 
@@ -50,21 +53,67 @@ def marginals(e: np.ndarray, mask: np.ndarray, trans: np.ndarray, first: np.ndar
 
 def two_label_marginals(e: np.ndarray, mask: np.ndarray, trans: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The same for two labels, by recursions of the log odds alone."""
-    d = np.ascontiguousarray((e[..., 1] - e[..., 0]).T)
-    real = np.ascontiguousarray(mask.T)
-    length = len(d)
-    ahead, back = np.empty_like(d), np.zeros_like(d)
-    ahead[0] = first[1] - first[0] + d[0]
-    for t in range(1, length):
-        a = ahead[t - 1]
-        step = d[t] + np.logaddexp(trans[0, 1], trans[1, 1] + a) - np.logaddexp(trans[0, 0], trans[1, 0] + a)
-        ahead[t] = np.where(real[t], step, a)
-    for t in range(length - 2, -1, -1):
-        b = d[t + 1] + back[t + 1]
-        step = np.logaddexp(trans[1, 0], trans[1, 1] + b) - np.logaddexp(trans[0, 0], trans[0, 1] + b)
-        back[t] = np.where(real[t + 1], step, 0)
+    n = len(e)
+    ends = np.arange(n)
+    p = _log_odds(e[..., 1] - e[..., 0], mask, trans, first, ends, ends)
+    return np.stack([1 - p, p], axis=2)
+
+
+def _log_odds(
+    d: np.ndarray, mask: np.ndarray, trans: np.ndarray, first: np.ndarray, head: np.ndarray, tail: np.ndarray
+) -> np.ndarray:
+    """Probability of label 1 from the margins of label 1 over 0 (stretch, place).
+
+    Rows are stretches of texts in order; ``head`` and ``tail`` are the rows a text starts and
+    ends with, and within a text every stretch but the last is full. A stretch whose
+    neighbour hands on another score than before is done again up to the place where nothing
+    changes, so the result is that of one chain a text.
+    """
+    d, real = np.ascontiguousarray(d.T, dtype=np.float64), np.ascontiguousarray(mask.T)
+    trans, first = trans.astype(np.float64), first.astype(np.float64)
+    length, n = d.shape
+
+    def ahead_of(a: np.ndarray) -> np.ndarray:
+        return np.logaddexp(trans[0, 1], trans[1, 1] + a) - np.logaddexp(trans[0, 0], trans[1, 0] + a)
+
+    def behind(b: np.ndarray) -> np.ndarray:
+        return np.logaddexp(trans[1, 0], trans[1, 1] + b) - np.logaddexp(trans[0, 0], trans[0, 1] + b)
+
+    # Score that reaches the first place from before, and the last place from behind.
+    starts, ends = np.zeros(n, bool), np.zeros(n, bool)
+    starts[head], ends[tail] = True, True
+    ahead, back = np.full_like(d, np.nan), np.full_like(d, np.nan)
+    enter = np.where(starts, first[1] - first[0], ahead_of(np.full(n, first[1] - first[0])))
+    rows = np.arange(n)
+    while len(rows):
+        x = enter[rows]
+        moved = rows
+        for t in range(length):
+            new = np.where(real[t, moved], d[t, moved] + x, x)
+            changed = ~(np.abs(new - ahead[t, moved]) <= SAME)
+            ahead[t, moved] = new
+            moved, x = moved[changed], ahead_of(new[changed])
+            if not len(moved):
+                break
+        # Rows that changed up to their last place hand a new score on.
+        rows = moved[~ends[moved]] + 1
+        enter[rows] = ahead_of(ahead[-1, rows - 1])
+    leave = np.zeros(n)
+    rows = np.arange(n)
+    while len(rows):
+        x = leave[rows]
+        moved = rows
+        for t in range(length - 1, -1, -1):
+            changed = ~(np.abs(x - back[t, moved]) <= SAME)
+            back[t, moved] = x
+            moved, x = moved[changed], x[changed]
+            if not len(moved):
+                break
+            x = np.where(real[t, moved], behind(d[t, moved] + x), 0)
+        rows = moved[~starts[moved]] - 1
+        leave[rows] = behind(d[0, rows + 1] + back[0, rows + 1])
     p = 1 / (1 + np.exp(-np.clip(ahead + back, -60, 60)))
-    return np.stack([1 - p.T, p.T], axis=2)
+    return p.T
 
 
 def viterbi(e: np.ndarray, mask: np.ndarray, trans: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -210,7 +259,7 @@ class Decoder:
         return row
 
     def _emissions(self, texts: Iterable[list[str]]):
-        """Sizes, label scores of all tokens on end, and the chains' places and masks."""
+        """Sizes of the texts and label scores of all tokens on end."""
         if len(self.known) > REMEMBERED:
             self._forget()
         words: list[str] = []
@@ -234,42 +283,105 @@ class Decoder:
             before[filled] = 0
             after[filled + sizes[sizes > 0] - 1] = 0
             e = e + self.table[before, 1] + self.table[after, 2]
-        at, mask = _chains(filled, sizes[sizes > 0], CHAIN)
-        return sizes, e, at, mask
+        return sizes, e
 
-    def _run(self, texts: list[list[str]], method, width: int, plain=None) -> list[np.ndarray]:
-        sizes, e, at, mask = self._emissions(texts)
+    def _run(self, texts: list[list[str]], method, width: int) -> list[np.ndarray]:
+        """Results of a method on whole texts."""
+        sizes, e = self._emissions(texts)
         out = np.zeros((len(e), width), dtype=np.float32)
-        if len(at):
-            full = mask.all(axis=1)
-            open_chains = np.ones(len(at), bool) if plain is None else ~plain(e)[at].all(axis=1)
-            # Chains of equal length need no padding; the short last ones do.
-            for rows in (full & open_chains, ~full & open_chains):
-                if rows.any():
-                    longest = int(mask[rows].sum(axis=1).max())
-                    places, real = at[rows, :longest], mask[rows, :longest]
-                    found = method(e[places] * real[..., None], real, self.field.trans, self.field.first)
-                    out[places[real]] = found.reshape(*places.shape, -1)[real]
+        filled = sizes > 0
+        self._fill(out, e, (np.cumsum(sizes) - sizes)[filled], sizes[filled], method)
         return np.split(out, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
+    def _fill(self, out: np.ndarray, e: np.ndarray, starts: np.ndarray, sizes: np.ndarray, method) -> None:
+        """Results of chains of any length, those of like length side by side."""
+        order = np.argsort(sizes, kind="stable")
+        at = 0
+        while at < len(order):
+            # At most half of a group's places is padding, beyond short chains.
+            least = int(sizes[order[at]])
+            end = int(np.searchsorted(sizes[order], max(2 * least, 8), side="right"))
+            rows = order[at:end]
+            at = end
+            longest = int(sizes[rows].max())
+            real = np.arange(longest) < sizes[rows, None]
+            places = np.where(real, starts[rows, None] + np.arange(longest), starts[rows, None])
+            # Scores of long chains add up beyond the digits of single precision.
+            scores = e[places].astype(np.float64) * real[..., None]
+            found = method(scores, real, self.field.trans, self.field.first)
+            out[places[real]] = found.reshape(*places.shape, -1)[real]
+
+    def best(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Viterbi labels of each text's tokens."""
+        sizes, e = self._emissions(texts)
+        out = np.zeros((len(e), 1), dtype=np.float32)
+        starts, ends, heads, tails = self._open_parts(sizes, e)
+        if len(starts):
+            # What lies before and behind a part inside a text has label 0.
+            t, f = self.field.trans, self.field.first
+            e = e.copy()
+            e[starts[~heads]] += t[0] - f
+            np.add.at(e, ends[~tails] - 1, t[:, 0])
+            self._fill(out, e, starts, ends - starts, viterbi)
+        return np.split(out[:, 0].astype(np.int8), np.cumsum(sizes)[:-1]) if len(sizes) else []
+
+    def _open_parts(self, sizes: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Starts and ends of the parts of texts not known to have label 0 throughout, and
+        whether they begin and end their text.
+
+        ``_certain`` tokens neither begin nor end a stretch of other labels in the best
+        labelling: without them the stretch would score more. So a gap of them is within a
+        stretch from end to end or has label 0, and it has label 0 where a stretch over it
+        scores less than two stretches beside it, whatever the labels.
+        """
+        t = self.field.trans
+        unsure = np.flatnonzero(~self._certain(e))
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        first_of, end_of = (np.cumsum(sizes) - sizes), np.cumsum(sizes)
+        if not len(unsure):
+            return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),) * 2
+        margin = np.concatenate(([0.0], np.cumsum((e[:, 1:].max(axis=1) - e[:, 0]).astype(np.float64))))
+        a, b = unsure[:-1], unsure[1:]
+        gap = b - a - 1
+        across = (
+            margin[b] - margin[a + 1]
+            + (gap + 1) * float(t[1:, 1:].max())
+            - float(t[1:, 0].min()) - float(t[0, 1:].min()) - np.maximum(gap - 1, 0) * float(t[0, 0])
+        )
+        cut = (text[a] != text[b]) | (gap > 0) & (across < -1e-3)
+        starts = unsure[np.concatenate(([True], cut))]
+        ends = unsure[np.concatenate((cut, [True]))] + 1
+        return starts, ends, starts == first_of[text[starts]], ends == end_of[text[starts]]
+
     def _certain(self, e: np.ndarray) -> np.ndarray:
-        """Tokens so far on the side of label 0 that a chain of such has no other label.
+        """Tokens so far on the side of label 0 that no stretch of others begins or ends there.
 
-        A stretch of other labels gains at most its tokens' own margins, one step inside for
-        each token but the first, and a way in and out; the largest of these per token bounds
-        all, so below it every stretch loses against label 0 throughout.
+        Taking such tokens off an end of a stretch, or a whole stretch of them, changes their
+        own margins and a step for each, and the way in or out; the largest of these a token
+        bounds all.
         """
         t, f = self.field.trans, self.field.first
         into, out = (t[0, 1:] - t[0, 0]).max(), (t[1:, 0] - t[0, 0]).max()
         begin, inside = (f[1:] - f[0]).max(), (t[1:, 1:] - t[0, 0]).max()
-        bound = max(into, into + out, begin, begin + out, inside)
+        # The next or previous label stays, but follows or precedes label 0 afterwards.
+        after, before = (t[1:, 1:] - t[0, 1:]).max(), (t[1:, 1:] - t[1:, :1]).max()
+        ways_in, ways_out = max(into, begin), max(out, 0.0)
+        bound = max(inside, ways_in + max(ways_out, after), ways_out + before, ways_in + ways_out)
         return e[:, 1:].max(axis=1) - e[:, 0] + bound < 0
 
-    def best(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Viterbi labels of each text's tokens."""
-        return [a[:, 0].astype(np.int8) for a in self._run(texts, viterbi, 1, self._certain)]
-
     def probabilities(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Marginals (token, label) of each text."""
         k = len(self.field.labels)
-        return self._run(texts, two_label_marginals if k == 2 else marginals, k)
+        if k != 2:
+            return self._run(texts, marginals, k)
+        sizes, e = self._emissions(texts)
+        out = np.zeros((len(e), 2), dtype=np.float32)
+        filled = sizes[sizes > 0]
+        if len(filled):
+            at, mask = _chains((np.cumsum(sizes) - sizes)[sizes > 0], filled, CHAIN)
+            tail = np.cumsum(-(-filled // CHAIN)) - 1
+            head = np.concatenate(([0], tail[:-1] + 1))
+            d = np.where(mask, (e[:, 1] - e[:, 0])[at], 0)
+            p = _log_odds(d, mask, self.field.trans, self.field.first, head, tail)[mask]
+            out[at[mask]] = np.stack([1 - p, p], axis=1)
+        return np.split(out, np.cumsum(sizes)[:-1]) if len(sizes) else []

@@ -345,6 +345,52 @@ def test_two_label_recursions_and_certain_chains():
         assert all((a == b[:, 0]).all() for a, b in zip(pruned, whole))
 
 
+@pytest.mark.parametrize("k", (2, 3))
+def test_field_runs_over_whole_texts(k):
+    words = [f"w{i}" for i in range(30)]
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        field = crf.Chain(("o", "a", "b")[:k], lambda w: [w])
+        field.index = {w: i for i, w in enumerate(words)}
+        field.weights = rng.normal(size=(3, 31, k)) * 0.4
+        field.weights[0, :30, 0] += rng.exponential(1.5, size=30)
+        # Stretches of a label go on, and a start away from label 0 is rare.
+        field.trans = rng.normal(size=(k, k)) + 2 * np.eye(k)
+        field.first = np.array([3.0, -3.0, -3.0])[:k]
+        texts = [list(rng.choice(words, size=n)) for n in (63, 64, 65, 129, 400)]
+        decoder = crf.Decoder(field)
+        for text, labels, p in zip(texts, decoder.best(texts), decoder.probabilities(texts)):
+            e = decoder._emissions([text])[1][None].astype(float)
+            real = np.ones(e.shape[:2], bool)
+            assert labels.tolist() == crf.viterbi(e, real, field.trans, field.first)[0].tolist()
+            assert np.allclose(p, crf.marginals(e, real, field.trans, field.first)[0], atol=1e-5)
+
+
+@pytest.mark.parametrize("at", (61, 62, 63, 64, 65))
+def test_spans_and_words_at_any_place(spark, at):
+    rng = random.Random(3)
+    fill = lambda n: " ".join("".join(rng.choices("etaoinshr", k=5)) for _ in range(n))
+    number = lambda n: "".join(rng.choices("0123456789", k=n))
+    taught = [f"{fill(9)} +1 ({number(3)}) 555-{number(4)} {fill(9)} {number(9)} {fill(4)}" for _ in range(60)]
+    field = crf.Chain(pii.LABELS, pii.features).fit(pii.labelled_chains(taught), rounds=60)
+    new = f"{fill(at)} (023) 555-9912 {fill(30)}"
+    assert [new[a:b] for _, a, b in pii.find([new], crf.Decoder(field))[0][1]] == ["(023) 555-9912"]
+    clean = [(0, " ".join(rng.choices(["er", "on", "than", "es"], k=60))) for _ in range(90)]
+    toxic = []
+    for _ in range(30):
+        words = rng.choices(["er", "on", "than", "es"], k=60)
+        for place in rng.sample(range(60), 4):
+            words[place] = "zounds"
+        toxic.append((1, " ".join(words)))
+    model = toxicity.fit_model(clean + toxic)
+    words = rng.choices(["er", "on", "than", "es"], k=140)
+    words[at] = "zounds"
+    early = list(words)
+    early[at], early[20] = early[20], "zounds"
+    (score, spans), (other, _) = toxicity.score_texts([" ".join(words), " ".join(early)], model, crf.Decoder(model.field))
+    assert len(spans) == 1 and abs(score - other) < 1e-3
+
+
 # --- secrets
 
 HIDDEN = [
