@@ -3,8 +3,9 @@
 The patterns give the base spans of each kind. A linear-chain field over the shapes of words
 and of their neighbours learns from a small labelled table: token chains of a bounded sample
 of texts, labelled by the base spans, phone numbers also without their country code. It is
-decoded by Viterbi, in batches of chains, over every token of every text; runs it labels that
-no base span touches are added.
+decoded by Viterbi over every token of every text. Runs of one label are cut at base spans,
+line ends and closing punctuation, and where they hold several numbers or addresses in a row;
+each plausible part is added.
 
 Results in odd cases: a null or empty text has no spans; repeated rows get a row each; with
 an empty table or no personal data in the sample the field adds nothing; other columns are
@@ -15,6 +16,7 @@ text: each character is looked at a bounded number of times.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -162,10 +164,11 @@ def train(documents: DataFrame) -> Chain:
 
 
 def added_spans(text: str, labels: np.ndarray, base: list[Span]) -> list[Span]:
-    """Runs of one label that no base span touches, without punctuation around them."""
+    """Plausible parts of runs of one label beside base spans, without punctuation around them."""
     if not labels.any():
         return []
     taken = touching((a, b) for _, a, b in base)
+    covered = sorted((a, b) for _, a, b in base)
     out: list[Span] = []
     run: list[tuple[int, int]] = []
     kind = 0
@@ -174,12 +177,15 @@ def added_spans(text: str, labels: np.ndarray, base: list[Span]) -> list[Span]:
         if not run:
             return
         a, b = run[0][0], run[-1][1]
-        while a < b and not text[a].isalnum() and text[a] not in "+(":
-            a += 1
-        while b > a and not text[b - 1].isalnum():
-            b -= 1
-        if _plausible(kind, text[a:b]) and not taken(a, b):
-            out.append((LABELS[kind], a, b))
+        for stretch in _outside(a, b, covered if taken(a, b) else []):
+            parts = [part for line in _cut(text, *stretch, _LINE_END) for part in _parts(kind, text, *line)]
+            whole = _trimmed(text, *stretch)
+            # A number over a line end or a comma, of which parts would leave digits.
+            if _plausible(kind, text[slice(*whole)]) and (
+                not parts or sum(_digits(text, *p) for p in parts) < _digits(text, *whole)
+            ):
+                parts = [whole]
+            out.extend((LABELS[kind], *part) for part in parts)
 
     for i, m in enumerate(_TOKEN.finditer(text)):
         label = int(labels[i])
@@ -192,6 +198,113 @@ def added_spans(text: str, labels: np.ndarray, base: list[Span]) -> list[Span]:
     return out
 
 
+_LINE_END = re.compile(r"[\n\r\v\f\x1c-\x1e\x85\u2028\u2029]+")
+# What closes a number or an address, and blanks before a country code.
+_CLOSING = re.compile(r"[,;:!?|\"]+|\.(?=\s|$)|\s+(?=\+)")
+_DIGITS = {"card": (16, 19), "phone": (7, 15)}
+
+
+def _outside(a: int, b: int, covered: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Parts of a stretch outside sorted spans."""
+    out = []
+    for x, y in covered[max(0, bisect_left(covered, (a, a)) - 1) :] if covered else []:
+        if x >= b:
+            break
+        if x > a:
+            out.append((a, x))
+        a = max(a, y)
+    return [*out, (a, b)] if a < b else out
+
+
+def _cut(text: str, a: int, b: int, at: re.Pattern) -> list[tuple[int, int]]:
+    out = []
+    for m in at.finditer(text, a, b):
+        if m.start() > a:
+            out.append((a, m.start()))
+        a = m.end()
+    return [*out, (a, b)] if a < b else out
+
+
+def _digits(text: str, a: int, b: int) -> int:
+    return len(_NOT_DIGIT.sub("", text[a:b]))
+
+
+def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    while a < b and not text[a].isalnum() and text[a] not in "+(":
+        a += 1
+    while b > a and not text[b - 1].isalnum():
+        b -= 1
+    return a, b
+
+
+def _parts(kind: int, text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """Plausible spans of a line's run: parts between closing punctuation, and groups of what
+    lies between such parts, where the punctuation is within a number."""
+    out: list[tuple[int, int]] = []
+    left: list[tuple[int, int]] = []
+
+    def settle() -> None:
+        if len(left) > 1:
+            out.extend(_groups(kind, text, left))
+        left.clear()
+
+    for part in _cut(text, a, b, _CLOSING):
+        found = _row(kind, text, *part)
+        if found:
+            settle()
+            out.extend(found)
+        else:
+            left.append(part)
+    settle()
+    return out
+
+
+def _row(kind: int, text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """The stretch if plausible, or the plausible spans of its tokens that stand in a row."""
+    a, b = _trimmed(text, a, b)
+    name = LABELS[kind]
+    tokens = [m.span() for m in _TOKEN.finditer(text, a, b)]
+    if name in ("email", "ip"):
+        each = [_trimmed(text, *t) for t in tokens]
+        good = [t for t in each if _plausible(kind, text[slice(*t)])]
+        if len(good) > 1:
+            return good
+    if _plausible(kind, text[a:b]):
+        return [(a, b)]
+    return _groups(kind, text, tokens)
+
+
+def _groups(kind: int, text: str, units: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Plausible groups of consecutive units: those that cover most digits, of like length if
+    there is a choice."""
+    if LABELS[kind] not in _DIGITS:
+        return []
+    least, most = _DIGITS[LABELS[kind]]
+    counted = [(x, y, n) for x, y in units if (n := _digits(text, x, y))]
+    # Best (digits covered, less their squares) of the tokens so far, and the group that ends there.
+    best: list[tuple[int, int]] = [(0, 0)]
+    taken: list[int] = []
+    for j in range(len(counted)):
+        top, start, n = best[j], -1, 0
+        for i in range(j, -1, -1):
+            n += counted[i][2]
+            if n > most:
+                break
+            if n >= least and _plausible(kind, text[counted[i][0] : counted[j][1]]):
+                value = (best[i][0] + n, best[i][1] - n * n)
+                if value > top:
+                    top, start = value, i
+        best.append(top)
+        taken.append(start)
+    out, j = [], len(counted) - 1
+    while j >= 0:
+        i = taken[j]
+        if i >= 0:
+            out.append(_trimmed(text, counted[i][0], counted[j][1]))
+        j = i - 1 if i >= 0 else j - 1
+    return out[::-1]
+
+
 def _plausible(kind: int, found: str) -> bool:
     """What a span of the kind has in any spelling."""
     n = len(_NOT_DIGIT.sub("", found))
@@ -200,7 +313,8 @@ def _plausible(kind: int, found: str) -> bool:
         return "@" in found
     if name == "ip":
         return n >= 4
-    return 16 <= n <= 19 and luhn(_NOT_DIGIT.sub("", found)) if name == "card" else 7 <= n <= 15
+    least, most = _DIGITS[name]
+    return least <= n <= most and (name != "card" or luhn(_NOT_DIGIT.sub("", found)))
 
 
 def find(texts: list[str | None], decoder: Decoder) -> list[tuple[list[Span], list[Span]]]:

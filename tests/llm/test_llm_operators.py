@@ -188,6 +188,40 @@ def test_field_adds_spans_and_keeps_base_ones(spark):
         assert set(found[k].base) <= set(found[k].spans)
 
 
+@pytest.mark.parametrize(
+    "kind, text, expected",
+    [
+        ("phone", "555-123-4567, 555-987-6543", ["555-123-4567", "555-987-6543"]),
+        ("phone", "555-123-4567,555-987-6543", ["555-123-4567", "555-987-6543"]),
+        ("phone", "+49 30 1234567, 030 7654321", ["030 7654321"]),
+        ("phone", "030 1234567\n030 7654321\n030 9999999", ["030 1234567", "030 7654321", "030 9999999"]),
+        ("phone", "555 123 4567 555 987 6543", ["555 123 4567", "555 987 6543"]),
+        ("phone", "5551234567 5559876543 5550001111", ["5551234567", "5559876543", "5550001111"]),
+        ("phone", "(023) 555-9912.", ["(023) 555-9912"]),
+        ("phone", "555,123,4567, 555,987,6543", ["555,123,4567", "555,987,6543"]),
+        ("phone", "030\n1234567", ["030\n1234567"]),
+        ("card", "4845168114407329 4845 1681 1440 7329", ["4845168114407329", "4845 1681 1440 7329"]),
+        ("card", "4845168114407329\n4845168114407329", []),
+        ("email", "me@host, you@host us@there", ["me@host", "you@host", "us@there"]),
+        ("phone", "12 34, 5", []),
+    ],
+)
+def test_neighbouring_finds_of_one_kind(kind, text, expected):
+    labels = np.full(len(text.split()), pii.LABELS.index(kind))
+    found = pii.added_spans(text, labels, pii.base_spans(text))
+    assert [(k, text[a:b]) for k, a, b in found] == [(kind, t) for t in expected]
+
+
+def test_neighbours_are_masked(spark):
+    rng = random.Random(3)
+    fill = lambda n: " ".join("".join(rng.choices("etaoinshr", k=5)) for _ in range(n))
+    number = lambda n: "".join(rng.choices("0123456789", k=n))
+    taught = [f"{fill(9)} +1 ({number(3)}) 555-{number(4)} {fill(9)} {number(9)} {fill(4)}" for _ in range(60)]
+    docs = brute.documents(spark, [*taught, f"{fill(6)} (023) 555-9912, (024) 555-9913 {fill(6)}"])
+    row = pii.redact(docs, pii.train(docs)).where("doc_id = 60").first()
+    assert row.text.count("<PHONE>") == 2 and "555" not in row.text
+
+
 def test_redaction(spark):
     docs = brute.documents(spark, PRIVATE[:1] + [None, "nothing here"])
     rows = pii.redact(docs, pii.train(docs)).orderBy("doc_id").collect()
