@@ -488,6 +488,22 @@ def test_recurring_keys_without_pattern_are_found(spark):
     assert sum(bool(added) for _, added in plain) <= 5
 
 
+def test_keys_beyond_the_first_characters_are_found():
+    rows, upper, words = _key_texts()
+    windows, y, groups = secret_scan.examples(sorted(rows))
+    net = secret_scan.fit_network(windows, y, groups=groups)
+    path = "/".join(words(14).split())
+    for n in (0, 20, 48, 49, 200):
+        parts = secret_scan.stretches(5, 5 + n)
+        assert parts[0][0] == 5 and parts[-1][1] == 5 + n and all(b - a <= secret_scan.INSIDE for a, b in parts)
+        assert all(x[1] > y[0] for x, y in zip(parts, parts[1:]))
+    for n in range(10):
+        long, plain = f"see {path}/{upper(32)} end", f"see {path}/v2 end"
+        assert len(path) > secret_scan.INSIDE
+        assert [long[a:b] for _, a, b in secret_scan.find([long], net)[0][1]] == [long[4:-4]]
+        assert secret_scan.find([plain], net) == [([], [])]
+
+
 def test_spellings_of_a_finding_are_held_back_together():
     rows, _, _ = _key_texts()
     windows, y, groups = secret_scan.examples(rows)
