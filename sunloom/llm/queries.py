@@ -11,11 +11,14 @@ from sunloom.llm import (
     packing,
     pii,
     quality,
+    repeats,
     secret_scan,
     sharding,
     simhash,
+    spelling,
     tokencount,
     toxicity,
+    vector_codes,
 )
 from sunloom.llm.common import id_fold
 
@@ -112,6 +115,26 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -125,6 +148,9 @@ QUERIES = {
         op8_secrets,
         op9_packing,
         op10_near_duplicates,
+        op11_repeats,
+        op12_spelling,
+        op13_vector_codes,
     )
 }
 
@@ -251,4 +277,78 @@ FROM p JOIN s USING (shard) WHERE shard_bytes <= {sharding.LIMIT_BYTES} OR shard
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY k) = 1
 """
 
-ORACLES = {"op1_contamination": CONTAMINATION_SQL, "op2_quality": _quality_sql(), "op6_shards": SHARDS_SQL}
+REPEATS_SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + {repeats.WINDOW - 1}], ' ') AS win FROM (
+    SELECT doc_id, w, unnest(range(1, len(w) - {repeats.WINDOW - 2})) AS i FROM d WHERE len(w) >= {repeats.WINDOW})
+),
+least AS (SELECT win, min(doc_id) AS least FROM win GROUP BY 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {repeats.WINDOW})) AS p FROM win JOIN least USING (win) WHERE least < doc_id
+),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Codebooks by plain search over all entries, a pair of tables for each round."""
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+
+    def assigned(k: int) -> str:
+        return f"""
+a{k} AS MATERIALIZED (
+  SELECT vec_id, label, part, v, arg_min(entry, distance * {entries} + entry) AS entry, min(distance) AS distance FROM (
+    SELECT p.*, entry, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+    FROM p JOIN b{k} USING (part)) GROUP BY ALL
+)"""
+
+    def moved(k: int) -> str:
+        return f"""
+b{k + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(moved, c) AS c FROM b{k} LEFT JOIN (
+    SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY j) AS moved FROM (
+      SELECT part, entry, j, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM (
+        SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS j FROM a{k}) GROUP BY 1, 2, 3) GROUP BY 1, 2
+  ) USING (part, entry)
+)"""
+
+    steps = ",".join(step for k in range(rounds) for step in (assigned(k), moved(k)))
+    return f"""
+WITH e AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {vector_codes.SCALE})::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+p AS MATERIALIZED (
+  SELECT vec_id, label, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS v
+  FROM e, (SELECT unnest(range({parts})) AS part)
+),
+b0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v AS c
+  FROM p QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id) <= {entries}
+),{steps},{assigned(rounds)},
+coded AS (
+  SELECT vec_id, label, string_agg(lpad(lower(hex(entry)), 2, '0'), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error
+  FROM a{rounds} GROUP BY 1, 2
+),
+books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, books
+"""
+
+
+ORACLES = {
+    "op1_contamination": CONTAMINATION_SQL,
+    "op2_quality": _quality_sql(),
+    "op6_shards": SHARDS_SQL,
+    "op11_repeats": REPEATS_SQL,
+    "op13_vector_codes": _codes_sql(),
+}

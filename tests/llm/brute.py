@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -164,3 +165,88 @@ def counts(text: str | None) -> tuple[int, int, int, int, int]:
         len(lines) - len(set(lines)),
         len(repeated),
     )
+
+
+def repeats(rows: list[tuple], window: int = 13) -> list[tuple]:
+    """(doc_id, n_words, n_removed, kept text) for rows (doc_id, text)."""
+    late = float("inf")
+    split = [(late if k is None else k, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for k, t in rows]
+    least: dict = {}
+    for k, words in split:
+        for i in range(len(words) - window + 1):
+            key = tuple(words[i : i + window])
+            least[key] = min(k, least.get(key, late))
+    found = []
+    for (k, words), (doc_id, _) in zip(split, rows):
+        gone = set()
+        for i in range(len(words) - window + 1):
+            if least[tuple(words[i : i + window])] < k:
+                gone.update(range(i, i + window))
+        kept = [w for i, w in enumerate(words) if i not in gone]
+        found.append((doc_id, len(words), len(gone), " ".join(kept)))
+    return found
+
+
+def spelling(rows: list[tuple]) -> dict[str, tuple]:
+    """word to (n, n_near, form, form_n, root) for rows (doc_id, text), all pairs compared."""
+    counts: dict = {}
+    for k, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if k is None else k}:{run}".encode())
+            if h % 97 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] = counts.get(run, 0) + 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+    def one_apart(a: str, b: str) -> bool:
+        if len(a) > len(b):
+            a, b = b, a
+        if len(b) - len(a) > 1 or a == b:
+            return False
+        k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+        return a[k + 1 :] == b[k + 1 :] if len(a) == len(b) else a[k:] == b[k + 1 :]
+
+    near = {w: [x for x in words if one_apart(w, x)] for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * words[w] else None
+    found = {}
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        found[w] = (n, len(near[w]), form[w], words.get(form[w]), root)
+    return found
+
+
+def vector_codes(rows: list[tuple], parts: int = 8, entries: int = 16, rounds: int = 6) -> tuple[list[tuple], list]:
+    """(vec_id, codes, error) of the kept rows (vec_id, vector), and the codebooks."""
+    kept = []
+    for k, v in rows:
+        if v and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((k, [math.floor(4096 * x) for x in v]))
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    if not kept:
+        return [], []
+    dim = len(kept[0][1]) // parts
+    cut = [[v[p * dim : (p + 1) * dim] for p in range(parts)] for _, v in kept]
+    books = [[list(v[p]) for v in cut[:entries]] for p in range(parts)]
+
+    def nearest(p: int, part: list) -> tuple[int, int]:
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), i) for i, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            groups: dict = {}
+            for v in cut:
+                groups.setdefault(nearest(p, v[p])[1], []).append(v[p])
+            for e, own in groups.items():
+                books[p][e] = [sum(c) // len(own) for c in zip(*own)]
+    found = []
+    for (k, _), v in zip(kept, cut):
+        best = [nearest(p, v[p]) for p in range(parts)]
+        found.append((k, bytes(i for _, i in best), sum(d for d, _ in best)))
+    return found, books
