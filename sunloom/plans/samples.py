@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sunloom.functions.numbers import any_missing
 from sunloom.functions.times import epoch_micros, from_micros, micros, ntz
 from sunloom.operators.grids import in_ranges
-from sunloom.operators.windows import moving_window, with_row_index
+from sunloom.operators.windows import Frame, moving_frames, with_row_index
 
 STEP = timedelta(minutes=30)
 
@@ -101,14 +101,12 @@ def classify_candidates(
     if not rows:
         return indexed.select("datetime", F.lit("").alias("status"), F.lit(0).alias("label")).limit(0)
     lo, hi = first + cadence * before, last - cadence * after
-    windowed = moving_window(
+    windowed = moving_frames(
         indexed,
-        before,
-        max(after, 2),
         {
-            "_bad_rows": (F.sum("_bad"), -before, after - 1),
-            "_peak": (F.max("_value"), 0, after - 1),
-            "_next": (F.max("datetime"), 1, 1),
+            "_bad_rows": Frame("sum", "_bad", -before, after - 1),
+            "_peak": Frame("max", "_value", 0, after - 1),
+            "_next": Frame("value", "datetime", 1, 1),
         },
     )
     when, row = F.col("datetime"), F.col("row_index")

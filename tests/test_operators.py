@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,7 +13,7 @@ from sunloom.operators import inserts
 from sunloom.operators.grids import hourly_targets, months, time_grid
 from sunloom.operators.resample import tumbling_stats
 from sunloom.operators.timejoin import covered, nearest_matches, nearest_record
-from sunloom.operators.windows import moving_window, with_row_index
+from sunloom.operators.windows import Frame, moving_frames, moving_window, with_row_index
 from sunloom.functions.times import ntz
 from sunloom.plans import samples
 from sunloom.plans.sw30 import build_sw30
@@ -94,6 +95,36 @@ def test_moving_window_like_one_global_window(spark, before, after, block):
     assert got == {i: sum(bad[max(i - before, 0) : i + after]) for i in range(200)}
 
 
+def _plain_frame(values, i, frame):
+    held = [v for k, v in values.items() if i + frame.first <= k <= i + frame.last and v is not None]
+    if frame.kind == "value":
+        return values.get(i + frame.first)
+    return {"sum": sum, "max": max, "min": min}[frame.kind](held) if held else None
+
+
+@pytest.mark.parametrize("block", [None, 40])
+@pytest.mark.parametrize("begin, n", [(0, 1), (0, 137), (13, 90)])
+def test_moving_frames_like_plain_ones(spark, begin, n, block):
+    rng = random.Random(n)
+    values = {begin + i: rng.choice([None, *range(-9, 9)]) for i in range(n)}
+    spans = [(-3, 4), (0, 6), (-11, -2), (2, 9), (1, 1), (0, 0), (-20, 19)]
+    frames = {f"{k}{j}": Frame(k, "v", lo, hi) for j, (lo, hi) in enumerate(spans) for k in ("sum", "max", "min")}
+    frames["next"] = Frame("value", "v", 1, 1)
+    found = moving_frames(spark.createDataFrame(list(values.items()), "row_index bigint, v int"), frames, block=block).collect()
+    assert sorted(r["row_index"] for r in found) == sorted(values)
+    for r in found:
+        assert {k: r[k] for k in frames} == {k: _plain_frame(values, r["row_index"], f) for k, f in frames.items()}
+
+
+def test_moving_frames_form_no_sliding_window(spark):
+    df = spark.range(10).selectExpr("id AS row_index", "id AS v")
+    plan = _plan(moving_frames(df, {"a": Frame("max", "v", -5, 5), "b": Frame("sum", "v", -5, 5)}))
+    frames = set(re.findall(r"specifiedwindowframe\(RowFrame, ([^)]*)\(?\)?", plan))
+    # Only running frames and single rows at a fixed distance.
+    assert frames == {"unboundedpreceding$(", "-5, -5", "-6, -6", "5, 5"}
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_window_fixture(spark):
     rows = [(T0 + timedelta(minutes=30 * i), None if i == 5 else 1.0, 40.0 if i == 3 else 10.0) for i in range(10)]
     table = spark.createDataFrame(rows, "datetime timestamp_ntz, v double, ap30 double")
