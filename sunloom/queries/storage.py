@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ from sunloom.sinks.exports import (
 )
 from sunloom.sinks.tables import (
     append_rows,
+    compact,
     delete_orphans,
     insert_ignore,
     new_rows,
@@ -32,7 +35,8 @@ from sunloom.sinks.tables import (
     replace_years,
 )
 from sunloom.sources.files import read_manifest
-from sunloom.tables import TABLES, TableSpec, ensure_tables, read_table
+from sunloom.tables import TABLES, TableSpec, ensure_tables, read_table, table_path
+from sunloom.versions import latest
 
 ORDERS_BY_YEAR = TableSpec(
     "orders_by_year",
@@ -303,15 +307,50 @@ SQL_ORPHANS = f"{_SQL_LASCO} WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.do
 
 
 def orphans_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue stored, cleaned into a new folder, read from there."""
-    root, clean = scratch_path(spark, "lasco"), scratch_path(spark, "lasco-clean")
+    """The catalogue stored, cleaned in place, and read."""
+    root = scratch_path(spark, "lasco")
     append_rows(_lasco_rows(spark, sf_dir), TABLES["lasco"], root)
-    delete_orphans(spark, TABLES["lasco"], root, clean, _listing(spark, sf_dir))
-    return read_table(spark, clean, TABLES["lasco"]).select("camera", "datetime", "file_path")
+    delete_orphans(spark, TABLES["lasco"], root, _listing(spark, sf_dir))
+    return read_table(spark, root, TABLES["lasco"]).select("camera", "datetime", "file_path")
 
 
 SQL_ORPHANS_DELETED = f"{_SQL_LASCO} WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"
 
+def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue as of each version: half of it, all of it, without orphans, compacted."""
+    root, spec, rows = scratch_path(spark, "versions"), TABLES["lasco"], _lasco_rows(spark, sf_dir)
+    append_rows(rows.where("exposure_time % 0.5 = 0"), spec, root)
+    append_rows(rows, spec, root)
+    delete_orphans(spark, spec, root, _listing(spark, sf_dir))
+    compact(spark, spec, root, most=1)
+    numbers = range(1, latest(spark, table_path(root, spec.name)).number + 1)
+    frames = [read_table(spark, root, spec, n).select("file_path", F.lit(n).alias("version")) for n in numbers]
+    return reduce(DataFrame.unionByName, frames)
+
+
+SQL_VERSIONS = f"""
+WITH d AS (SELECT '/archive/' || doc_id AS file_path, n_chars, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) AS there FROM documents d)
+SELECT file_path, version::INTEGER AS version FROM d, (VALUES (1), (2), (3), (4)) AS v(version)
+WHERE version = 2 OR version = 1 AND n_chars % 2 = 0 OR version > 2 AND there
+"""
+
+
+def racing_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three writers at once insert overlapping thirds of the catalogue; nothing is stored twice."""
+    root, spec, rows = scratch_path(spark, "racing"), TABLES["lasco"], _lasco_rows(spark, sf_dir)
+    ensure_tables(spark, root, [spec])
+    batches = [rows.where(F.col("exposure_time") * 4 % 4 != k).withColumn("n", F.col("file_path")) for k in range(3)]
+    with ThreadPoolExecutor(3) as pool:
+        counts = list(pool.map(lambda batch: insert_ignore(batch, spec, root, ("n",)), batches))
+    stored = read_table(spark, root, spec).groupBy("camera", "datetime", "file_path").agg(F.count("*").alias("n"))
+    return stored.withColumn("inserted", F.lit(sum(c.inserted for c in counts)).cast("bigint"))
+
+
+SQL_RACING = f"""
+SELECT camera, datetime, file_path, 1::BIGINT AS n, count(*) OVER () AS inserted FROM ({_SQL_LASCO})
+"""
+
+
 _STATUS_TIMES = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
 _STATUS_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
 
@@ -363,6 +402,8 @@ QUERIES = {
     "manifest_roundtrip": manifest_roundtrip,
     "orphans": orphans,
     "orphans_deleted": orphans_deleted,
+    "table_versions": table_versions,
+    "racing_inserts": racing_inserts,
     "table_status": status_report,
     "declared_status": declared_status,
 }
@@ -380,6 +421,8 @@ ORACLES = {
     "manifest_roundtrip": SQL_MANIFEST,
     "orphans": SQL_ORPHANS,
     "orphans_deleted": SQL_ORPHANS_DELETED,
+    "table_versions": SQL_VERSIONS,
+    "racing_inserts": SQL_RACING,
     "table_status": SQL_STATUS,
     "declared_status": SQL_DECLARED,
 }

@@ -2,42 +2,67 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sunloom import versions
 from sunloom.functions.names import child
 from sunloom.functions.times import ntz
 from sunloom.operators.inserts import accept_in_order, first_per_key, without_known
 from sunloom.operators.reconcile import absent, present
 from sunloom.session import materialise
+from sunloom.sinks.paths import index_path, known_values, write_index
 from sunloom.tables import (
     TableSpec,
     conform,
     ensure_tables,
     read_table,
     split_unkeyed,
+    stored_schema,
     table_exists,
     table_path,
     with_partition,
 )
+from sunloom.versions import Conflict, Part, Version
 
 
-def _store(df: DataFrame, spec: TableSpec, root: str, mode: str) -> None:
-    """One sorted run of files per year folder.
+def _write(df: DataFrame, spec: TableSpec, root: str) -> list[Part]:
+    """One sorted run of files per year folder, not yet part of any version.
 
     A year may be any share of the data, so rows are spread by range of the key
     and not by year; every file then covers a narrow range of times. Finding the
     ranges reads the keys once before, so ``df`` should be stored already.
     """
-    placed = with_partition(df, spec)
+    path, schema = table_path(root, spec.name), stored_schema(spec)
     order = [spec.partition, *[c for c in spec.key if c != spec.partition]]
-    ranged = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    writer = ranged.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(spec.partition).parquet(table_path(root, spec.name))
+    ranged = with_partition(df, spec).repartitionByRange(*order).sortWithinPartitions(*order)
+    added = versions.write_parts(ranged, path, spec.partition)
+    for unique in spec.unique:
+        write_index(df.sparkSession, path, added, schema, unique)
+    return added
+
+
+def _latest(spark: SparkSession, spec: TableSpec, root: str) -> Version:
+    return versions.latest(spark, table_path(root, spec.name)) or Version()
+
+
+def _publish(spark: SparkSession, spec: TableSpec, root: str, base: Version, add: list[Part], drop=()) -> bool:
+    """Whether the version after ``base`` is this one; if not, what was written is removed."""
+    path = table_path(root, spec.name)
+    try:
+        versions.publish(spark, path, base, add, drop)
+    except Conflict:
+        versions.discard(spark, path, add)
+        if spec.unique:
+            versions.discard(spark, index_path(path), add)
+        return False
+    return True
 
 
 DUPLICATE = "duplicate_key"
@@ -77,23 +102,30 @@ def replace_years(df: DataFrame, spec: TableSpec, root: str, order: Sequence[str
     Returns the rows refused: those without a required column, in practice the
     timestamp, and those whose key an earlier row has.
     """
+    spark = df.sparkSession
     kept, refused = settle_keys(df, spec, order)
-    _store(kept, spec, root, "overwrite")
-    return refused
+    while True:
+        base = _latest(spark, spec, root)
+        added = _write(kept, spec, root)
+        years = {year for _, year in added}
+        if _publish(spark, spec, root, base, added, [p for p in base.parts if p[1] in years]):
+            return refused
 
 
 def append_rows(df: DataFrame, spec: TableSpec, root: str, order: Sequence[str] = ()) -> DataFrame:
     """Append the rows of new keys; returns the others, with what ``replace_years`` refuses."""
     spark = df.sparkSession
     kept, refused = settle_keys(df, spec, order)
-    if table_exists(spark, table_path(root, spec.name)):
-        held = read_table(spark, root, spec).select(*[F.col(c).alias(f"_of_{c}") for c in spec.key])
-        known = kept.join(held, _same_key(spec, "_of_"), "left_semi").withColumn("error", F.lit(DUPLICATE))
-        # The refused rows outlive the write that makes their keys known, so they are set down first.
-        refused = materialise(refused.unionByName(known), "refused")
-        kept = materialise(without_known(kept, held.toDF(*spec.key), spec.key), "fresh")
-    _store(kept, spec, root, "append")
-    return refused
+    while True:
+        base = _latest(spark, spec, root)
+        fresh, barred = kept, refused
+        if base.parts:
+            held = read_table(spark, root, spec, base).select(*[F.col(c).alias(f"_of_{c}") for c in spec.key])
+            known = kept.join(held, _same_key(spec, "_of_"), "left_semi").withColumn("error", F.lit(DUPLICATE))
+            barred = refused.unionByName(known)
+            fresh = materialise(without_known(kept, held.toDF(*spec.key), spec.key), "fresh")
+        if _publish(spark, spec, root, base, _write(fresh, spec, root)):
+            return barred
 
 
 @dataclass(frozen=True)
@@ -138,8 +170,9 @@ def insert_ignore(batch: DataFrame, spec: TableSpec, root: str, ordinal: Sequenc
 
     Rows without a required column are counted and returned, not inserted.
 
-    Only the stored rows inside the batch's time range are compared by key; paths
-    are compared with all stored paths, one column read.
+    Only the stored rows inside the batch's time range are compared by key, and paths
+    with those of the index buckets the batch hits. If another writer was faster, the
+    batch is compared with its rows too, so no key is stored twice.
     """
     spark = batch.sparkSession
     # Columns the table lacks stay with the batch, so refused rows can be told.
@@ -151,17 +184,18 @@ def insert_ignore(batch: DataFrame, spec: TableSpec, root: str, ordinal: Sequenc
     if not offered:
         return InsertCounts(0, 0, refused, unfit)
     ensure_tables(spark, root, [spec])
-    stored = read_table(spark, root, spec)
-    near = stored.where(F.col("datetime").between(ntz(lo), ntz(hi)))
-    if spec.partition not in spec.columns:  # the folder is the year of the timestamp
-        near = near.where(F.col(spec.partition).between(lo.year, hi.year))
-    values = stored.select(*spec.unique) if spec.unique else None
-    found = new_rows(staged, near.select(*spec.key), spec, ordinal, values)
-    fresh = materialise(found.select(*spec.columns), "fresh")
-    inserted = fresh.count()
-    if inserted:
-        _store(fresh, spec, root, "append")
-    return InsertCounts(offered, inserted, refused, unfit)
+    path = table_path(root, spec.name)
+    while True:
+        base = _latest(spark, spec, root)
+        near = read_table(spark, root, spec, base).where(F.col("datetime").between(ntz(lo), ntz(hi)))
+        if spec.partition not in spec.columns:  # the folder is the year of the timestamp
+            near = near.where(F.col(spec.partition).between(lo.year, hi.year))
+        values = known_values(spark, path, base, staged, *spec.unique) if spec.unique else None
+        found = new_rows(staged, near.select(*spec.key), spec, ordinal, values)
+        fresh = materialise(found.select(*spec.columns), "fresh")
+        inserted = fresh.count()
+        if not inserted or _publish(spark, spec, root, base, _write(fresh, spec, root)):
+            return InsertCounts(offered, inserted, refused, unfit)
 
 
 def surviving_rows(catalog: DataFrame, listing: DataFrame, column: str = "file_path", path: str = "path") -> DataFrame:
@@ -174,26 +208,53 @@ def orphan_rows(catalog: DataFrame, listing: DataFrame, column: str = "file_path
     return absent(catalog, listing.select(F.col(path).alias(column)), column).select(*catalog.columns)
 
 
-def delete_orphans(spark: SparkSession, spec: TableSpec, root: str, new_root: str, listing: DataFrame) -> int:
-    """Write the table without its orphans below ``new_root``; returns how many went.
+def delete_orphans(
+    spark: SparkSession, spec: TableSpec, root: str, listing: DataFrame, column: str = "file_path"
+) -> int:
+    """Delete the rows whose file is gone, in place; returns how many went.
 
-    A folder cannot be overwritten while it is read, so the clean version is a new
-    one and the caller switches to it.
+    Only the parts that hold orphans are written anew, and the next version names these
+    instead. Readers of the version before go on reading it.
+    """
+    path, schema = table_path(root, spec.name), stored_schema(spec)
+    tagged = T.StructType([*schema.fields, T.StructField("commit", T.StringType())])
+    while True:
+        base = _latest(spark, spec, root)
+        rows = versions.read_parts(spark, path, base.parts, tagged)
+        gone = materialise(orphan_rows(rows, listing, column).select("commit", spec.partition), "orphans")
+        counts = gone.groupBy("commit", spec.partition).count().collect()
+        hit = [(r["commit"], f"{spec.partition}={r[spec.partition]}") for r in counts]
+        if not hit:
+            return 0
+        kept = surviving_rows(versions.read_parts(spark, path, hit, schema), listing, column)
+        if _publish(spark, spec, root, base, _write(materialise(kept, "kept"), spec, root), hit):
+            return sum(r["count"] for r in counts)
+
+
+def compact(spark: SparkSession, spec: TableSpec, root: str, most: int = 8) -> int:
+    """Write the years of more than ``most`` parts as one part each; returns how many years.
+
+    Every insert adds a part to each year it touches, and to the index of paths.
     """
-    if new_root.rstrip("/") == root.rstrip("/"):
-        raise ValueError("the clean version needs a folder of its own")
-    catalog = read_table(spark, root, spec)
-    _store(surviving_rows(catalog, listing).select(*spec.columns), spec, new_root, "overwrite")
-    return catalog.count() - read_table(spark, new_root, spec).count()
+    path, schema = table_path(root, spec.name), stored_schema(spec)
+    while True:
+        base = _latest(spark, spec, root)
+        years = Counter(year for _, year in base.parts)
+        many = [p for p in base.parts if years[p[1]] > most]
+        if not many:
+            return 0
+        rows = versions.read_parts(spark, path, many, schema)
+        if _publish(spark, spec, root, base, _write(rows, spec, root), many):
+            return len({year for _, year in many})
 
 
 def quarantine(classified: DataFrame, root: str, error: str = "error", path: str = "path") -> None:
     """Refused records below ``root``, one folder per error class, each path once.
 
-    Paths already set aside are left as they are, so a run may be repeated.
+    Of several errors of a path the first by name stays. Paths already set aside are left as they are, so a run may be repeated.
     """
     spark = classified.sparkSession
-    bad = classified.where(F.col(error).isNotNull())
+    bad = first_per_key(classified.where(F.col(error).isNotNull()), [path], [error])
     if table_exists(spark, root):
         # The folder may be there without rows, after a run that refused nothing.
         held = spark.read.schema(bad.schema).parquet(root).select(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sunloom import versions
 from sunloom.functions.numbers import storage_cast
 from sunloom.sources.goes import PROTON_THRESHOLDS_MEV, XRS_CHANNELS
 from sunloom.sources.hpo import HP30, HP60, IndexSpec
@@ -191,25 +192,42 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def stored_schema(spec: TableSpec) -> T.StructType:
+    """The declared columns, with the partition column last."""
+    fields = {f.name: T.StructField(f.name, f.dataType) for f in spec.schema.fields}
+    last = fields.pop(spec.partition, T.StructField(spec.partition, T.IntegerType()))
+    return T.StructType([*fields.values(), last])
+
+
 def ensure_tables(spark: SparkSession, root: str, specs: list[TableSpec] | None = None, drop: bool = False) -> list[str]:
     """Create the declared tables that are absent; ``drop`` empties those present."""
     made = []
     for spec in specs or list(TABLES.values()):
         path = table_path(root, spec.name)
-        if drop or not table_exists(spark, path):
-            schema = T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema.fields])
-            empty = with_partition(spark.createDataFrame([], schema), spec)
-            writer = empty.write.option("partitionOverwriteMode", "static").mode("overwrite")
-            writer.partitionBy(spec.partition).parquet(path)
+        while True:
+            version = versions.latest(spark, path)
+            if version is not None and not drop:
+                break
+            base = version or versions.Version()
+            try:
+                versions.publish(spark, path, base, drop=base.parts)
+            except versions.Conflict:
+                continue
             made.append(spec.name)
+            break
     return made
 
 
-def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
-    """The stored table in declared column order, partition column last."""
-    fields = [T.StructField(f.name, f.dataType) for f in spec.schema.fields]
-    if spec.partition not in spec.columns:
-        fields.append(T.StructField(spec.partition, T.IntegerType()))
-    frame = spark.read.schema(T.StructType(fields)).parquet(table_path(root, spec.name))
+def read_table(
+    spark: SparkSession, root: str, spec: TableSpec, version: versions.Version | int | None = None
+) -> DataFrame:
+    """The latest, or a given, version in declared column order, partition column last."""
+    path = table_path(root, spec.name)
+    if isinstance(version, int):
+        version = versions.load(spark, path, version)
+    held = version or versions.latest(spark, path)
+    if held is None:
+        raise FileNotFoundError(f"no table at {path}")
+    frame = versions.read_parts(spark, path, held.parts, stored_schema(spec))
     extra = [spec.partition] if spec.partition not in spec.columns else []
     return frame.select(*spec.columns, *extra)

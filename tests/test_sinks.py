@@ -1,17 +1,20 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from sunloom import versions
 from sunloom.plans import images
 from sunloom.plans.ingest import ingest_nowcast
 from sunloom.sinks import exports
-from sunloom.sinks.tables import append_rows, delete_orphans, insert_ignore, replace_years
+from sunloom.sinks.paths import known_values
+from sunloom.sinks.tables import append_rows, compact, delete_orphans, insert_ignore, replace_years
 from sunloom.sources.fixed_width import read_lines
 from sunloom.sources.hpo import HP30
-from sunloom.tables import SW30_COLUMNS, TABLES, conform, ensure_tables, read_table
+from sunloom.tables import SW30_COLUMNS, TABLES, conform, ensure_tables, read_table, table_path
 
 T0 = datetime(2024, 1, 1)
 MAG = TABLES["goes_mag"]
@@ -73,17 +76,93 @@ def test_ensure_tables(spark, tmp_path):
     assert read_table(spark, root, MAG).count() == 0
 
 
-def test_delete_orphans(spark, tmp_path):
-    spec = TABLES["lasco"]
-    rows = spark.createDataFrame(
-        [("c2", T0 + timedelta(hours=i), f"/a/{i}") for i in range(4)], "camera string, datetime timestamp_ntz, file_path string"
-    )
-    append_rows(rows, spec, str(tmp_path / "old"))
-    listing = spark.createDataFrame([("/a/1",), ("/a/3",), ("/a/9",)], "path string")
-    assert delete_orphans(spark, spec, str(tmp_path / "old"), str(tmp_path / "new"), listing) == 2
-    assert sorted(r["file_path"] for r in read_table(spark, str(tmp_path / "new"), spec).collect()) == ["/a/1", "/a/3"]
-    with pytest.raises(ValueError):
-        delete_orphans(spark, spec, str(tmp_path / "old"), str(tmp_path / "old"), listing)
+def _lasco(spark, numbers, hour=0, folder="/a"):
+    rows = [("c2", T0 + timedelta(hours=i + hour, days=400 * (i % 2)), f"{folder}/{i}") for i in numbers]
+    return spark.createDataFrame(rows, "camera string, datetime timestamp_ntz, file_path string")
+
+
+def test_delete_orphans_in_place(spark, tmp_path):
+    spec, root = TABLES["lasco"], str(tmp_path)
+    append_rows(_lasco(spark, range(4)), spec, root)
+    before = read_table(spark, root, spec)
+    listing = spark.createDataFrame([("/a/0",), ("/a/1",), ("/a/3",), ("/a/9",)], "path string")
+    assert delete_orphans(spark, spec, root, listing) == 1
+    assert sorted(r["file_path"] for r in read_table(spark, root, spec).collect()) == ["/a/0", "/a/1", "/a/3"]
+    # The year without orphans was not written again, and the old version still reads.
+    old, new = (versions.load(spark, table_path(root, "lasco"), n) for n in (1, 2))
+    assert len(set(old.parts) & set(new.parts)) == 1 and len(old.parts) == len(new.parts) == 2
+    assert before.count() == read_table(spark, root, spec, 1).count() == 4
+    assert delete_orphans(spark, spec, root, listing) == 0
+    # The path of a deleted row is free again, those of the others are not.
+    found = insert_ignore(_lasco(spark, range(4), hour=50).withColumn("n", F.col("file_path")), spec, root, ("n",))
+    assert found.inserted == 1
+
+
+def test_two_writers_store_no_key_twice(spark, tmp_path):
+    spec, root = TABLES["lasco"], str(tmp_path)
+    ensure_tables(spark, root, [spec])
+
+    def add(k):
+        rows = _lasco(spark, range(5 * k, 5 * k + 20)).withColumn("n", F.col("file_path"))
+        return insert_ignore(rows, spec, root, ("n",)).inserted
+
+    with ThreadPoolExecutor(4) as pool:
+        inserted = list(pool.map(add, range(4)))
+    stored = [r["file_path"] for r in read_table(spark, root, spec).collect()]
+    assert sum(inserted) == len(stored) == len(set(stored)) == 35
+    # What lost a race is gone from the disk.
+    held = {c for c, _ in versions.latest(spark, table_path(root, "lasco")).parts}
+    assert {f.name.removeprefix("commit=") for f in (tmp_path / "lasco").glob("commit=*")} == held
+
+
+def test_a_version_is_published_once(spark, tmp_path):
+    table = str(tmp_path / "t")
+    base = versions.publish(spark, table, versions.Version(), [("c1", "y=1"), ("c1", "y=2")])
+    done = versions.publish(spark, table, base, [("c2", "y=1")], [("c1", "y=1")])
+    with pytest.raises(versions.Conflict):
+        versions.publish(spark, table, base, [("c3", "y=1")])
+    assert versions.latest(spark, table) == done
+    assert (done.number, done.parts, done.dropped) == (2, (("c1", "y=2"), ("c2", "y=1")), (("c1", "y=1"),))
+
+
+def test_readers_see_no_unpublished_rows(spark, tmp_path):
+    root = str(tmp_path)
+    append_rows(_mag(spark, [(16, T0, 1.0, 1)]), MAG, root)
+    rows = _mag(spark, [(17, T0, 2.0, 2)]).select("satellite", "datetime", "bx_nt", F.lit(2024).alias("datetime_year"))
+    versions.write_parts(rows, table_path(root, MAG.name), "datetime_year")
+    assert read_table(spark, root, MAG).count() == 1
+    assert versions.vacuum(spark, table_path(root, MAG.name)) == 0
+    assert versions.vacuum(spark, table_path(root, MAG.name), older_than=-60) == 1
+    assert read_table(spark, root, MAG).count() == 1
+
+
+def test_an_insert_reads_its_own_buckets(spark, tmp_path):
+    spec, few, many = TABLES["lasco"], str(tmp_path / "few"), str(tmp_path / "many")
+    batch = _lasco(spark, range(5), hour=9000, folder="/d/3").withColumn("n", F.col("file_path"))
+    read = []
+    for root, folders in ((few, 10), (many, 100)):
+        rows = [("c2", T0 + timedelta(minutes=k), f"/d/{k % folders}/{k // folders}") for k in range(folders * 7)]
+        append_rows(spark.createDataFrame(rows, "camera string, datetime timestamp_ntz, file_path string"), spec, root)
+        path = table_path(root, "lasco")
+        found = known_values(spark, path, versions.latest(spark, path), batch, "file_path")
+        read.append(sorted(r[0] for r in found.where("file_path LIKE '/d/3/%'").collect()))
+        # All that is read lies in one of 4,096 buckets, and between the batch's paths.
+        assert found.count() == len(read[-1])
+        assert insert_ignore(batch, spec, root, ("n",)).inserted == 0
+    assert read[0] == read[1] == [f"/d/3/{k}" for k in range(5)]
+
+
+def test_compact_keeps_rows_and_paths(spark, tmp_path):
+    spec, root = TABLES["lasco"], str(tmp_path)
+    for k in range(3):
+        append_rows(_lasco(spark, range(2 * k, 2 * k + 2)), spec, root)
+    assert len(versions.latest(spark, table_path(root, "lasco")).parts) == 6
+    assert compact(spark, spec, root, most=2) == 2
+    assert len(versions.latest(spark, table_path(root, "lasco")).parts) == 2
+    assert sorted(r["file_path"] for r in read_table(spark, root, spec).collect()) == [f"/a/{k}" for k in range(6)]
+    again = _lasco(spark, range(7), hour=99).withColumn("n", F.col("file_path"))
+    assert insert_ignore(again, spec, root, ("n",)).inserted == 1
+    assert compact(spark, spec, root, most=2) == 0
 
 
 def test_nowcast_first_line_wins(spark, tmp_path):
@@ -172,5 +251,5 @@ def test_quarantine_may_be_replayed(spark, tmp_path):
 
     rows = spark.createDataFrame([("a", "invalid_file"), ("b", None), ("c", "invalid_time")], "path string, error string")
     for _ in range(2):
-        quarantine(rows, str(tmp_path / "bad"))
+        quarantine(rows.unionByName(rows), str(tmp_path / "bad"))
     assert sorted(r["path"] for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == ["a", "c"]
