@@ -317,12 +317,12 @@ def orphans_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_ORPHANS_DELETED = f"{_SQL_LASCO} WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"
 
 def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue as of each version: half of it, all of it, without orphans, compacted."""
+    """The catalogue as of each version: half of it, all of it, compacted, without orphans."""
     root, spec, rows = scratch_path(spark, "versions"), TABLES["lasco"], _lasco_rows(spark, sf_dir)
     append_rows(rows.where("exposure_time % 0.5 = 0"), spec, root)
     append_rows(rows, spec, root)
-    delete_orphans(spark, spec, root, _listing(spark, sf_dir))
     compact(spark, spec, root, most=1)
+    delete_orphans(spark, spec, root, _listing(spark, sf_dir))
     numbers = range(1, latest(spark, table_path(root, spec.name)).number + 1)
     frames = [read_table(spark, root, spec, n).select("file_path", F.lit(n).alias("version")) for n in numbers]
     return reduce(DataFrame.unionByName, frames)
@@ -331,7 +331,7 @@ def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_VERSIONS = f"""
 WITH d AS (SELECT '/archive/' || doc_id AS file_path, n_chars, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) AS there FROM documents d)
 SELECT file_path, version::INTEGER AS version FROM d, (VALUES (1), (2), (3), (4)) AS v(version)
-WHERE version = 2 OR version = 1 AND n_chars % 2 = 0 OR version > 2 AND there
+WHERE version IN (2, 3) OR version = 1 AND n_chars % 2 = 0 OR version = 4 AND there
 """
 
 
