@@ -44,6 +44,9 @@ def nearest_matches(
     On equal gaps the earlier record wins, then the lower ``order`` columns. All
     other columns of the record are added; ``how='left'`` keeps unmatched targets.
 
+    Only time and ``order`` take part in the match; the other columns are fetched by one
+    join with what was matched. Of records equal in all these the least stands.
+
     No pairs are formed. Records of one time collapse to one, as do targets of one
     time. Time is cut into blocks a tolerance long and these into ``slots``; inside
     a slot two running windows read off the last record before and the first one
@@ -60,7 +63,7 @@ def nearest_matches(
 
     at = epoch_micros(F.col("datetime"))
     keyed = records.where(F.col("datetime").isNotNull()).select(
-        *dims, at.alias("_us"), F.struct(*order, *rest).alias("_rec")
+        *dims, at.alias("_us"), F.struct(*order).alias("_rec")
     )
     slot = F.floor(F.col("_us") / F.lit(slot_size)).cast("bigint").alias("_slot")
     single = keyed.groupBy(*dims, "_us").agg(F.min("_rec").alias("_rec")).select(*dims, slot, "_us", "_rec")
@@ -112,15 +115,36 @@ def nearest_matches(
     matched = matched.select(
         *dims,
         "_us",
-        from_micros(found).alias("datetime"),
-        F.abs(found - F.col("_us")).alias("gap_us"),
-        *[F.col(f"_best._rec.{c}").alias(c) for c in (*order, *rest)],
+        found.alias("_found"),
+        *[F.col(f"_best._rec.{c}").alias(c) for c in order],
+    )
+    if rest:
+        matched = _with_payload(matched, records, dims, order, rest)
+    named = matched.select(
+        *dims, "_us", from_micros(F.col("_found")).alias("datetime"),
+        F.abs(F.col("_found") - F.col("_us")).alias("gap_us"), *order, *rest,
     )
     keyed_targets = targets.withColumn("_us", epoch_micros(F.col(target_time)))
-    out = keyed_targets.join(matched, [*dims, "_us"], how)
+    out = keyed_targets.join(named, [*dims, "_us"], how)
     return out.select(*targets.columns, "datetime", "gap_us", *order, *rest)
 
 
+def _with_payload(
+    matched: DataFrame, records: DataFrame, dims: Sequence[str], order: Sequence[str], rest: Sequence[str]
+) -> DataFrame:
+    """The matches with the ``rest`` of their record, which key, time and order find again."""
+    keys = [*dims, "_found", *order]
+    asked = matched.select(*[F.col(c).alias(f"_of_{c}") for c in keys]).distinct()
+    timed = records.withColumn("_found", epoch_micros(F.col("datetime")))
+    same = F.lit(True)
+    for c in keys:
+        # Keys and times are there on both sides; an order column may be missing.
+        same = same & (F.col(c).eqNullSafe(F.col(f"_of_{c}")) if c in order else F.col(c) == F.col(f"_of_{c}"))
+    held = timed.join(asked, same, "left_semi").groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_rest"))
+    named = held.select(*[F.col(c).alias(f"_of_{c}") for c in keys], *[F.col(f"_rest.{c}").alias(c) for c in rest])
+    return matched.join(named, same).select(*matched.columns, *rest)
+
+
 def covered(
     targets: DataFrame,
     records: DataFrame,

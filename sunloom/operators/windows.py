@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -31,6 +32,25 @@ def with_row_index(df: DataFrame, *order: str, name: str = "row_index") -> DataF
     return joined.withColumn(name, F.col("_offset") + F.col("_place")).drop("_part", "_place", "_offset")
 
 
+def with_running_totals(df: DataFrame, order: Sequence[str], totals: dict[str, str]) -> DataFrame:
+    """Totals of whole-number columns from the first row, in the order, to each row.
+
+    ``totals`` maps a new name to a column. Rows are range-partitioned and sorted once;
+    a partition adds up its own rows, and one row of sums per partition gives what lies
+    before it. ``order`` must tell rows apart.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    stored = materialise(ranged, "running")
+    sums = stored.groupBy("_part").agg(*[F.sum(c).alias(n) for n, c in totals.items()])
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_part", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_before_{n}") for n in totals])
+    so_far = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = stored.select("*", *[F.coalesce(F.sum(c).over(so_far), F.lit(0)).alias(n) for n, c in totals.items()])
+    # One row per partition of the sort: bounded by the partition count.
+    joined = running.join(F.broadcast(offsets), "_part")
+    return joined.select(*df.columns, *[(F.col(n) + F.col(f"_before_{n}")).alias(n) for n in totals])
+
+
 def moving_window(
     df: DataFrame,
     before: int,

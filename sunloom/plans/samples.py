@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sunloom.functions.numbers import any_missing
 from sunloom.functions.times import epoch_micros, from_micros, micros, ntz
 from sunloom.operators.grids import in_ranges
-from sunloom.operators.windows import Frame, moving_frames, with_row_index
+from sunloom.operators.windows import Frame, moving_frames, with_row_index, with_running_totals
 
 STEP = timedelta(minutes=30)
 
@@ -23,19 +23,63 @@ def event_window(
     return table.where(F.col("datetime").between(ntz(lo), ntz(hi))).orderBy("datetime")
 
 
-def _served(when: Column, start: datetime, end: datetime, cadence: timedelta, before: timedelta, after: timedelta) -> Column:
-    """Microseconds of the reference times whose window holds ``when``.
+def _served(
+    when: Column, start: datetime, end: datetime, cadence: timedelta, before: timedelta, after: timedelta
+) -> tuple[Column, Column]:
+    """First and last number of the reference times whose window holds ``when``.
 
     ``T - before <= when <= T + after - step``, T on the cadence grid from
-    ``start`` to ``end``.
+    ``start`` to ``end``, counted from 0.
     """
     tick = micros(cadence)
-    zero = epoch_micros(ntz(start))
-    us = epoch_micros(when) - zero
+    us = epoch_micros(when) - epoch_micros(ntz(start))
     lowest = F.greatest(F.ceil((us - micros(after - STEP)) / tick), F.lit(0)).cast("bigint")
     highest = F.least(F.floor((us + micros(before)) / tick), F.lit((end - start) // cadence)).cast("bigint")
-    ticks = F.when(lowest <= highest, F.sequence(lowest, highest))
-    return F.transform(ticks, lambda k: zero + k * tick)
+    return lowest, highest
+
+
+def clean_references(
+    table: DataFrame,
+    start: datetime,
+    end: datetime,
+    cadence: timedelta,
+    before: timedelta,
+    after: timedelta,
+    require_complete: bool = False,
+) -> DataFrame:
+    """Numbers (``tick``) of the reference times whose window has rows and no missing cell.
+
+    Missing cells and times are added up once along the series; a window's counts are the
+    difference of two totals, looked up at its ends. So each reference time costs two rows,
+    however long its window.
+    """
+    bad = any_missing(table, table.columns)
+    counts = table.select("datetime", bad.cast("bigint").alias("bad")).groupBy("datetime").agg(F.sum("bad").alias("bad"))
+    zero, nothing = epoch_micros(ntz(start)), F.lit(0).cast("bigint")
+    series = counts.where(F.col("datetime").isNotNull()).select(
+        (epoch_micros(F.col("datetime")) - zero).alias("us"),
+        F.lit(1).alias("side"),
+        F.lit(-1).cast("bigint").alias("tick"),
+        "bad",
+        F.lit(1).cast("bigint").alias("times"),
+    )
+    # A window's start is asked before the rows of its time, its end after them.
+    spark = table.sparkSession
+    ticks = spark.range(max((end - start) // cadence + 1, 0)).withColumnRenamed("id", "tick")
+    ends = F.array(
+        F.struct((F.col("tick") * micros(cadence) - micros(before)).alias("us"), F.lit(0).alias("side")),
+        F.struct((F.col("tick") * micros(cadence) + micros(after - STEP)).alias("us"), F.lit(2).alias("side")),
+    )
+    asked = ticks.select("tick", F.inline(ends)).select("us", "side", "tick", nothing.alias("bad"), nothing.alias("times"))
+    totals = with_running_totals(
+        series.unionByName(asked), ("us", "side", "tick"), {"bad_so_far": "bad", "times_so_far": "times"}
+    ).where("side <> 1")
+    sign = F.col("side") - 1
+    judged = totals.groupBy("tick").agg(
+        F.sum(sign * F.col("bad_so_far")).alias("bad"), F.sum(sign * F.col("times_so_far")).alias("times")
+    )
+    wanted = F.col("times") == (before + after) // STEP if require_complete else F.col("times") > 0
+    return judged.where((F.col("bad") == 0) & wanted).select("tick")
 
 
 def event_windows(
@@ -49,26 +93,26 @@ def event_windows(
 ) -> DataFrame:
     """All windows without a missing cell, as rows tagged by ``reference_time``.
 
-    Which reference times are clean is settled first, on per-time counts only;
-    the wide rows then spread to clean windows. A row serves at most
-    ``(before + after) / cadence`` windows. ``position`` counts the half hours
+    Which reference times are clean is settled first, by ``clean_references``. These come
+    in blocks as long as a window, so a row of the table meets two blocks at most and only
+    then spreads to the clean windows that hold it. ``position`` counts the half hours
     from the window's start; ``require_complete`` also refuses windows with
     absent rows.
     """
-    bad = any_missing(table, table.columns)
-    counts = table.select("datetime", bad.cast("int").alias("_bad")).groupBy("datetime").agg(
-        F.count("*").alias("_rows"), F.sum("_bad").alias("_bad")
-    )
-    served = _served(F.col("datetime"), start, end, cadence, before, after)
-    spread = counts.select(F.explode(served).alias("_ref"), "_rows", "_bad")
-    judged = spread.groupBy("_ref").agg(F.sum("_bad").alias("_bad"), F.count("*").alias("_times"))
-    clean = judged.where(F.col("_bad") == 0)
-    if require_complete:
-        clean = clean.where(F.col("_times") == (before + after) // STEP)
-    rows = table.withColumn("_ref", F.explode(served)).join(clean.select("_ref"), "_ref", "left_semi")
-    from_start = epoch_micros(F.col("datetime")) - (F.col("_ref") - micros(before))
+    clean = clean_references(table, start, end, cadence, before, after, require_complete)
+    length = max(-(-(before + after) // cadence), 1)
+    block = F.floor(F.col("tick") / length).cast("bigint")
+    blocks = clean.groupBy(block.alias("_block")).agg(F.collect_list("tick").alias("_ticks"))
+    lowest, highest = _served(F.col("datetime"), start, end, cadence, before, after)
+    spans = table.where("datetime IS NOT NULL").withColumn("_lo", lowest).withColumn("_hi", highest).where("_lo <= _hi")
+    reached = F.sequence(F.floor(F.col("_lo") / length), F.floor(F.col("_hi") / length))
+    met = spans.withColumn("_block", F.explode(reached)).join(blocks, "_block")
+    held = F.filter("_ticks", lambda t: t.between(F.col("_lo"), F.col("_hi")))
+    rows = met.select(*table.columns, F.explode(held).alias("_tick"))
+    reference = epoch_micros(ntz(start)) + F.col("_tick") * micros(cadence)
+    from_start = epoch_micros(F.col("datetime")) - (reference - micros(before))
     return rows.select(
-        from_micros(F.col("_ref")).alias("reference_time"),
+        from_micros(reference).alias("reference_time"),
         (F.floor(from_start / micros(STEP)) + 1).cast("int").alias("position"),
         *table.columns,
     )

@@ -13,7 +13,7 @@ from sunloom.operators import inserts
 from sunloom.operators.grids import hourly_targets, months, time_grid
 from sunloom.operators.resample import tumbling_stats
 from sunloom.operators.timejoin import covered, nearest_matches, nearest_record
-from sunloom.operators.windows import Frame, moving_frames, moving_window, with_row_index
+from sunloom.operators.windows import Frame, moving_frames, moving_window, with_row_index, with_running_totals
 from sunloom.functions.times import ntz
 from sunloom.plans import samples
 from sunloom.plans.sw30 import build_sw30
@@ -57,6 +57,28 @@ def test_nearest_matches_like_brute_force(spark, slots):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_nearest_matches_fetch_the_record_afterwards(spark):
+    rng = random.Random(2)
+    rows = [
+        (rng.choice("ab"), T0 + timedelta(minutes=rng.randrange(50)), rng.choice([None, "f1", "f2"]), rng.choice([None, 1, 2, 3]), "x" * 9)
+        for _ in range(200)
+    ]
+    records = spark.createDataFrame(rows, "dim string, datetime timestamp_ntz, file_path string, quality int, note string")
+    targets = spark.createDataFrame([(i, "a", T0 + timedelta(minutes=2 * i)) for i in range(40)], "id int, dim string, target_time timestamp_ntz")
+    least = lambda *v: tuple((x is not None, x) for x in v)  # noqa: E731 - a missing value sorts first
+    expected = {}
+    for i in range(40):
+        at = T0 + timedelta(minutes=2 * i)
+        near = [(abs(t - at), t, least(f), least(q, n)) for d, t, f, q, n in rows if d == "a" and abs(t - at) <= timedelta(minutes=3)]
+        expected[i] = min(near, key=lambda r: r) if near else None
+    found = nearest_matches(targets, records, ("dim",), timedelta(minutes=3), ("file_path",))
+    got = {r["id"]: (r["datetime"], least(r["file_path"]), least(r["quality"], r["note"])) for r in found.collect()}
+    assert got == {i: e[1:] for i, e in expected.items() if e}
+    # No window carries the other columns.
+    windows = [line for line in _plan(found).splitlines() if re.search(r"Window \[", line)]
+    assert windows and not any("note" in line for line in windows)
+
+
 def test_nearest_tie_and_duplicates(spark):
     records = spark.createDataFrame(
         [("a", T0 + timedelta(minutes=m), f"f{m}") for m in (-2, 2, 31)], "dim string, datetime timestamp_ntz, file_path string"
@@ -214,6 +236,39 @@ def test_event_windows_complete_or_not(spark):
     assert sorted(r[0] for r in strict.select("reference_time").distinct().collect()) == kept
 
 
+@pytest.mark.parametrize("cadence, before, after", [(30, 10, 6), (60, 48, 1), (45, 5, 5), (360, 3, 2)])
+def test_clean_references_like_plain_ones(spark, cadence, before, after):
+    rng = random.Random(cadence)
+    half = timedelta(minutes=30)
+    times = [T0 + half * k for k in range(150) if rng.random() > 0.1] + [T0 + timedelta(minutes=7)] + [T0 + half * 20] * 3
+    rows = [(t, None if rng.random() < 0.08 else 1.0) for t in times] + [(None, 1.0)]
+    table = spark.createDataFrame(rows, "datetime timestamp_ntz, v double")
+    start, end, tick = T0 - half * 5, T0 + half * 160, timedelta(minutes=cadence)
+    for complete in (False, True):
+        expected = {}
+        for k in range((end - start) // tick + 1):
+            ref = start + tick * k
+            held = [(t, v) for t, v in rows if t is not None and ref - half * before <= t <= ref + half * (after - 1)]
+            full = len({t for t, _ in held}) == before + after
+            if held and all(v is not None for _, v in held) and (full or not complete):
+                expected[ref] = sorted(t for t, _ in held)
+        found: dict = {}
+        for r in samples.event_windows(table, start, end, tick, half * before, half * after, complete).collect():
+            found.setdefault(r["reference_time"], []).append(r["datetime"])
+        assert {k: sorted(v) for k, v in found.items()} == expected
+
+
+def test_running_totals(spark):
+    rng = random.Random(8)
+    rows = [(k, rng.choice([None, 0, 1, 5])) for k in rng.sample(range(5000), 2000)]
+    found = with_running_totals(spark.createDataFrame(rows, "k int, v bigint").repartition(6), ("k",), {"so_far": "v"})
+    total, expected = 0, {}
+    for k, v in sorted(rows):
+        total += v or 0
+        expected[k] = total
+    assert {r["k"]: r["so_far"] for r in found.collect()} == expected
+
+
 def test_plans_push_down_and_prune(spark):
     path = "/root/testdata/sf0.001/events.parquet"
     events = spark.read.parquet(path).withColumnRenamed("ts", "datetime")
