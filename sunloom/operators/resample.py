@@ -7,12 +7,49 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sunloom.functions.times import DAY, micros
 
 
-def _mean(value: Column) -> Column:
-    return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
+# Doubles are summed as the decimals they are written as: those below 1e-3 with 28 digits
+# behind the point, those below 1e20 with 18.
+_FINE, _COARSE = "decimal(28,28)", "decimal(38,18)"
+
+
+def _present(df: DataFrame, name: str) -> Column:
+    """The value, with NaN as missing."""
+    value = F.col(name)
+    floating = isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
+    return F.when(~F.isnan(value), value) if floating else value
+
+
+def exact_mean(value: Column) -> Column:
+    """The mean of a numeric column, the same for every order and partitioning of the rows.
+
+    Whole numbers and fractions of the decimals are added up apart, so that no sum leaves
+    38 digits below 10^10 rows. Only values of 1e20 and more, infinities among them, are added
+    as doubles.
+    """
+    x = value.cast("double")
+    small = F.abs(x) < 1e-3
+    coarse = F.when(~small, x).try_cast(_COARSE)
+    whole = F.floor(coarse).cast("decimal(21,0)")
+    sums = [
+        F.sum(whole),
+        F.sum((coarse - whole).cast("decimal(19,18)")),
+        F.sum(F.when(small, x).try_cast(_FINE)),
+        F.sum(F.when(~small & coarse.isNull(), x)),
+    ]
+    # Together where they fit, so that there is one rounding only.
+    both = F.try_add(sums[0].try_cast(_COARSE), sums[1].cast(_COARSE)).cast("double")
+    parts = [
+        F.coalesce(both, sums[0].cast("double") + sums[1].cast("double")),
+        sums[2].cast("double"),
+        sums[3],
+    ]
+    total = sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0))
+    return F.try_divide(total, F.nullif(F.count(value).cast("double"), F.lit(0.0)))
 
 
 def tumbling_stats(
@@ -20,24 +57,23 @@ def tumbling_stats(
     variables: dict[str, Column],
     every: timedelta,
     by: Sequence[str] = (),
-    decimals: int | None = None,
 ) -> DataFrame:
     """``<name>_avg``, ``_min``, ``_max`` per bin, labelled by the bin's left edge.
 
-    Bins are left-closed and aligned to midnight; missing values are skipped. The
-    sums combine before the shuffle, so a crowded bin costs one row per task.
-    With ``decimals`` the sums are exact, hence the same for every partitioning.
+    Bins are left-closed and aligned to midnight; missing values and NaN are skipped. The
+    sums combine before the shuffle, so a crowded bin costs one row per task, and they
+    are exact, hence the same for every partitioning.
     """
     if DAY % micros(every):
         raise ValueError("the bin must divide a day")
     kept = df.select(*by, "datetime", *[v.alias(n) for n, v in variables.items()])
     kept = kept.where(F.col("datetime").isNotNull())
+    kept = kept.select(*by, "datetime", *[_present(kept, n).alias(n) for n in variables])
     statistics = []
     for name in variables:
         value = F.col(name)
-        summed = value if decimals is None else value.try_cast(f"decimal(18,{decimals})")
         statistics += [
-            _mean(summed).alias(f"{name}_avg"),
+            exact_mean(value).alias(f"{name}_avg"),
             F.min(value).alias(f"{name}_min"),
             F.max(value).alias(f"{name}_max"),
         ]

@@ -17,7 +17,7 @@ HALF_HOUR = timedelta(minutes=30)
 
 
 def build_sw30(
-    minutes: DataFrame, index: DataFrame, start: datetime, end: datetime, decimals: int | None = None
+    minutes: DataFrame, index: DataFrame, start: datetime, end: datetime
 ) -> DataFrame:
     """Mean, minimum and maximum of seven variables per half hour, with the indices.
 
@@ -30,15 +30,15 @@ def build_sw30(
     when = F.col("datetime")
     held = minutes.where((when >= ntz(start)) & (when < ntz(end + HALF_HOUR)))
     variables = {short: F.col(source) for short, source in SOLAR_WIND_VARIABLES.items()}
-    stats = tumbling_stats(held, variables, HALF_HOUR, decimals=decimals)
+    stats = tumbling_stats(held, variables, HALF_HOUR)
     dense = align_to_grid(time_grid(minutes.sparkSession, start, end, HALF_HOUR), stats)
     indices = index.where(when.between(ntz(start), ntz(end))).select("datetime", "ap30", "hp30")
     return dense.join(indices, "datetime", "left").select(*SW30_COLUMNS)
 
 
 def rebuild_years(
-    minutes: DataFrame, index: DataFrame, first: int, last: int, root: str, decimals: int | None = None
+    minutes: DataFrame, index: DataFrame, first: int, last: int, root: str
 ) -> None:
     """Build all years in one job and replace them in the stored table."""
-    table = build_sw30(minutes, index, datetime(first, 1, 1), datetime(last, 12, 31, 23, 30), decimals)
+    table = build_sw30(minutes, index, datetime(first, 1, 1), datetime(last, 12, 31, 23, 30))
     replace_years(table, TABLES["sw_30min"], root)

@@ -37,7 +37,7 @@ DIMS = ("telescope", "channel")
 
 def sw30_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = half_hours(spark, sf_dir)
-    return build_sw30(minute_series(spark, sf_dir), index_series(spark, sf_dir), start, end, decimals=2)
+    return build_sw30(minute_series(spark, sf_dir), index_series(spark, sf_dir), start, end)
 
 
 _SW30_STATS = ",\n".join(
@@ -64,7 +64,7 @@ def sw30_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = minutes.agg(F.year(F.min("datetime")), F.year(F.max("datetime"))).first()
     root = scratch_path(spark, "sw30")
     for _ in range(2):
-        rebuild_years(minutes, index, *years, root, decimals=2)
+        rebuild_years(minutes, index, *years, root)
     stored = read_table(spark, root, TABLES["sw_30min"]).drop("datetime_year")
     return stored.withColumn("ap30", F.col("ap30").cast("double"))
 
@@ -82,7 +82,7 @@ FROM grid LEFT JOIN stats USING (datetime) LEFT JOIN idx USING (datetime)
 
 def tumbling_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumnRenamed("ts", "datetime")
-    return tumbling_stats(events, {"value": F.col("value")}, timedelta(hours=1), by=("event_type",), decimals=2)
+    return tumbling_stats(events, {"value": F.col("value")}, timedelta(hours=1), by=("event_type",))
 
 
 SQL_TUMBLING = f"""

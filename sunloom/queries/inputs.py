@@ -105,7 +105,7 @@ def dense_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sunloom.operators.resample import align_to_grid
 
     events = table(spark, sf_dir, "events").select(F.col("ts").alias("datetime"), "value")
-    stats = tumbling_stats(events, {"bt": F.col("value")}, HALF_HOUR, decimals=2)
+    stats = tumbling_stats(events, {"bt": F.col("value")}, HALF_HOUR)
     bins = floor_time(F.col("datetime"), micros(HALF_HOUR)).alias("datetime")
     index = events.select(bins).groupBy("datetime").agg(F.count("*").cast("double").alias("ap30"))
     grid = time_grid(spark, *half_hours(spark, sf_dir), HALF_HOUR)

@@ -71,7 +71,7 @@ def tumbling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.readStream.schema("datetime timestamp_ntz, value double").parquet(landing)
     _finish(
         stream_stats(
-            rows, {"value": F.col("value")}, timedelta(minutes=30), timedelta(hours=1), out, state, True, decimals=2
+            rows, {"value": F.col("value")}, timedelta(minutes=30), timedelta(hours=1), out, state, True
         )
     )
     return spark.read.parquet(out)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -206,6 +207,28 @@ def test_tumbling_skips_missing_and_rejects_odd_bins(spark):
         tumbling_stats(df, {"x": F.col("x")}, timedelta(minutes=7))
 
 
+def test_means_do_not_depend_on_order_or_size(spark):
+    rng = random.Random(4)
+    values = [1e17, 1.0, -1e17, 0.1, 0.2, 3e-8, float("nan"), None, 12.34, 1e25, -1e25, -7.5e-12, 2.5e19]
+    values += [round(rng.uniform(-1e6, 1e6), 3) for _ in range(200)]
+    rows = [(T0, v) for v in values]
+    exact = [Fraction(repr(v)) for v in values if v is not None and v == v]
+    means = set()
+    for seed in range(4):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "datetime timestamp_ntz, x double").repartition(seed + 1)
+        found = tumbling_stats(df, {"x": F.col("x")}, timedelta(minutes=30)).first()
+        means.add(found["x_avg"])
+        assert found["x_max"] == 1e25
+    (mean,) = means
+    assert abs(Fraction(mean) - sum(exact) / len(exact)) <= abs(Fraction(mean)) * Fraction(2, 2**52)
+    tiny = spark.createDataFrame([(T0, 1.5e-8), (T0, 2.5e-8), (T0, float("nan"))], "datetime timestamp_ntz, x double")
+    row = tumbling_stats(tiny, {"x": F.col("x")}, timedelta(minutes=30)).first()
+    assert (row["x_avg"], row["x_min"], row["x_max"]) == (2e-8, 1.5e-8, 2.5e-8)
+    whole = spark.createDataFrame([(T0, 1), (T0, 2), (T0, None)], "datetime timestamp_ntz, x int")
+    assert tumbling_stats(whole, {"x": F.col("x")}, timedelta(minutes=30)).first()["x_avg"] == 1.5
+
+
 def test_sw30_needs_a_grid_start(spark):
     empty = spark.createDataFrame([], "datetime timestamp_ntz, ap30 double, hp30 double")
     with pytest.raises(ValueError):
