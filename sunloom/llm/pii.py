@@ -41,7 +41,7 @@ Span = tuple[str, int, int]
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _NUMBERS = re.compile(r"[0-9]+(?:[.\x20-][0-9]+)*")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
@@ -68,6 +68,22 @@ def _emails(text: str):
         at = text.find("@", done)
 
 
+def _octets(groups: list[str]) -> bool:
+    return all(len(g.lstrip("0")) <= 3 and int(g.lstrip("0") or 0) <= 255 for g in groups)
+
+
+def _addresses(text: str, start: int, end: int):
+    """Leftmost matches of four dotted groups: each takes four whole groups, so they are counted off."""
+    for m in _DOTTED.finditer(text, start, end):
+        groups, at = m[0].split("."), m.start()
+        for k in range(0, len(groups) - 3, 4):
+            four = groups[k : k + 4]
+            size = sum(map(len, four)) + 3
+            if _octets(four):
+                yield "ip", at, at + size
+            at += size + 1
+
+
 def base_spans(text: str | None) -> list[Span]:
     """Spans of the fixed patterns, by kind as listed, then by start."""
     if not text:
@@ -77,9 +93,7 @@ def base_spans(text: str | None) -> list[Span]:
     for run in _NUMBERS.finditer(text):
         if run.end() - run.start() < 7:
             continue
-        for m in _IP.finditer(text, *run.span()):
-            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
-                ips.append(("ip", *m.span()))
+        ips += _addresses(text, *run.span())
         if run.end() - run.start() >= 16:
             for m in _CARD.finditer(text, *run.span()):
                 digits = _NOT_DIGIT.sub("", m[0])
@@ -94,7 +108,7 @@ def base_spans(text: str | None) -> list[Span]:
 def _shape(word: str) -> str:
     """A for capitals, a for other letters, 0 for digits, the rest as it is; runs once."""
     out = []
-    for c in word[:40]:
+    for c in word:
         kind = "0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
         if not out or out[-1] != kind:
             out.append(kind)
@@ -312,7 +326,8 @@ def _plausible(kind: int, found: str) -> bool:
     if name == "email":
         return "@" in found
     if name == "ip":
-        return n >= 4
+        groups = re.findall("[0-9]+", found)
+        return len(groups) == 4 and _octets(groups)
     least, most = _DIGITS[name]
     return least <= n <= most and (name != "card" or luhn(_NOT_DIGIT.sub("", found)))
 
