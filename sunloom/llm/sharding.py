@@ -95,6 +95,7 @@ def shard(documents: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
 
 
 def write_shards(documents: DataFrame, sharded: DataFrame, path: str) -> None:
-    """Write the rows of unique ids in one folder for each shard."""
-    joined = documents.join(sharded.select("doc_id", "shard"), "doc_id")
+    """Write every row in one folder for each shard; rows of one id share a shard."""
+    shards = sharded.select(F.col("doc_id").alias("_id_of_shard"), "shard").distinct()
+    joined = documents.join(shards, F.col("doc_id").eqNullSafe(F.col("_id_of_shard"))).drop("_id_of_shard")
     joined.repartition("shard").write.partitionBy("shard").parquet(path)

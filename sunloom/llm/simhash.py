@@ -136,6 +136,15 @@ def components(links: DataFrame) -> DataFrame:
         edges = materialise(small.union(lower).distinct(), "edges")
 
 
+def _rooted(marked: DataFrame, distance: int, widths: tuple[int, ...]) -> DataFrame:
+    """fp, its least doc_id, and root, the least fp reachable over links."""
+    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(near_pairs(classes.select("fp"), distance, widths))
+    return classes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, widths: tuple[int, ...] = WIDTHS
 ) -> DataFrame:
@@ -144,33 +153,55 @@ def near_duplicates(
 
     # Texts are read once; later steps work on two longs a row.
     marked = materialise(fingerprints(documents, shingle), "fingerprints")
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(near_pairs(classes.select("fp"), distance, widths))
-    rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(marked, distance, widths)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(names, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """One row of each component, with the given columns; rows without doc_id stay.
+    """One row of each component, with the given columns.
 
-    Rows that repeat a doc_id are settled apart, so only they are grouped with their text.
+    It is the row of the least doc_id, a missing one last; of several rows with that id
+    the one of the least fingerprint, then of the least text. Rows of one id with unlike
+    texts are of different components, and each of these keeps its own. Only rows whose id
+    is missing or repeated are looked at again with their text.
     """
-    marked = near_duplicates(documents)
-    kept = marked.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
-    repeats = documents.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1 AND doc_id IS NOT NULL")
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    ids = kept.select("doc_id")
-    once, again = (ids.join(repeats.select("doc_id"), "doc_id", how) for how in ("left_anti", "left_semi"))
+    from sunloom.session import materialise
+
+    marked = materialise(fingerprints(documents), "fingerprints")
+    rooted = _rooted(marked, DISTANCE, WIDTHS)
+    first = F.min(F.struct(F.col("least").isNull().alias("_nameless"), "least", "fp")).alias("first")
+    stays = materialise(
+        rooted.groupBy("root").agg(first).select(F.col("first.least").alias("id"), F.col("first.fp").alias("fp")), "stays"
+    )
+    counts = marked.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n"))
+    shared = materialise(counts.where("n > 1 OR id IS NULL").select("id"), "shared-ids")
     rows = documents.alias("d")
-    plain = rows.join(once.alias("k"), F.expr("d.doc_id = k.doc_id"), "left_semi")
+    if shared.isEmpty():
+        return rows.join(stays.alias("k"), F.expr("d.doc_id = k.id"), "left_semi")
+    plain = stays.join(shared, "id", "left_anti").alias("k")
+    plain = rows.join(plain, F.expr("d.doc_id = k.id"), "left_semi")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    contested = rows.join(shared.alias("s"), F.expr("d.doc_id <=> s.id"), "left_semi").select(
+        "doc_id", "text", F.struct(*columns).alias("_row")
+    )
+    source = contested.select("doc_id", "text", "_row")
+    target = T.StructType([source.schema["doc_id"], source.schema["_row"], T.StructField("_fp", T.LongType())])
+
+    def run(batches):
+        for batch in slices(batches):
+            values = [simhash(t) for t in batch.column("text").to_pylist()]
+            bits = pa.array(np.array(values, dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("_row"), bits], names=["doc_id", "_row", "_fp"]
+            )
+
     settled = (
-        rows.join(again.alias("k"), F.expr("d.doc_id = k.doc_id"), "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min_by(F.struct(*columns), F.struct(F.xxhash64("text"), "text")).alias("_row"))
+        source.mapInArrow(run, target)
+        .join(stays, F.expr("doc_id <=> id AND _fp = fp"), "left_semi")
+        .groupBy("doc_id", "_fp")
+        .agg(F.min_by("_row", F.struct(F.xxhash64("_row.text"), F.col("_row.text"))).alias("_row"))
         .select("_row.*")
     )
-    return plain.union(settled).union(documents.where("doc_id IS NULL"))
+    return plain.union(settled)
