@@ -7,6 +7,7 @@ header bytes of stored files, so a large image is never read whole.
 
 from __future__ import annotations
 
+import io
 import re
 from collections.abc import Iterator, Sequence
 
@@ -18,19 +19,37 @@ from sunloom.functions.stages import computed_once
 
 CARD = 80
 BLOCK = 2880
+# Bytes asked for at once: most headers come with the first answer of the store.
+READ_AHEAD = 1 << 16
 # Names that Spark gives to stores known under others.
-_SCHEMES = re.compile(r"^(?:s3a|s3n)://|^file:/(?!/)")
+_STORES = {None: "file", "s3a": "s3", "s3n": "s3"}
+_ADDRESS = re.compile(r"(?s)^(?:([a-z][a-z0-9+.-]*):(?://([^/]*))?)?(/.*)$")
 
 
-def _store_scheme(found: re.Match) -> str:
-    return "file:///" if found[0].startswith("file") else "s3://"
+class Stores:
+    """File systems by scheme and bucket, each opened once; for use inside one task."""
 
+    def __init__(self) -> None:
+        self._opened: dict = {}
 
-def open_store(address: str):
-    """The file system of an address as Spark spells it, and the path inside it."""
-    from pyarrow import fs
+    def at(self, address: str):
+        """The file system of an address as Spark spells it, and the path inside it."""
+        from pyarrow import fs
+
+        found = _ADDRESS.match(address)
+        if not found:
+            raise ValueError(f"no absolute address: {address}")
+        scheme, place = _STORES.get(found[1], found[1]), found[2] or ""
+        if (scheme, place) not in self._opened:
+            store, base = fs.FileSystem.from_uri(f"{scheme}://{place}/")
+            self._opened[scheme, place] = store, base.rstrip("/")
+        store, base = self._opened[scheme, place]
+        return store, base + found[3]
 
-    return fs.FileSystem.from_uri(_SCHEMES.sub(_store_scheme, address))
+
+def open_store(address: str):
+    """The file system of one address, and the path inside it."""
+    return Stores().at(address)
 
 
 _END = r"(?s)^(?:.{80})*?END {77}"
@@ -67,6 +86,25 @@ def _data_blocks(head: bytes) -> int:
     return -(-size // BLOCK)
 
 
+def read_heads(stores: Stores, address: str, second: bool = True) -> tuple[bytes | None, bytes | None]:
+    """Header bytes of a file's first two units; both NULL if the file is gone.
+
+    Without ``second`` the file is not read beyond its first header.
+    """
+    store, key = stores.at(address)
+    try:
+        opened = store.open_input_file(key)
+    except FileNotFoundError:
+        return None, None
+    with opened, io.BufferedReader(opened, READ_AHEAD) as handle:
+        first = _header_bytes(handle, b"SIMPLE  =")
+        if not second or not first.startswith(b"SIMPLE  ="):
+            return first, None
+        handle.seek(min(len(first) + _data_blocks(first) * BLOCK, opened.size()))
+        extension = _header_bytes(handle, b"XTENSION")
+        return first, extension if extension.startswith(b"XTENSION") else None
+
+
 def fetch_headers(files: DataFrame, path: str = "path") -> DataFrame:
     """``(path, head0, head1)``: header bytes of the first two units, NULL if the file has none.
 
@@ -76,22 +114,9 @@ def fetch_headers(files: DataFrame, path: str = "path") -> DataFrame:
     """
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        stores = Stores()
         for batch in batches:
-            heads = []
-            for address in batch[path]:
-                store, key = open_store(address)
-                try:
-                    handle = store.open_input_file(key)
-                except FileNotFoundError:
-                    heads.append((None, None))
-                    continue
-                with handle:
-                    first = _header_bytes(handle, b"SIMPLE  =")
-                    second = None
-                    if first.startswith(b"SIMPLE  ="):
-                        handle.seek(min(len(first) + _data_blocks(first) * BLOCK, handle.size()))
-                        second = _header_bytes(handle, b"XTENSION")
-                    heads.append((first, second if second and second.startswith(b"XTENSION") else None))
+            heads = [read_heads(stores, address) for address in batch[path]]
             yield pd.DataFrame({"path": batch[path], "head0": [h[0] for h in heads], "head1": [h[1] for h in heads]})
 
     return files.select(path).mapInPandas(fetch, "path string, head0 binary, head1 binary")

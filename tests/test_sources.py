@@ -215,3 +215,54 @@ def test_header_fetching_faults(spark, tmp_path):
     odd = spark.createDataFrame([("nosuchstore://bucket/a.fits",)], "path string")
     with pytest.raises(Exception, match="nosuchstore"):
         fetch_headers(odd).collect()
+
+
+def _source_folder(tmp_path):
+    (tmp_path / "sub dir%").mkdir()
+    (tmp_path / "sub dir%" / "a.fits").write_bytes(_image())
+    (tmp_path / "b.fits").write_bytes(b"nothing")
+    (tmp_path / "empty.fits").write_bytes(b"")
+    (tmp_path / "note.txt").write_bytes(_image())
+    return str(tmp_path)
+
+
+def test_image_source_equals_plain_fetch(spark, tmp_path):
+    from sunloom.sources.image_source import folder_headers, listed_headers
+
+    root = _source_folder(tmp_path)
+    listing = list_files(spark, root, "*.fits")
+    plain = header_units(fetch_headers(listing))
+
+    def classes(units):
+        return sorted((r["path"].rsplit("/", 1)[-1], *r[1:]) for r in images.classify_sdo(units).collect())
+
+    expected = classes(plain)
+    # Spark's own listing leaves out files without a byte.
+    assert [r[:2] for r in expected] == [("a.fits", None), ("b.fits", "invalid_file")]
+    assert classes(listed_headers(listing)) == expected
+    assert classes(listed_headers(listing, images.SDO_KEYWORDS, per_task=1)) == expected
+    below = classes(folder_headers(spark, f"file:{root}", "*.fits", images.SDO_KEYWORDS))
+    assert below[:2] == expected and [r[:2] for r in below[2:]] == [("empty.fits", "invalid_file")]
+    assert listed_headers(listing.where("false")).count() == 0
+
+
+def test_image_source_prunes(spark, tmp_path):
+    from sunloom.sources.image_source import ImageHeaders, header_reader, pruned_cards
+
+    root = _source_folder(tmp_path)
+    first = header_reader(spark, second=False).option("pathGlobFilter", "a.fits").load(root)
+    assert first.columns == ["path", "head0"] and first.first()["head0"][:9] == b"SIMPLE  ="
+    kept = header_reader(spark, ["NAXIS1"]).option("pathGlobFilter", "a.fits").load(root).first()
+    assert [bytes(kept["head0"][i : i + 8]).rstrip() for i in range(0, len(kept["head0"]), 80)] == [b"SIMPLE", b"NAXIS1", b"END"]
+    assert pruned_cards(None, frozenset([b"A"])) is None
+    # One task for each share of files, by folder and by listing.
+    listing = tmp_path / "listing"
+    list_files(spark, root, "*.fits").select("path").coalesce(1).write.option("maxRecordsPerFile", 1).parquet(str(listing))
+    from pyspark.sql.types import StructType, StringType
+
+    reader = ImageHeaders({"listing": str(listing)}).reader(StructType().add("path", StringType()))
+    assert len(reader.partitions()) == 2
+    reader = ImageHeaders({"path": root, "pathGlobFilter": "*.fits", "filesPerTask": "2"}).reader(StructType().add("path", StringType()))
+    assert [len(p.paths) for p in reader.partitions()] == [2, 1]
+    with pytest.raises(ValueError):
+        ImageHeaders({"path": root}).reader(StructType().add("pixels", StringType()))
