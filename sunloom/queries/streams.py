@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sunloom.queries.inputs import mean_sql, table
 from sunloom.session import scratch_path
 from sunloom.sources.hpo import HP30
+from sunloom.streaming.bins import bin_stats, compact_bins, stream_bins
 from sunloom.streaming.flows import stream_nowcast, stream_register, stream_stats
 from sunloom.tables import TABLES, ensure_tables, read_table
 
@@ -84,5 +85,42 @@ FROM events GROUP BY 1
 HAVING time_bucket(INTERVAL 30 MINUTE, min(ts)) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 """
 
-QUERIES = {"nowcast_stream": nowcast_stream, "register_stream": register_stream, "tumbling_stream": tumbling_stream}
-ORACLES = {"nowcast_stream": SQL_NOWCAST, "register_stream": SQL_REGISTER, "tumbling_stream": SQL_TUMBLING}
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bin of the events, a third of which arrive after the watermark has passed them.
+
+    Partials are folded between the arrivals; late rows count by bin.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("datetime"), "value")
+    landing, out, state = (scratch_path(spark, n) for n in ("rows", "bins", "state"))
+    for part in ("event_id % 3 = 0", "event_id % 3 = 1", "event_id % 3 = 2"):
+        events.where(part).select("datetime", "value").write.mode("append").parquet(landing)
+        rows = spark.readStream.schema("datetime timestamp_ntz, value double").parquet(landing)
+        _finish(stream_bins(rows, {"value": F.col("value")}, timedelta(minutes=30), timedelta(hours=1), out, state, True))
+        compact_bins(spark, out, ["value"])
+    return bin_stats(spark, out, ["value"])
+
+
+SQL_LATE = f"""
+WITH marks AS (
+  SELECT k, (SELECT max(ts) FROM events WHERE event_id % 3 < k) - INTERVAL 1 HOUR AS mark FROM range(3) r(k)
+),
+placed AS (
+  SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS bin, ts, value, mark FROM events JOIN marks ON k = event_id % 3
+)
+SELECT bin AS datetime, {mean_sql('value')} AS value_avg, min(value) AS value_min, max(value) AS value_max,
+  count(*) AS rows, count(*) FILTER (bin + INTERVAL 30 MINUTE <= mark) AS late_rows
+FROM placed GROUP BY 1
+"""
+
+QUERIES = {
+    "late_rows_stream": late_rows_stream,
+    "nowcast_stream": nowcast_stream,
+    "register_stream": register_stream,
+    "tumbling_stream": tumbling_stream,
+}
+ORACLES = {
+    "late_rows_stream": SQL_LATE,
+    "nowcast_stream": SQL_NOWCAST,
+    "register_stream": SQL_REGISTER,
+    "tumbling_stream": SQL_TUMBLING,
+}

@@ -39,3 +39,40 @@ def test_arriving_images_are_registered_once(spark, tmp_path):
     assert [r.error for r in spark.read.parquet(refused).collect()] == ["invalid_file"]
     # Each batch took away what it had set down on the way.
     assert scratch() <= before
+
+
+def test_partial_bins_merge_to_the_batch(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    from sunloom import versions
+    from sunloom.operators.resample import tumbling_stats
+    from sunloom.streaming.bins import add_batch, bin_stats, compact_bins
+
+    out, half, hour = str(tmp_path / "bins"), timedelta(minutes=30), timedelta(hours=1)
+    kinds = "datetime timestamp_ntz, v double"
+    at = datetime(2024, 1, 1)
+    batches = [
+        [(at, 0.1), (at + 4 * hour, 1e17), (at + 4 * hour, float("nan")), (None, 5.0)],
+        [],
+        [(at + timedelta(minutes=5), 0.2), (at + 3 * hour, 1.0), (at + 4 * hour, 1.0), (at + hour, None)],
+        [(at + timedelta(minutes=7), 1e-9), (at + 5 * hour, 2.0)],
+    ]
+    frames = [spark.createDataFrame(b, kinds) for b in batches]
+    variables = {"v": F.col("v")}
+    for number, frame in enumerate(frames):
+        assert add_batch(frame, number, variables, half, hour, out)
+    # A batch tried again, before and after folding, is there once.
+    assert not add_batch(frames[2], 2, variables, half, hour, out)
+    before = sorted(map(str, bin_stats(spark, out, ["v"]).collect()))
+    assert compact_bins(spark, out, ["v"]) == 3 and compact_bins(spark, out, ["v"]) == 0
+    assert len(versions.latest(spark, out).parts) == 1
+    assert not add_batch(frames[2], 2, variables, half, hour, out)
+    rows = bin_stats(spark, out, ["v"])
+    assert sorted(map(str, rows.collect())) == before
+    whole = tumbling_stats(spark.createDataFrame([r for b in batches for r in b], kinds), variables, half)
+    assert sorted(map(str, rows.drop("rows", "late_rows").collect())) == sorted(map(str, whole.collect()))
+    # Bins that ended at least an hour before the last time of earlier batches were closed.
+    late = {r["datetime"]: (r["rows"], r["late_rows"]) for r in rows.collect()}
+    assert late[at] == (3, 2) and late[at + hour] == (1, 1) and late[at + 3 * hour] == (1, 0)
