@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunloom.functions.names import sdo_folder
 from sunloom.functions.times import ntz, parse_datetime, parse_record_time, tai_to_utc, time_in_file_name
+from sunloom.operators.inserts import first_per_key
 from sunloom.operators.reconcile import absent, present
+from sunloom.session import materialise
+from sunloom.sinks.ledger import HELD, KNOWN, REFUSED, REGISTERED, file_fates, next_run, record_run
 from sunloom.sinks.tables import InsertCounts, insert_ignore, quarantine, with_target_path
 from sunloom.sources.headers import keyword, with_keywords
-from sunloom.tables import TABLES, TableSpec
+from sunloom.tables import TABLES, TableSpec, conform, read_table
 
 # Classes of refused files.
 INVALID_FILE = "invalid_file"
@@ -180,7 +184,8 @@ def register(classified: DataFrame, records: DataFrame, spec: TableSpec, root: s
     too, as ``missing_key``. ``classified`` should be materialised: it is read by
     both branches.
     """
-    counts = insert_ignore(records, spec, root, ("path",))
+    # A file listed twice is one file, and insertion wants each place in the order once.
+    counts = insert_ignore(first_per_key(records, ["path"], ["file_path", "datetime"]), spec, root, ("path",))
     bad = classified.where(F.col("error").isNotNull()).select("path", "error")
     if counts.refused:
         bad = bad.unionByName(counts.refused_rows.select("path", "error"))
@@ -188,6 +193,79 @@ def register(classified: DataFrame, records: DataFrame, spec: TableSpec, root: s
     return Registration(counts, classified.where(F.col("error").isNotNull()).count() + counts.refused)
 
 
+def _placed(records: DataFrame, spec: TableSpec, root: str, ledger: str) -> DataFrame:
+    """``path`` of the records that are stored, each place for one file.
+
+    A stored row is a file's own if key and place are equal. Of several such files of one
+    place the one the ledger names has it, else the first by path.
+    """
+    spark = records.sparkSession
+    lo, hi = records.agg(F.min("datetime"), F.max("datetime")).first()
+    stored = read_table(spark, root, spec)
+    if lo is not None:
+        stored = stored.where(F.col("datetime").between(ntz(lo), ntz(hi)))
+        if spec.partition not in spec.columns:
+            stored = stored.where(F.col(spec.partition).between(lo.year, hi.year))
+    names = [*spec.key, "file_path"]
+    stored = stored.select(*[F.col(c).alias(f"_of_{c}") for c in names])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in spec.key])
+    own = conform(records, spec, keep=["path"]).join(stored, same & (F.col("file_path") == F.col("_of_file_path")), "left_semi")
+    own = materialise(own.select("path", "file_path"), "placed")
+    owners = file_fates(spark, ledger).where(F.col("state") == REGISTERED).select(F.col("path").alias("owner"), "file_path")
+    named = own.groupBy("file_path").agg(F.min("path").alias("first"))
+    held_by = owners.join(named, "file_path", "left_semi").groupBy("file_path").agg(F.min("owner").alias("owner"))
+    holders = named.join(held_by, "file_path", "left").select(F.coalesce("owner", "first").alias("path"))
+    return present(own.select("path"), holders, "path")
+
+
+def register_logged(
+    classified: DataFrame,
+    records: DataFrame,
+    spec: TableSpec,
+    root: str,
+    ledger: str,
+    held: DataFrame | None = None,
+    run: int | None = None,
+) -> int:
+    """Store the valid records whose key and place are free; the fate of every file goes to
+    the ledger, as one run whose number is returned.
+
+    Files whose place another file of the listing ``held`` has already are not stored.
+    Fates are read off the stored table, so a run that was cut short after storing tells
+    the same when it is done again. ``classified`` should be materialised.
+    """
+    spark = classified.sparkSession
+    number = next_run(spark, ledger) if run is None else run
+    skipped = None
+    if held is not None:
+        records, skipped = split_held(records, held)
+    # A file listed twice is one file, and insertion wants each place in the order once.
+    records = materialise(first_per_key(records, ["path"], ["file_path", "datetime"]), "records")
+    counts = insert_ignore(records, spec, root, ("path",))
+    stored = _placed(records, spec, root, ledger).select("path", F.lit(REGISTERED).alias("_stored"))
+    none = F.lit(None).cast("string").alias("error")
+    unfit = counts.refused_rows.select("path", "error") if counts.refused_rows is not None else None
+    fates = records.select("path", "file_path").join(stored.distinct(), "path", "left")
+    fates = fates.select("path", F.coalesce("_stored", F.lit(KNOWN)).alias("state"), none, "file_path")
+    if unfit is not None:
+        fates = absent(fates, unfit, "path")
+    bad = classified.where(F.col("error").isNotNull()).select("path", "error")
+    bad = bad.unionByName(unfit) if unfit is not None else bad
+    nowhere = F.lit(None).cast("string").alias("file_path")
+    fates = fates.unionByName(bad.select("path", F.lit(REFUSED).alias("state"), "error", nowhere))
+    if skipped is not None:
+        fates = fates.unionByName(skipped.select("path", F.lit(HELD).alias("state"), none, "file_path"))
+    record_run(fates, ledger, number)
+    return number
+
+
+def register_sdo_logged(
+    classified: DataFrame, root: str, ledger: str, archive: str | None = None, held: DataFrame | None = None
+) -> int:
+    """Solar-disc images with a ledger; ``held`` lists the files already in the archive."""
+    return register_logged(classified, sdo_records(classified, archive), TABLES["sdo"], root, ledger, held)
+
+
 def register_sdo(classified: DataFrame, root: str, quarantine_root: str, archive: str | None = None) -> Registration:
     return register(classified, sdo_records(classified, archive), TABLES["sdo"], root, quarantine_root)
 

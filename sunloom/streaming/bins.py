@@ -29,12 +29,6 @@ COUNTS = ("rows", "late_rows")
 _BATCHES = "batches"
 
 
-def _span(part: versions.Part) -> tuple[int, int]:
-    """First and last batch of a part."""
-    first, _, last = part[1].removeprefix(f"{_BATCHES}=").partition("-")
-    return int(first), int(last)
-
-
 def _read(spark: SparkSession, out: str, base: versions.Version, columns: Sequence[str] | None = None) -> DataFrame:
     paths = [f"{out}/commit={commit}/{part}" for commit, part in base.parts]
     rows = spark.read.parquet(*paths)
@@ -51,7 +45,7 @@ def add_batch(batch: DataFrame, number: int, variables: dict[str, Column], every
     partial = materialise(partial_stats(batch, variables, every), "partials")
     while True:
         base = versions.latest(spark, out) or versions.Version()
-        if any(first <= number <= last for first, last in map(_span, base.parts)):
+        if any(first <= number <= last for first, last in map(versions.span, base.parts)):
             return False
         seen = _read(spark, out, base, ["latest"]).agg(F.max("latest")).first()[0] if base.parts else None
         closed = F.lit(False)
@@ -103,7 +97,7 @@ def compact_bins(spark: SparkSession, out: str, variables: Sequence[str]) -> int
         base = versions.latest(spark, out)
         if base is None or len(base.parts) < 2:
             return 0
-        spans = [_span(p) for p in base.parts]
+        spans = [versions.span(p) for p in base.parts]
         merged = merge_partials(_read(spark, out, base), variables, COUNTS)
         span = f"{min(s[0] for s in spans)}-{max(s[1] for s in spans)}"
         parts = versions.write_parts(merged.withColumn(_BATCHES, F.lit(span)), out, _BATCHES)

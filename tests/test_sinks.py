@@ -253,3 +253,45 @@ def test_quarantine_may_be_replayed(spark, tmp_path):
     for _ in range(2):
         quarantine(rows.unionByName(rows), str(tmp_path / "bad"))
     assert sorted(r["path"] for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == ["a", "c"]
+
+
+def test_ledger_of_file_fates(spark, tmp_path):
+    from datetime import datetime
+
+    from sunloom.plans.images import register_logged
+    from sunloom.sinks.ledger import fate_counts, file_fates, fold_runs, next_run, quarantined
+    from sunloom.tables import TABLES, read_table
+
+    kinds = "path string, error string, camera string, datetime timestamp_ntz, file_path string, exposure_time double, filter string"
+    one, two = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    root, ledger = str(tmp_path / "db"), str(tmp_path / "ledger")
+    held = spark.createDataFrame([("/kept/taken",)], "path string")
+
+    def run(*rows, number=None):
+        found = spark.createDataFrame([(*r, None, None) for r in rows], kinds)
+        return register_logged(found, found.where("error IS NULL"), TABLES["lasco"], root, ledger, held, number)
+
+    def fates():
+        return {r["path"]: (r["state"], r["error"]) for r in file_fates(spark, ledger).collect()}
+
+    assert next_run(spark, ledger) == 0 and fates() == {}
+    first = [
+        ("a", None, "c2", one, "/kept/a"), ("b", None, "c2", one, "/kept/b"), ("c", "invalid_time", None, None, None),
+        ("d", None, None, one, "/kept/d"), ("e", None, "c3", one, "/kept/taken"), ("a", None, "c2", one, "/kept/a"),
+    ]
+    told = {"a": ("registered", None), "b": ("known_key", None), "c": ("refused", "invalid_time"),
+            "d": ("refused", "missing_key"), "e": ("held", None)}
+    assert run(*first) == 0 and fates() == told
+    # Told again, as after a run cut short, it is the same run with the same fates.
+    assert run(*first, number=0) == 0 and fates() == told
+    assert sum(r["n"] for r in fate_counts(spark, ledger, 0).collect()) == 5
+    # c turns valid; another file for the place of a does not take it over.
+    assert run(("c", None, "c2", two, "/kept/c"), ("0a", None, "c2", one, "/kept/a"), ("a", None, "c2", one, "/kept/a")) == 1
+    now = {**told, "c": ("registered", None), "0a": ("known_key", None)}
+    assert fates() == now and [r["path"] for r in quarantined(spark, ledger).collect()] == ["d"]
+    assert fold_runs(spark, ledger) == 2 and fold_runs(spark, ledger) == 0 and fates() == now
+    with pytest.raises(ValueError):
+        run(*first, number=1)
+    assert next_run(spark, ledger) == 2
+    assert run() == 2 and fates() == now
+    assert read_table(spark, root, TABLES["lasco"]).count() == 2
