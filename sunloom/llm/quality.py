@@ -50,6 +50,8 @@ def text_counts(documents: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         F.regexp_count("text", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
         F.regexp_count("text", F.lit(r"[!?]")).cast("long").alias("n_shouts"),
+        F.regexp_count("text", F.lit(",")).cast("long").alias("n_commas"),
+        F.regexp_count("text", F.lit("[0-9]")).cast("long").alias("n_digits"),
         lined.alias("lines"),
         windows.alias("windows"),
     )
@@ -64,6 +66,8 @@ def text_counts(documents: DataFrame) -> DataFrame:
         "n_symbols",
         "n_upper",
         "n_shouts",
+        "n_commas",
+        "n_digits",
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated.alias("places"),
@@ -85,7 +89,11 @@ def _vote(bad: Column, good: Column) -> Column:
 
 
 def quality_votes() -> dict[str, Column]:
-    """The rules over the columns of ``text_counts``; between their bounds they abstain."""
+    """The rules over the columns of ``text_counts``; between their bounds they abstain.
+
+    The rules of ``GUESSED`` are habits of prose that sound text often breaks; what their
+    votes are worth is left to the estimate.
+    """
     n = F.greatest("n_words", F.lit(1))
     mean = F.col("word_chars") / n
     return {
@@ -100,18 +108,36 @@ def quality_votes() -> dict[str, Column]:
         "lines": _vote(
             F.col("n_dup_lines") > 0.5 * F.col("n_lines"), F.col("n_dup_lines") <= 0.1 * F.col("n_lines")
         ),
+        "commas": _vote(
+            (F.col("n_commas") < 0.035 * n) | (F.col("n_commas") > 0.085 * n),
+            (F.col("n_commas") >= 0.04 * n) & (F.col("n_commas") <= 0.08 * n),
+        ),
+        "digits": _vote(F.col("n_digits") > 0.1 * n, F.col("n_digits") <= 0.02 * n),
     }
 
 
-# Bounds of the estimates. The rules' bad bounds lie beyond what sound text shows, so a rule
-# is taken to vote bad on two in a thousand good documents at most; this also tells the two
-# classes apart. Bad documents mostly break one rule of many, so few bad votes are expected.
-GOOD_RIGHT = (0.998, 0.9999)
+# Bounds of the estimates. The bad bounds of most rules lie beyond what sound text shows, so
+# such a rule is taken to vote bad on two in a thousand good documents at most: these rules
+# of known strength tell the two classes apart. The rules of GUESSED are only taken to be
+# right more often than not on good documents. Bad documents mostly break one rule of many,
+# so few bad votes are expected.
+GUESSED = ("commas", "digits")
+KNOWN_RIGHT = (0.998, 0.9999)
+GUESSED_RIGHT = (0.5, 0.9999)
+GUESSED_START = 0.9
 BAD_RIGHT = (0.02, 0.95)
+BAD_START = 0.3
 SHARE_GOOD = (0.02, 0.98)
 
 
-def pattern_posteriors(votes: DataFrame, names: list[str], rounds: int = ROUNDS) -> DataFrame:
+def right_bounds(names: list[str], known: tuple[float, float] = KNOWN_RIGHT) -> list[tuple[float, float, float]]:
+    """Least, greatest and first estimate of how often each rule is right on good documents."""
+    return [(*GUESSED_RIGHT, GUESSED_START) if name in GUESSED else (*known, known[0]) for name in names]
+
+
+def pattern_posteriors(
+    votes: DataFrame, names: list[str], rounds: int = ROUNDS, known: tuple[float, float] = KNOWN_RIGHT
+) -> DataFrame:
     """Posterior of good for each vote pattern, and the estimates it rests on.
 
     One row per pattern, so at most 3^rules rows: counted with partial sums, then gathered
@@ -124,8 +150,16 @@ def pattern_posteriors(votes: DataFrame, names: list[str], rounds: int = ROUNDS)
     posterior = f"""1 / (1 + exp(ln(1 - s.share) - ln(s.share) - aggregate({each}, 0D, (t, j) -> t + CASE q.v[j]
         WHEN 1 THEN ln(s.good[j]) - ln(1 - s.bad[j]) WHEN -1 THEN ln(1 - s.good[j]) - ln(s.bad[j]) ELSE 0D END)))"""
 
-    def bounded(value: str, bounds: tuple[float, float]) -> str:
-        return f"least({bounds[1]}D, greatest({bounds[0]}D, {value}))"
+    def doubles(values: list[float]) -> str:
+        return f"array({', '.join(f'{v}D' for v in values)})"
+
+    def bounded(value: str, least: str, most: str) -> str:
+        return f"least({most}, greatest({least}, {value}))"
+
+    def between(value: str, bounds: tuple[float, float]) -> str:
+        return bounded(value, f"{bounds[0]}D", f"{bounds[1]}D")
+
+    low, high, start = (doubles(list(column)) for column in zip(*right_bounds(names, known)))
 
     def right(weight: str, vote: int) -> str:
         """Share of a rule's votes that is ``vote``, over documents of weight ``weight``."""
@@ -134,13 +168,12 @@ def pattern_posteriors(votes: DataFrame, names: list[str], rounds: int = ROUNDS)
 
     step = f"""
       aggregate(sequence(1, {rounds}),
-        named_struct('share', 0.9D, 'good', array_repeat({GOOD_RIGHT[0]}D, {len(names)}),
-                     'bad', array_repeat(0.3D, {len(names)})),
+        named_struct('share', 0.9D, 'good', {start}, 'bad', array_repeat({BAD_START}D, {len(names)})),
         (s, r) -> aggregate(array(transform(p, q -> named_struct('v', q.v, 'n', q.n, 'g', {posterior}))), s,
           (old, e) -> named_struct(
-            'share', {bounded("aggregate(e, 0D, (t, q) -> t + q.n * q.g) / nullif(aggregate(e, 0D, (t, q) -> t + q.n), 0D)", SHARE_GOOD)},
-            'good', transform({each}, j -> {bounded(right("q.g", 1), GOOD_RIGHT)}),
-            'bad', transform({each}, j -> {bounded(right("(1 - q.g)", -1), BAD_RIGHT)}))))
+            'share', {between("aggregate(e, 0D, (t, q) -> t + q.n * q.g) / nullif(aggregate(e, 0D, (t, q) -> t + q.n), 0D)", SHARE_GOOD)},
+            'good', transform({each}, j -> {bounded(right("q.g", 1), f"{low}[j]", f"{high}[j]")}),
+            'bad', transform({each}, j -> {between(right("(1 - q.g)", -1), BAD_RIGHT)}))))
     """
     fitted = gathered.select("p", F.expr(step).alias("s"))
     scored = F.expr(f"transform(p, q -> named_struct('v', q.v, 'n', q.n, 'posterior', {posterior}))")

@@ -190,7 +190,9 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 
 def _quality_sql(rounds: int = quality.ROUNDS) -> str:
     """The counts, and the estimate as a recursion over the vote patterns."""
-    rules = 7
+    names = list(quality.quality_votes())
+    limits = quality.right_bounds(names)
+    rules = len(names)
     each = range(1, rules + 1)
     log_odds = "ln(1 - share) - ln(share)" + "".join(
         f" - CASE v[{j}] WHEN 1 THEN ln(good[{j}]) - ln(1 - bad[{j}]) "
@@ -206,10 +208,10 @@ def _quality_sql(rounds: int = quality.ROUNDS) -> str:
             f"(1 + sum(n * {weight} * (v[{j}] = {vote})::INT)) / (2 + sum(n * {weight} * (v[{j}] <> 0)::INT))"
         )
 
-    good = ", ".join(bounded(right("g", 1, j), quality.GOOD_RIGHT) for j in each)
+    good = ", ".join(bounded(right("g", 1, j), limits[j - 1][:2]) for j in each)
     bad = ", ".join(bounded(right("(1 - g)", -1, j), quality.BAD_RIGHT) for j in each)
-    start_good = ", ".join([f"{quality.GOOD_RIGHT[0]}::DOUBLE"] * rules)
-    start_bad = ", ".join(["0.3::DOUBLE"] * rules)
+    start_good = ", ".join(f"{first}::DOUBLE" for _, _, first in limits)
+    start_bad = ", ".join([f"{quality.BAD_START}::DOUBLE"] * rules)
     word = r"'[^\x20\x09-\x0D]+'"
     return f"""
 WITH RECURSIVE d AS (
@@ -228,6 +230,7 @@ c AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          len(regexp_extract_all(text, '\\p{{Lu}}')) AS n_upper, len(regexp_extract_all(text, '[!?]')) AS n_shouts,
+         len(regexp_extract_all(text, ',')) AS n_commas, len(regexp_extract_all(text, '[0-9]')) AS n_digits,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, {word})) AS lines,
          coalesce(rep.n, 0)::BIGINT AS n_repeat_words, greatest(len(w), 1) AS m
   FROM d LEFT JOIN rep USING (doc_id)
@@ -244,7 +247,10 @@ votes AS (
     CASE WHEN n_shouts > 0.2 * m THEN -1 WHEN n_shouts <= 0.05 * m THEN 1 ELSE 0 END,
     CASE WHEN n_upper > 0.5 * word_chars THEN -1 WHEN n_upper <= 0.15 * word_chars THEN 1 ELSE 0 END,
     CASE WHEN n_repeat_words > 0.3 * m THEN -1 WHEN n_repeat_words <= 0.1 * m THEN 1 ELSE 0 END,
-    CASE WHEN n_dup_lines > 0.5 * n_lines THEN -1 WHEN n_dup_lines <= 0.1 * n_lines THEN 1 ELSE 0 END] AS v,
+    CASE WHEN n_dup_lines > 0.5 * n_lines THEN -1 WHEN n_dup_lines <= 0.1 * n_lines THEN 1 ELSE 0 END,
+    CASE WHEN n_commas < 0.035 * m OR n_commas > 0.085 * m THEN -1
+      WHEN n_commas >= 0.04 * m AND n_commas <= 0.08 * m THEN 1 ELSE 0 END,
+    CASE WHEN n_digits > 0.1 * m THEN -1 WHEN n_digits <= 0.02 * m THEN 1 ELSE 0 END] AS v,
     n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
   FROM k
 ),

@@ -98,6 +98,30 @@ def test_quality_keeps_prose_and_drops_junk(spark):
     assert all(r.kept == (r.doc_id < 40) for r in judged)
 
 
+def test_quality_keeps_documents_with_a_bad_vote(spark):
+    rng = random.Random(2)
+
+    def text(commas, mark=""):
+        words = ["".join(rng.choices("etaoinshr", k=rng.randint(3, 8))) + mark for _ in range(200)]
+        return " ".join(w + "," if k < commas else w for k, w in enumerate(words))
+
+    # One sound text in ten has no comma, as most of the junk; half of the junk has digits too.
+    prose = [text(0 if k % 10 == 0 else 12) for k in range(300)]
+    junk = [text(0, "##7" if k % 2 else "##") for k in range(30)]
+    docs = brute.documents(spark, prose + junk)
+    judged = {r.doc_id: r for r in quality.judge_quality(docs).select("doc_id", "kept", "votes", "base_failed").collect()}
+    assert not any(r.base_failed for r in judged.values())
+    one_bad = [k for k in range(300) if list(judged[k].votes).count(-1) == 1]
+    assert len(one_bad) == 30 and all(judged[k].kept == (k < 300) for k in judged)
+    names = list(quality.quality_votes())
+    votes = spark.createDataFrame([tuple(judged[k].votes) for k in judged], ", ".join(f"{n} int" for n in names))
+    fitted = quality.pattern_posteriors(votes, names).first()
+    for k, (least, most, _) in enumerate(quality.right_bounds(names)):
+        assert least <= fitted.right_on_good[k] <= most
+        if names[k] == "commas":
+            assert abs(fitted.right_on_good[k] - 0.9) < 0.02 and fitted.right_on_bad[k] > 0.9
+
+
 def test_quality_plan_has_no_python(spark):
     plan = quality.judge_quality(brute.documents(spark, ODD))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
