@@ -88,6 +88,9 @@ def _vote(bad: Column, good: Column) -> Column:
     return F.when(bad, -1).when(good, 1).otherwise(0)
 
 
+RULES = ("length", "word_size", "symbols", "shouting", "capitals", "repeats", "lines", "commas", "digits")
+
+
 def quality_votes() -> dict[str, Column]:
     """The rules over the columns of ``text_counts``; between their bounds they abstain.
 

@@ -190,9 +190,8 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 
 def _quality_sql(rounds: int = quality.ROUNDS) -> str:
     """The counts, and the estimate as a recursion over the vote patterns."""
-    names = list(quality.quality_votes())
-    limits = quality.right_bounds(names)
-    rules = len(names)
+    limits = quality.right_bounds(list(quality.RULES))
+    rules = len(limits)
     each = range(1, rules + 1)
     log_odds = "ln(1 - share) - ln(share)" + "".join(
         f" - CASE v[{j}] WHEN 1 THEN ln(good[{j}]) - ln(1 - bad[{j}]) "

@@ -114,6 +114,7 @@ def test_quality_keeps_documents_with_a_bad_vote(spark):
     one_bad = [k for k in range(300) if list(judged[k].votes).count(-1) == 1]
     assert len(one_bad) == 30 and all(judged[k].kept == (k < 300) for k in judged)
     names = list(quality.quality_votes())
+    assert names == list(quality.RULES)
     votes = spark.createDataFrame([tuple(judged[k].votes) for k in judged], ", ".join(f"{n} int" for n in names))
     fitted = quality.pattern_posteriors(votes, names).first()
     for k, (least, most, _) in enumerate(quality.right_bounds(names)):
