@@ -78,12 +78,19 @@ def bounded_sample(df: DataFrame, group: str | None, payload: list[str], key: Co
     return picked.select(*([group] if group else []), "_row.*")
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable], schema) -> DataFrame:
-    """``mapInArrow`` whose state is made once a task: ``make()`` returns batch -> batches."""
+def spread_text(text: str, chars: int, pieces: int = 8) -> Column:
+    """A text of at most ``chars`` characters as it is, of a longer one stretches from all over.
 
-    def run(batches):
-        handle = make()
-        for batch in slices(batches):
-            yield from handle(batch)
+    The longer text falls into ``pieces`` equal parts, and each gives one stretch at a place
+    chosen by hash, without the words cut at its ends. Null stays null.
+    """
+    size = chars // pieces
+    part = (F.length(text) / pieces).cast("int")
+
+    def stretch(i: Column) -> Column:
+        place = F.pmod(F.xxhash64(F.col(text), i), F.greatest(part - size + 1, F.lit(1))).cast("int")
+        piece = F.substr(F.col(text), i * part + place + 1, F.lit(size))
+        return F.regexp_replace(piece, r"^\S+\s+|\s+\S+$", "")
 
-    return df.mapInArrow(run, schema)
+    stretches = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), stretch)
+    return F.when(F.length(text) > chars, F.array_join(stretches, "\n")).otherwise(F.col(text))

@@ -23,14 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunloom.llm.common import bounded_sample, id_fold, slices
+from sunloom.llm.common import bounded_sample, id_fold, slices, spread_text
 
 FOLDS, HELD_OUT = 4, 2
-# Of each language at most so many texts teach, each with so many characters at most.
-SAMPLE_TEXTS = 400
-SAMPLE_CHARS = 600
-# Languages beyond this number are an error in the labels.
-MOST_LANGUAGES = 400
+# Of each language at most so many texts teach, and of all together; each gives so many
+# characters at most, from all over it.
+SAMPLE_TEXTS, ALL_TEXTS = 400, 160_000
+SAMPLE_CHARS, PIECES = 600, 4
 BLOCK = 4096
 LEVEL = 3
 LEAST_MARGIN = 0.01
@@ -48,11 +47,10 @@ def dictionaries(documents: DataFrame) -> dict[str, bytes]:
     taught = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(
         id_fold("doc_id", FOLDS) != HELD_OUT
     )
-    pieces = taught.select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("piece"))
-    counts = taught.groupBy("lang").count().orderBy(F.desc("count"), "lang").take(MOST_LANGUAGES + 1)
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    sample = bounded_sample(pieces, "lang", ["piece"], F.col("piece"), SAMPLE_TEXTS)
+    pieces = taught.select("lang", "doc_id", spread_text("text", SAMPLE_CHARS, PIECES).alias("piece"))
+    counts = taught.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
+    each = max(1, min(SAMPLE_TEXTS, ALL_TEXTS // max(len(counts), 1)))
+    sample = bounded_sample(pieces, "lang", ["piece"], F.col("piece"), each)
     content: dict[str, list[str]] = {row.lang: [] for row in counts}
     for row in sample.orderBy("lang", F.xxhash64("piece"), "piece").toLocalIterator():
         content[row.lang].append(letters(row.piece))

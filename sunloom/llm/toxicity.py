@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunloom.llm.common import bounded_sample, id_fold, slices
+from sunloom.llm.common import bounded_sample, id_fold, slices, spread_text
 from sunloom.llm.crf import Chain, Decoder
 
 FOLDS, HELD_OUT = 3, 1
-# At most so many toxic and clean labelled documents teach, each with so many characters.
+# At most so many toxic and clean labelled documents teach, each with so many characters from all over it.
 TOXIC_ROWS, CLEAN_ROWS = 1024, 3072
 SAMPLE_CHARS = 6000
 THRESHOLD = 0.7
@@ -153,10 +153,13 @@ def labelled_sample(documents: DataFrame, labels: DataFrame) -> list[tuple[int,
     for flag, rows in bounds.items():
         part = bounded_sample(taught.where(F.col("toxic") == flag), None, ["doc_id", "toxic"], F.col("doc_id"), rows)
         picked = part if picked is None else picked.unionByName(part)
-    texts = documents.where("text IS NOT NULL").select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    texts = documents.where("text IS NOT NULL").select("doc_id", "text")
     # At most TOXIC_ROWS + CLEAN_ROWS ids; a doc_id's least text, should it repeat.
-    joined = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    return [(r.toxic, r.text) for r in joined.select("toxic", "text").collect()]
+    joined = texts.join(F.broadcast(picked), "doc_id").select(
+        "doc_id", "toxic", spread_text("text", SAMPLE_CHARS).alias("text")
+    )
+    taken = joined.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return [(r.toxic, r.text) for r in taken.select("toxic", "text").collect()]
 
 
 @dataclass

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 import struct
 import zlib
 
+import numpy as np
 import public_tokenizers
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
@@ -106,6 +109,45 @@ def tokenizer(name: str) -> Tokenizer:
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
+def language(text: str | None, content: dict[str, bytes], level: int = 3, block: int = 4096) -> tuple[str, float]:
+    """Language of the fewest bytes, each block compressed by a coder of its own."""
+    if text is None or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    runs = itertools.groupby(text.lower(), lambda c: re.fullmatch(r"[\W\d_]", c) is None)
+    raw = "".join("".join(run) if word else " " for word, run in runs).encode()
+    sizes = {}
+    for lang, taught in content.items():
+        sizes[lang] = 0
+        book = zstandard.ZstdCompressionDict(taught, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        book.precompute_compress(level=level)
+        plain = dict(write_content_size=False, write_checksum=False, write_dict_id=False)
+        for at in range(0, len(raw), block):
+            coder = zstandard.ZstdCompressor(level=level, dict_data=book, **plain)
+            sizes[lang] += len(coder.compress(raw[at : at + block]))
+    first, second = sorted(sizes.values())[:2]
+    return min(sizes, key=sizes.get), min(1.0, 0.5 + 5 * (second - first) / second)
+
+
+def toxicity(text: str | None, model) -> float:
+    """Document score by sums over all labels of all tokens, in logarithms."""
+    tokens = (text or "").split()
+    if not tokens:
+        return 0.0
+    field = model.field
+    weights = field.weights[0].astype(float)
+    e = [weights[-1] + sum(weights[field.index[f]] for f in field.features(t) if f in field.index) for t in tokens]
+    trans, forward, backward = field.trans.astype(float), [e[0] + field.first], [np.zeros(2)]
+    for row in e[1:]:
+        forward.append(row + np.logaddexp(*(forward[-1][:, None] + trans)))
+    for row in reversed(e[1:]):
+        backward.append(np.logaddexp(*(trans + row + backward[-1]).T))
+    both = np.array(forward) + np.array(backward[::-1])
+    p = 1 / (1 + np.exp(both[:, 0] - both[:, 1]))
+    told, top = p[p >= 0.5], min(max(p.max(), 1e-6), 1 - 1e-6)
+    x = [min(told.sum(), 3.0), 1 - np.prod(1 - told), math.log(top / (1 - top)) / 10, 1.0]
+    return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot(x, model.weights)))))))
+
+
 def crc(ids: list[int]) -> int:
     return zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
 

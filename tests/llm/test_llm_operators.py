@@ -23,7 +23,7 @@ from sunloom.llm import (
     tokencount,
     toxicity,
 )
-from sunloom.llm.common import touching
+from sunloom.llm.common import spread_text, touching
 from tests.llm import brute
 
 ODD = brute.ODD_TEXTS
@@ -297,6 +297,22 @@ def test_language_of_held_out_texts(spark):
     assert all(found[k].lang_pred == lang and 0 <= found[k].score <= 1 for k, _, lang in rows)
 
 
+def test_training_text_comes_from_all_over(spark):
+    long = " ".join(f"w{k:05}" for k in range(20_000))
+    rows = [None, "", "short text", "a" * 5000, " " * 5000, long]
+    found = [r[0] for r in spark.createDataFrame([(t,) for t in rows], "t string").select(spread_text("t", 800)).collect()]
+    assert found[:3] == rows[:3] and all(len(t) <= 808 for t in found[3:])
+    taken = found[5].split()
+    assert set(taken) <= set(long.split()) and {int(w[1:]) // 2500 for w in taken} == set(range(8))
+
+
+def test_many_languages_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ALL_TEXTS", 40)
+    rows = [(k, f"text {'abcdefghij'[k % 10]} number {k}", f"l{k % 10}") for k in range(400)]
+    content = langid.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(content) == 10 and all(1 <= len(raw.splitlines()) <= 4 for raw in content.values())
+
+
 def test_language_of_odd_and_empty_tables(spark):
     docs = brute.odd_documents(spark)
     found = langid.identify(docs, langid.dictionaries(docs)).collect()

@@ -6,6 +6,7 @@ import os
 import pytest
 
 import corpus_pipeline
+from sunloom.llm import langid, toxicity
 from sunloom.llm.queries import ORACLES, QUERIES
 from tests.compare import connect, differences
 from tests.llm import brute
@@ -61,12 +62,19 @@ def test_language(spark, texts):
     found = _by_id(spark, "op5_language")
     held = [k for k, r in found.items() if r.held_out]
     assert held and sum(found[k].lang_pred == texts[k].lang for k in held) >= 0.9 * len(held)
+    content = langid.dictionaries(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    for k, row in found.items():
+        lang, score = brute.language(texts[k].text, content)
+        assert (row.lang_pred, row.score) == (lang, pytest.approx(score, abs=1e-9))
 
 
 def test_toxicity(spark, texts):
     found = _by_id(spark, "op7_toxicity")
     assert set(found) == set(texts)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in found.values())
+    model = toxicity.train(*(spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels")))
+    for k, row in found.items():
+        assert row.score == pytest.approx(brute.toxicity(texts[k].text, model), abs=1e-4)
 
 
 def test_near_duplicates(spark, texts):
