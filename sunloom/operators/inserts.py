@@ -35,11 +35,10 @@ def accept_in_order(df: DataFrame, key: Sequence[str], unique: str, ordinal: str
     A row is taken unless an earlier taken row has its key or its ``unique``
     value. Taking the first per key and then the first per value is wrong: a
     row beaten by a row that is itself refused must come back. So each round
-    takes the rows that are first in both of their groups and drops what these
-    exclude, until none remain; the same rounds for any size. A handful is usual.
-    Every round finishes at least the earliest open row and what it excludes, so a
-    chain of n rows, each barred by the one before, takes n / 2 rounds: such batches
-    are sequential by their meaning. ``ordinal`` must be distinct.
+    takes what is certain by now, drops what that excludes, and looks at the rest
+    again; the same rounds for any size, and a handful is usual. A chain of rows, each
+    barred by the one before alone, is settled inside a round, in steps that grow with
+    the logarithm of its length. ``ordinal`` must be distinct.
     """
     keyed = df.select(*key, F.col(unique), F.col(ordinal))
     # Exact copies of a key and value pair can never be taken after their first.
@@ -47,13 +46,9 @@ def accept_in_order(df: DataFrame, key: Sequence[str], unique: str, ordinal: str
         keyed.groupBy(*key, unique).agg(F.min(ordinal).alias(ordinal)), "open"
     )
     taken: DataFrame | None = None
-    while True:
-        if remaining.isEmpty():
-            break
-        by_key = remaining.groupBy(*key).agg(F.min(ordinal).alias(ordinal)).select(ordinal)
-        by_value = remaining.groupBy(unique).agg(F.min(ordinal).alias(ordinal)).select(ordinal)
-        both = by_key.join(by_value, ordinal, "left_semi")
-        winners = materialise(remaining.join(both, ordinal, "left_semi"), "taken")
+    while not remaining.isEmpty():
+        certain = _certain(remaining, key, unique, ordinal).withColumnRenamed("_row", ordinal)
+        winners = materialise(remaining.join(certain, ordinal, "left_semi"), "taken")
         remaining = without_known(without_known(remaining, winners, key), winners, [unique])
         remaining = materialise(remaining, "open")
         winners = winners.select(ordinal)
@@ -61,3 +56,59 @@ def accept_in_order(df: DataFrame, key: Sequence[str], unique: str, ordinal: str
     if taken is None:
         return df.limit(0)
     return df.join(taken, ordinal, "left_semi")
+
+
+def _certain(rows: DataFrame, key: Sequence[str], unique: str, ordinal: str) -> DataFrame:
+    """Rows (``_row``, their ordinal) taken for certain: those nothing bars, and each second
+    row along the chains that start at one of them."""
+
+    def places(by: Sequence[str], barred: str) -> DataFrame:
+        # Of each group its first row, and of a pair also the second, barred by the first.
+        # Other rows of larger groups wait for a later round.
+        group = rows.groupBy(*by).agg(
+            F.min(ordinal).alias("_a"), F.max(ordinal).alias("_b"), F.count("*").alias("_n")
+        )
+        first = F.struct(F.col("_a").alias("_row"), F.lit(None).cast(rows.schema[ordinal].dataType).alias(barred))
+        second = F.struct(F.col("_b").alias("_row"), F.col("_a").alias(barred))
+        return group.select(F.inline(F.when(F.col("_n") == 2, F.array(first, second)).otherwise(F.array(first))))
+
+    both = places(key, "_by_key").join(places([unique], "_by_value"), "_row")
+    n_bars = F.col("_by_key").isNotNull().cast("int") + F.col("_by_value").isNotNull().cast("int")
+    seen = materialise(
+        both.select("_row", F.coalesce("_by_key", "_by_value").alias("_bar"), n_bars.alias("_bars")), "places"
+    )
+    ends = seen.select(F.col("_row").alias("_bar"), F.col("_bars").alias("_before"))
+    # A row with one bar has one follower at most, so no value of _bar is frequent below,
+    # however long the chains: what lies at an end carries that and is not joined again.
+    chains = materialise(
+        seen.where("_bars = 1").join(ends, "_bar", "left").select(
+            "_row",
+            "_bar",
+            F.lit(True).alias("_odd"),
+            (F.coalesce("_before", F.lit(2)) != 1).alias("_ended"),
+            (F.coalesce("_before", F.lit(2)) == 0).alias("_free"),
+        ),
+        "chains",
+    )
+    while not chains.where("NOT _ended").isEmpty():
+        chains = materialise(_further(_further(chains)), "chains")
+    return seen.where("_bars = 0").select("_row").unionByName(chains.where("_free AND NOT _odd").select("_row"))
+
+
+def _further(chains: DataFrame) -> DataFrame:
+    """Each row's pointer doubled: from the row that bars it to where that one points."""
+    ahead = chains.select(
+        F.col("_row").alias("_bar"),
+        F.col("_bar").alias("_to"),
+        F.col("_odd").alias("_more"),
+        F.col("_ended").alias("_end"),
+        F.col("_free").alias("_sure"),
+    )
+    moved = chains.where("NOT _ended").join(ahead, "_bar").select(
+        "_row",
+        F.col("_to").alias("_bar"),
+        (F.col("_odd") != F.col("_more")).alias("_odd"),
+        F.col("_end").alias("_ended"),
+        F.col("_sure").alias("_free"),
+    )
+    return chains.where("_ended").unionByName(moved)

@@ -18,6 +18,7 @@ from sunloom.queries import analytic
 from sunloom.queries.inputs import table
 from sunloom.session import scratch_path
 from sunloom.sinks.exports import (
+    CSV_EXPORTS,
     export_events,
     export_index,
     export_parquet,
@@ -174,6 +175,22 @@ SELECT * FROM e WHERE event_id % 3 = 2 OR event_id IN (
 """
 
 
+def insert_ignore_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One chain through all events: each has the key or the path of the one before."""
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "concat('k', (event_id + 1) div 2) AS k", "concat('p', event_id div 2) AS file_path"
+    )
+    return accept_in_order(events, ("k",), "file_path", "event_id").select("event_id", "k", "file_path")
+
+
+# The runs of ids without a gap are chains of their own.
+SQL_CHAIN = """
+WITH e AS (SELECT event_id, event_id - row_number() OVER (ORDER BY event_id) AS run FROM events),
+  n AS (SELECT event_id, row_number() OVER (PARTITION BY run ORDER BY event_id) AS place FROM e)
+SELECT event_id, 'k' || (event_id + 1) // 2 AS k, 'p' || event_id // 2 AS file_path FROM n WHERE place % 2 = 1
+"""
+
+
 def _mag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "16 + user_id % 3 AS satellite",
@@ -210,6 +227,81 @@ FROM events QUALIFY row_number() OVER (PARTITION BY user_id % 3, ts ORDER BY eve
 """
 
 
+def _made(number: int, kind: T.DataType, form: str) -> str:
+    """A value of column ``number`` made from an event; ``form`` is the engine's name of a text."""
+    whole = f"(user_id + {number}) % {number % 7 + 3}"
+    if isinstance(kind, T.BooleanType):
+        return f"({whole} = 0)"
+    if isinstance(kind, T.StringType):
+        return f"CASE WHEN {whole} > 0 THEN CAST({whole} AS {form}) END"
+    part = 0 if isinstance(kind, (T.ShortType, T.IntegerType)) else 0.25
+    # Required columns have a value in each row.
+    return f"({whole} + {part})" if number < 8 else f"CASE WHEN event_id % {number % 5 + 2} > 0 THEN {whole} + {part} END"
+
+
+def _made_columns(name: str, form: str) -> dict[str, str]:
+    spec = TABLES[name]
+    out = {f.name: _made(i, f.dataType, form) for i, f in enumerate(spec.schema.fields)}
+    fixed = {"datetime": "ts", "year": "year(ts)", "satellite": "16 + user_id % 3"}
+    return out | {name: value for name, value in fixed.items() if name in out}
+
+
+def _as_number(column: str, kind: T.DataType) -> str | None:
+    if isinstance(kind, T.BooleanType):
+        return f"CASE WHEN {column} = 't' THEN 1 ELSE 0 END"
+    return None if isinstance(kind, (T.StringType, T.TimestampNTZType)) else column
+
+
+def csv_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six tables stored and exported; what the files hold in each column."""
+    root, out = scratch_path(spark, "six"), scratch_path(spark, "csv")
+    events = table(spark, sf_dir, "events")
+
+    def store(name: str) -> None:
+        made = [f"{value} AS {column}" for column, value in _made_columns(name, "STRING").items()]
+        insert_ignore(events.selectExpr("event_id", *made), TABLES[name], root, ("event_id",))
+
+    with ThreadPoolExecutor(len(CSV_EXPORTS)) as pool:
+        list(pool.map(store, [stored for stored, _, _ in CSV_EXPORTS]))
+    failed = {name: error for name, error in export_tables(spark, root, out).items() if error}
+    if failed:
+        raise RuntimeError(str(failed))
+    parts = []
+    for stored, exported, _ in CSV_EXPORTS:
+        fields = TABLES[stored].schema.fields
+        schema = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
+        back = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(f"{out}/{exported}")
+        held = [
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.count(f.name).alias("n_values"),
+                (F.expr(f"sum(CAST({number} AS DOUBLE))") if (number := _as_number(f.name, f.dataType)) else F.lit(None).cast("double"))
+                .alias("total"),
+            )
+            for f in fields
+        ]
+        counted = back.agg(F.count("*").alias("n_rows"), F.array(*held).alias("held"))
+        parts.append(counted.select(F.lit(exported).alias("export"), "n_rows", F.inline("held")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _sql_csv_tables() -> str:
+    parts = []
+    for stored, exported, _ in CSV_EXPORTS:
+        spec = TABLES[stored]
+        made = ", ".join(f"{value} AS {name}" for name, value in _made_columns(stored, "VARCHAR").items())
+        by = "user_id % 3, ts" if "satellite" in spec.columns else "ts"
+        rows = f"SELECT {made} FROM events QUALIFY row_number() OVER (PARTITION BY {by} ORDER BY event_id) = 1"
+        for f in spec.schema.fields:
+            value = f"{f.name}::INTEGER" if isinstance(f.dataType, T.BooleanType) else f.name
+            total = f"sum({value})::DOUBLE" if _as_number(f.name, f.dataType) else "NULL::DOUBLE"
+            parts.append(
+                f"SELECT '{exported}' AS export, count(*) AS n_rows, '{f.name}' AS column_name, "
+                f"count({f.name}) AS n_values, {total} AS total FROM ({rows})"
+            )
+    return " UNION ALL ".join(parts)
+
+
 def parquet_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three weeks of the half-hourly table, exported and read back."""
     out = scratch_path(spark, "export")
@@ -395,7 +487,9 @@ QUERIES = {
     "insert_ignore_batch": insert_ignore_batch,
     "insert_ignore_unique": insert_ignore_unique,
     "insert_ignore_hot": insert_ignore_hot,
+    "insert_ignore_chain": insert_ignore_chain,
     "csv_export": csv_export,
+    "csv_tables": csv_tables,
     "parquet_export": parquet_export,
     "event_csv": event_csv,
     "index_csv": index_csv,
@@ -414,7 +508,9 @@ ORACLES = {
     "insert_ignore_batch": SQL_INSERT_IGNORE,
     "insert_ignore_unique": SQL_UNIQUE,
     "insert_ignore_hot": SQL_HOT,
+    "insert_ignore_chain": SQL_CHAIN,
     "csv_export": SQL_CSV,
+    "csv_tables": _sql_csv_tables(),
     "parquet_export": SQL_PARQUET,
     "event_csv": SQL_EVENT_CSV,
     "index_csv": SQL_INDEX_CSV,

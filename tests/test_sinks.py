@@ -246,6 +246,33 @@ def test_a_chain_of_barred_rows(spark):
     assert sorted(r["n"] for r in taken.collect()) == [0, 2, 4, 6, 8, 10]
 
 
+def test_a_long_chain_takes_few_steps(spark, monkeypatch):
+    from sunloom.operators import inserts
+
+    made = []
+    monkeypatch.setattr(inserts, "materialise", lambda df, name, _of=inserts.materialise: made.append(name) or _of(df, name))
+    batch = spark.range(10_000).selectExpr("(id + 1) div 2 AS k", "id div 2 AS file_path", "id AS n")
+    taken = inserts.accept_in_order(batch, ("k",), "file_path", "n")
+    assert {r["n"] for r in taken.collect()} == set(range(0, 10_000, 2)) and len(made) < 15
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_batch_is_taken_row_by_row(spark, seed):
+    import random
+
+    from sunloom.operators.inserts import accept_in_order
+
+    rng = random.Random(seed)
+    spread = (3, 12, 30, 80)[seed]
+    rows = [(rng.choice([None, *range(spread)]), rng.randrange(spread), n) for n in rng.sample(range(1000), 60)]
+    keys, paths, expected = set(), set(), []
+    for k, path, n in sorted(rows, key=lambda r: r[2]):
+        if k not in keys and path not in paths:
+            keys.add(k), paths.add(path), expected.append(n)
+    batch = spark.createDataFrame(rows, "k int, file_path int, n long")
+    assert sorted(r["n"] for r in accept_in_order(batch, ("k",), "file_path", "n").collect()) == expected
+
+
 def test_quarantine_may_be_replayed(spark, tmp_path):
     from sunloom.sinks.tables import quarantine
 
