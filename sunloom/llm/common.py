@@ -82,13 +82,13 @@ def spread_text(text: str, chars: int, pieces: int = 8) -> Column:
     """A text of at most ``chars`` characters as it is, of a longer one stretches from all over.
 
     The longer text falls into ``pieces`` equal parts, and each gives one stretch at a place
-    chosen by hash, without the words cut at its ends. Null stays null.
+    chosen by a hash of its length, without the words cut at its ends. Null stays null.
     """
     size = chars // pieces
     part = (F.length(text) / pieces).cast("int")
 
     def stretch(i: Column) -> Column:
-        place = F.pmod(F.xxhash64(F.col(text), i), F.greatest(part - size + 1, F.lit(1))).cast("int")
+        place = F.pmod(F.xxhash64(F.length(text), i), F.greatest(part - size + 1, F.lit(1))).cast("int")
         piece = F.substr(F.col(text), i * part + place + 1, F.lit(size))
         return F.regexp_replace(piece, r"^\S+\s+|\s+\S+$", "")
 

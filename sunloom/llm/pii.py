@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sunloom.functions.stages import computed_once
 from sunloom.llm.common import bounded_sample, slices, spread_text, touching
 from sunloom.llm.crf import Chain, Decoder
 
@@ -170,7 +171,8 @@ def _has_digit(word: str) -> bool:
 
 def train(documents: DataFrame) -> Chain:
     """Fit the field to a bounded sample of the table."""
-    texts = documents.where("text IS NOT NULL").select(spread_text("text", SAMPLE_CHARS).alias("text"))
+    whole = documents.where("text IS NOT NULL").select(F.col("text").alias("_whole"))
+    texts = computed_once(whole, {"text": spread_text("_whole", SAMPLE_CHARS)}).select("text")
     bearing = bounded_sample(texts.where("text RLIKE '[0-9][0-9. -]{5}|@'"), None, ["text"], F.col("text"), SAMPLE_TEXTS)
     others = bounded_sample(texts, None, ["text"], F.col("text"), SAMPLE_TEXTS // 4)
     rows = sorted({r.text for r in bearing.unionByName(others).collect()})
