@@ -108,7 +108,9 @@ def near_pairs(classes: DataFrame, distance: int = DISTANCE, widths: tuple[int,
         for length, mask in masks.items()
     )
     near = F.expr(f"p.key = q.key AND a < b AND {chains} AND bit_count(a ^ b) <= {distance}")
-    found = probes.alias("p").join(index.withColumnRenamed("fp", "b").alias("q"), near)
+    # Sizes are estimated without what explode multiplies, so either side may look small
+    # enough to be broadcast through the driver.
+    found = probes.alias("p").join(index.withColumnRenamed("fp", "b").alias("q").hint("merge"), near)
     return found.select("a", "b").distinct()
 
 

@@ -207,7 +207,9 @@ def near_words(words: DataFrame) -> DataFrame:
     lists = words.select("word", "n").mapInArrow(run, "key long, word string, n long")
     a, b = (lists.selectExpr("key", f"word AS {x}", f"n AS n_{x}") for x in ("a", "b"))
     one = F.expr("a < b AND abs(length(a) - length(b)) <= 1 AND levenshtein(a, b, 1) = 1")
-    return a.join(b, "key").where(one).select("a", "b", "n_a", "n_b").distinct()
+    # A size is estimated from the words, not from their many lists, so either side may look
+    # small enough to be broadcast through the driver.
+    return a.join(b.hint("merge"), "key").where(one).select("a", "b", "n_a", "n_b").distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:

@@ -693,6 +693,11 @@ def test_near_pairs_are_all_pairs_within_the_distance(spark):
     assert {tuple(r) for r in found.collect()} == expected
 
 
+def test_probes_are_not_broadcast(spark):
+    plan = simhash.near_pairs(spark.range(9).selectExpr("id AS fp"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(k, k + 1) for k in range(40)]
     star = [(100, 100 + k) for k in range(1, 30)]

@@ -174,3 +174,11 @@ def test_vectors_of_another_length_are_left_out(spark):
 def test_components_beyond_the_range_are_an_error(spark):
     with pytest.raises(Exception, match="a component is"):
         vector_codes.compress(_vectors(spark, [(1, [1e6] * 16)]))
+
+
+def test_lists_of_words_are_not_broadcast(spark):
+    words = spark.createDataFrame([("harbour", 9), ("harbor", 3)], "word string, n long")
+    near = spelling.near_words(words)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    assert [tuple(r) for r in near.collect()] == [("harbor", "harbour", 3, 9)]
