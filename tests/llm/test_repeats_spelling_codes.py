@@ -177,7 +177,7 @@ def test_components_beyond_the_range_are_an_error(spark):
 
 
 def test_lists_of_words_are_not_broadcast(spark):
-    words = spark.createDataFrame([("harbour", 9), ("harbor", 3)], "word string, n long")
+    words = spark.range(2).selectExpr("IF(id = 0, 'harbour', 'harbor') AS word", "9 - 6 * id AS n")
     near = spelling.near_words(words)
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan

@@ -266,3 +266,45 @@ def test_image_source_prunes(spark, tmp_path):
     assert [len(p.paths) for p in reader.partitions()] == [2, 1]
     with pytest.raises(ValueError):
         ImageHeaders({"path": root}).reader(StructType().add("pixels", StringType()))
+
+
+def test_a_crowded_listing_takes_few_parts(spark, tmp_path):
+    from sunloom.session import scratch_path
+    from sunloom.sources import image_source
+
+    made = []
+
+    def noted(session, name):
+        made.append(scratch_path(session, name))
+        return made[-1]
+
+    root = _source_folder(tmp_path)
+    listing = list_files(spark, root, "*.fits").repartition(200)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(image_source, "scratch_path", noted)
+        assert image_source.listed_headers(listing).count() == 2
+    from sunloom.versions import _names
+
+    parts = [n for n in _names(spark, made[0]) if n.startswith("part-")]
+    assert len(parts) <= 8 * spark.sparkContext.defaultParallelism
+
+
+def test_files_go_through_the_store_some_at_a_time(spark):
+    from sunloom.queries import registered
+
+    files = spark.range(25).selectExpr("concat('/in/', id, '.fits') AS path", "CAST('nothing' AS binary) AS content")
+    seen = []
+
+    def records(folder):
+        listing = list_files(spark, folder, "*.fits").select("name", "length")
+        seen.append((folder, listing.count()))
+        return listing
+
+    found = registered._through_store(spark, files.coalesce(1), records, "found", at_once=10, per_part=5)
+    assert sorted(r["name"] for r in found.collect()) == sorted(f"{i}.fits" for i in range(25))
+    assert [n for _, n in seen] == [10, 10, 5] and found.where("length <> 7").isEmpty()
+    # What was read is gone, and no files at all are no records.
+    from sunloom.tables import table_exists
+
+    assert not any(table_exists(spark, folder) for folder, _ in seen)
+    assert registered._through_store(spark, files.where("false"), records, "found").isEmpty()
