@@ -22,7 +22,7 @@ from sunloom.functions.times import (
 from sunloom.operators.quality import outcome_counts
 from sunloom.plans import images
 from sunloom.plans.ingest import ingest_index_years, ingest_solar_wind
-from sunloom.queries.inputs import spread, table
+from sunloom.queries.inputs import shares, spread, table
 from sunloom.session import materialise, scratch_path
 from sunloom.sinks.tables import quarantine
 from sunloom.sources.fixed_width import parse_fixed_width, read_lines
@@ -75,8 +75,8 @@ def _printed(f: Field, i: int) -> Column:
 
 def record_lines(spark: SparkSession, sf_dir: str, layout: RecordLayout) -> DataFrame:
     # In order of key, so the first line of a time is that of the lowest key.
-    cores = spark.sparkContext.defaultParallelism
-    orders = table(spark, sf_dir, "orders").repartitionByRange(cores, "o_orderkey").sortWithinPartitions("o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    orders = orders.repartitionByRange(shares(orders), "o_orderkey").sortWithinPartitions("o_orderkey")
     digits = [
         F.expr(_digits(f, i).replace(SEED, "seed")).cast("bigint").alias(f.name) for i, f in enumerate(layout.fields)
     ]

@@ -19,10 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Rows of one task where a record is costly to make or to parse.
+ROWS_PER_TASK = 50_000
+
+
+def shares(df: DataFrame) -> int:
+    """Tasks for the rows of a table: as many as cores, more for a larger table."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Share rows out where a small table comes as one split but its records are costly to make."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Share rows out evenly where a table comes as few splits, or as splits of unlike numbers
+    of rows, but its records are costly to make."""
+    return df.repartition(shares(df))
 
 
 # Solar-wind variable -> condition on an event.

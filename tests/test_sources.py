@@ -308,3 +308,12 @@ def test_files_go_through_the_store_some_at_a_time(spark):
 
     assert not any(table_exists(spark, folder) for folder, _ in seen)
     assert registered._through_store(spark, files.where("false"), records, "found").isEmpty()
+
+
+def test_costly_rows_are_shared_by_number(spark):
+    from sunloom.queries.inputs import ROWS_PER_TASK, spread
+
+    # All rows in one of many splits, as with one large row group.
+    clumped = spark.range(0, 10 * ROWS_PER_TASK, 1, 1).union(spark.range(0, 0, 1, 15))
+    sizes = spread(clumped).rdd.glom().map(len).collect()
+    assert sum(sizes) == 10 * ROWS_PER_TASK and max(sizes) <= 1.2 * ROWS_PER_TASK
