@@ -68,18 +68,20 @@ def read_index_json(spark, path: str, value_name: str, one_per_file: bool = True
 def unnest_document(documents: DataFrame, value_name: str) -> DataFrame:
     """Parallel arrays to one row per time."""
     pairs = documents.select(F.inline(F.arrays_zip("datetime", value_name)))
-    return pairs.select(parse_datetime(F.col("datetime")).alias("datetime"), F.col(value_name).cast("double"))
+    timed = computed_once(pairs, {"_when": parse_datetime(F.col("datetime"))})
+    return timed.select(F.col("_when").alias("datetime"), F.col(value_name).cast("double"))
 
 
 def merge_index_documents(hp_documents: DataFrame, ap_documents: DataFrame, spec: IndexSpec) -> DataFrame:
     """Outer merge of the two index series on their times."""
-    hp = unnest_document(hp_documents, spec.hp)
-    ap = unnest_document(ap_documents, spec.ap)
-    # Entries without a readable time match nothing and would meet in one task.
-    known = F.col("datetime").isNotNull()
-    merged = hp.where(known).join(ap.where(known), "datetime", "full")
-    for odd in (hp.where(~known), ap.where(~known)):
-        merged = merged.unionByName(odd, allowMissingColumns=True)
+    # Entries without a readable time match nothing; a number of their own keeps them from
+    # meeting in one task.
+    apart = F.when(F.col("datetime").isNull(), F.monotonically_increasing_id()).otherwise(-1)
+    hp, ap = (
+        unnest_document(documents, name).withColumn("_apart", apart)
+        for documents, name in ((hp_documents, spec.hp), (ap_documents, spec.ap))
+    )
+    merged = hp.join(ap, ["datetime", "_apart"], "full")
     when = F.col("datetime")
     return merged.select(
         when,
