@@ -12,6 +12,8 @@ from sunloom.functions.stages import computed_once
 from sunloom.sources.layouts import RecordLayout
 
 
+# Beyond these characters a number may have forms that only the cast takes, like 12.5f.
+_NOT_PLAIN = r"[^-+. 0-9]"
 LINE_ORDER = ("source_path", "block_start", "line_id")
 
 
@@ -39,11 +41,15 @@ def parse_fixed_width(lines: DataFrame, layout: RecordLayout, keep: Sequence[str
     pattern = "^" + "".join(f"(.{{{f.width}}})" for f in layout.fields)
     parted = "\n".join(f"${i}" for i, _ in enumerate(layout.fields, 1))
     line = F.rpad("value", layout.length, " ")
-    slices = F.transform(F.split(F.regexp_replace(line, pattern, parted), "\n"), bare_text)
-    cut = computed_once(lines.where(F.trim("value") != ""), {"_slice": slices})
+    slices = F.split(F.regexp_replace(line, pattern, parted), "\n")
+    plain = ~F.col("value").rlike(_NOT_PLAIN)
+    cut = computed_once(lines.where(F.trim("value") != ""), {"_slice": slices, "_plain": plain})
+    # On a plain line the cast alone tells numbers, without the checks of each slice.
+    quick = F.transform(F.transform("_slice", lambda text: F.trim(text)), lambda text: F.when(text != "", text.try_cast("double")))
+    checked = F.transform(F.transform("_slice", bare_text), to_number)
     fills = F.array(*[F.lit(f.fill).cast("double") for f in layout.fields])
     numbers = F.zip_with(
-        F.transform("_slice", to_number),
+        F.when(F.col("_plain"), quick).otherwise(checked),
         fills,
         lambda number, fill: F.when(fill.isNull() | (number != fill), number),
     )

@@ -317,3 +317,34 @@ def test_costly_rows_are_shared_by_number(spark):
     clumped = spark.range(0, 10 * ROWS_PER_TASK, 1, 1).union(spark.range(0, 0, 1, 15))
     sizes = spread(clumped).rdd.glom().map(len).collect()
     assert sum(sizes) == 10 * ROWS_PER_TASK and max(sizes) <= 1.2 * ROWS_PER_TASK
+
+
+def test_cut_units_leave_what_follows_the_header(spark):
+    cards = ["SIMPLE  =                    T", "NAXIS   =                    1", "NAXIS1  =                    5", "BITPIX  =   16", "END"]
+    whole = "".join(c.ljust(80) for c in cards).ljust(2880).encode() + bytes(2880) + b"XTENSION= 'IMAGE   '".ljust(80)
+    bare = "".join(c.ljust(80) for c in (cards[0], cards[-1])).ljust(2880).encode()
+    raw = spark.createDataFrame([("a", whole), ("b", bare), ("c", b"no image"), ("d", None)], "path string, content binary")
+    cut = {r.path: (r.head0, r.head1) for r in cut_units(raw).collect()}
+    assert cut["a"] == (whole[:400], whole[5760:]) and cut["b"] == (bare[:160], None)
+    assert cut["c"] == cut["d"] == (None, None)
+
+
+def test_index_documents_are_read_once(spark, tmp_path):
+    hp, ap = ([{"datetime": [t, "odd", None], name: [1.0, 2.0, 3.0]}] for t, name in (("2024-01-01T00:00:00Z", "Hp30"), ("2024-01-01T00:30:00Z", "ap30")))
+    for name, documents in (("hp", hp), ("ap", ap)):
+        (tmp_path / f"{name}.json").write_text(json.dumps(documents))
+    merged = merge_index_documents(
+        read_index_json(spark, str(tmp_path / "hp.json"), "Hp30"), read_index_json(spark, str(tmp_path / "ap.json"), "ap30"), HP30
+    )
+    rows = sorted((r.datetime is None, r.Hp30 or 0, r.ap30 or 0) for r in merged.collect())
+    assert rows == [(False, 0, 1), (False, 1, 0), (True, 0, 2), (True, 0, 3), (True, 2, 0), (True, 3, 0)]
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("json") == 2
+
+
+def test_plain_lines_are_cast_without_checks(spark):
+    lines = [_minute_line(), _minute_line(Flow_Speed_km_s="-1.5", By_GSE_nT="1 2", Bz_GSE_nT="", Bx_GSE_nT="3-"), _minute_line(Bx_GSE_nT="12.5f")]
+    frame = spark.createDataFrame([(x,) for x in lines], "value string")
+    parsed = parse_fixed_width(frame, MINUTE)
+    rows = parsed.select("Flow_Speed_km_s", "Bx_GSE_nT", "By_GSE_nT", "Bz_GSE_nT").collect()
+    assert [tuple(r) for r in rows] == [(1, 1, 1, 1), (-1.5, None, None, None), (1, None, 1, 1)]
+    assert "_plain" in parsed._jdf.queryExecution().analyzed().toString()
