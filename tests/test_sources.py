@@ -348,3 +348,13 @@ def test_plain_lines_are_cast_without_checks(spark):
     rows = parsed.select("Flow_Speed_km_s", "Bx_GSE_nT", "By_GSE_nT", "Bz_GSE_nT").collect()
     assert [tuple(r) for r in rows] == [(1, 1, 1, 1), (-1.5, None, None, None), (1, None, 1, 1)]
     assert "_plain" in parsed._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_share_of_a_shuffle_is_bounded(spark):
+    from sunloom.session import apply_settings
+
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    apply_settings(session)
+    rows = session.range(1_000_000).selectExpr("id", "uuid() AS name").repartition("id")
+    assert rows.rdd.getNumPartitions() > 2
