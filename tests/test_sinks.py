@@ -322,3 +322,28 @@ def test_ledger_of_file_fates(spark, tmp_path):
     assert next_run(spark, ledger) == 2
     assert run() == 2 and fates() == now
     assert read_table(spark, root, TABLES["lasco"]).count() == 2
+
+
+def test_a_long_chain_moves_few_rows(spark, monkeypatch):
+    from sunloom.operators import inserts
+
+    moved, kept = [], inserts.materialise
+
+    def counted(df, name):
+        made = kept(df, name)
+        moved.extend([made.count()] if name == "chains" else [])
+        return made
+
+    monkeypatch.setattr(inserts, "materialise", counted)
+    monkeypatch.setattr(inserts, "DOUBLED_ROWS", 100, raising=False)
+    # One chain of 4,000 rows and many of up to 7, in ids without their order.
+    rows = spark.range(4000).selectExpr("id", "concat('k', (id + 1) div 2) AS k", "concat('p', id div 2) AS p")
+    short = spark.range(4000).selectExpr(
+        "id + 4000 AS id",
+        "concat('s', id div 7, 'k', (id % 7 + 1) div 2) AS k",
+        "concat('s', id div 7, 'p', id % 7 div 2) AS p",
+    )
+    taken = inserts.accept_in_order(rows.unionByName(short), ("k",), "p", "id")
+    expected = set(range(0, 4000, 2)) | {4000 + i for i in range(4000) if i % 7 % 2 == 0}
+    assert {r.id for r in taken.select("id").collect()} == expected
+    assert sum(moved) < 5 * 8000
