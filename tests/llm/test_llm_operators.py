@@ -567,6 +567,27 @@ def test_keys_beyond_the_first_characters_are_found():
         assert secret_scan.find([plain], net) == [([], [])]
 
 
+def test_every_value_of_every_text_is_an_example(spark):
+    rng = random.Random(13)
+    key = lambda: "".join(rng.choices("0123456789abcdef", k=40))
+    short, long = [key() for _ in range(2500)], [key() for _ in range(400)]
+    rows = [f"of {k} in" for k in short] + [" and some more words between them ".join(long)]
+    assert len(rows[-1]) > 20_000
+    found = secret_scan.table_examples(brute.documents(spark, rows + rows[:5]).select("text"))
+    values = [r.string for r in found.where("label = 1").collect()]
+    assert sorted(values) == sorted(short + long)
+
+
+def test_network_does_not_depend_on_spread_or_copies(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "SHARD", 200)
+    monkeypatch.setattr(secret_scan, "FIRST", 50)
+    monkeypatch.setattr(secret_scan, "FIRST_WINDOWS", 5000)
+    rows, _, _ = _key_texts()
+    nets = [secret_scan.train(brute.documents(spark, r).repartition(n)) for r, n in ((rows, 1), (rows + rows[::7], 5))]
+    assert all((nets[0].params[k] == nets[1].params[k]).all() for k in nets[0].params)
+    assert nets[0].threshold == pytest.approx(nets[1].threshold)
+
+
 def test_spellings_of_a_finding_are_held_back_together():
     rows, _, _ = _key_texts()
     windows, y, groups = secret_scan.examples(rows)
