@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sunloom import versions
 from sunloom.plans import images
 from sunloom.plans.ingest import ingest_nowcast
-from sunloom.sinks import exports
+from sunloom.sinks import exports, tables
 from sunloom.sinks.paths import known_values
 from sunloom.sinks.tables import append_rows, compact, delete_orphans, insert_ignore, replace_years
 from sunloom.sources.fixed_width import read_lines
@@ -50,6 +50,36 @@ def test_insert_ignore_counts_and_repeats(spark, tmp_path):
     assert rows == {(16, T0): 2.0, (17, T0): 3.0, (16, T0 + timedelta(days=400)): 5.0}
 
 
+@pytest.mark.parametrize("repeats, staged", [(1, ["batch"]), (20, ["batch", "fresh"])])
+def test_first_insert_moves_rows_once(spark, tmp_path, monkeypatch, repeats, staged):
+    made, plans = [], []
+    stage, write = tables.materialise, versions.write_parts
+    monkeypatch.setattr(tables, "materialise", lambda df, name: made.append(name) or stage(df, name))
+    monkeypatch.setattr(
+        versions, "write_parts", lambda df, *to: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, *to)
+    )
+    # Of 100 keys one, at the end of the year, comes several times; a row of another one lacks a time.
+    last = datetime(2024, 12, 31, 23, 59)
+    rows = [(16 + k % 2, T0 + timedelta(hours=k), float(k), k) for k in range(99)]
+    rows += [(16, last, 1000.0 - k, 999 - k) for k in range(repeats + 1)] + [(17, None, 0.0, 5)]
+    counts = insert_ignore(_mag(spark, rows).repartition(7), MAG, str(tmp_path), ("n",))
+    assert (counts.offered, counts.inserted, counts.refused) == (100 + repeats, 100, 1)
+    held = {(r["satellite"], r["datetime"]): r["bx_nt"] for r in read_table(spark, str(tmp_path), MAG).collect()}
+    assert held == {(s, t): x for s, t, x, _ in rows[:99]} | {(16, last): 1000.0 - repeats}
+    assert made == staged and [p.count("Exchange") for p in plans] == [1]
+
+
+def test_first_insert_with_a_stored_year_beside_the_key(spark, tmp_path):
+    spec = TABLES["hpo_hp30"]
+    schema = "datetime timestamp_ntz, year int, month int, day int, hh_start double, hp30 double, n int"
+    rows = [(T0 + timedelta(hours=k), 2024, 1, 1, 0.0, float(k), k) for k in range(50)]
+    # The key is the time alone, whatever year is stored.
+    rows.append((T0, 2023, 1, 1, 0.0, 99.0, 99))
+    assert insert_ignore(spark.createDataFrame(rows, schema), spec, str(tmp_path), ("n",)).inserted == 50
+    held = read_table(spark, str(tmp_path), spec).where(F.col("datetime") == T0).collect()
+    assert [(r["year"], r["hp30"]) for r in held] == [(2024, 0.0)]
+
+
 def test_replace_keeps_other_years_and_repeats(spark, tmp_path):
     root = str(tmp_path)
     replace_years(_mag(spark, [(16, T0, 1.0, 1), (16, datetime(2023, 5, 1), 2.0, 2)]), MAG, root)
