@@ -30,12 +30,13 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import cycle, islice
-from string import ascii_letters
+from itertools import chain, cycle, islice
+from string import ascii_letters, digits
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,8 +50,8 @@ ADDED = "network"
 NAMES = 500
 # A known word is one of so many (text, word) pairs, so there are at most as many known words.
 PAIRS = 1_000_000
-# Words a task counts before it hands them on.
-HELD_WORDS = 200_000
+# Words a task counts before it hands them on, and characters whose words it finds together.
+HELD_WORDS, TOGETHER = 200_000, 1_000_000
 # Examples of each label that give the first values, and the windows drawn from them.
 FIRST, FIRST_WINDOWS = 2048, 40_000
 # Examples of a shard, and rounds of shards; each example teaches in one round.
@@ -69,24 +70,52 @@ _ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A
 )
 # A text without any of these, lowered, has no assignment.
-_NAMES = ("passw", "secret", "token", "api")
+_NAMES = (b"passw", b"secret", b"token", b"api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{14,}[A-Za-z0-9+/_=-]")
 _DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+# For each byte of ``narrow``, whether it stands for a character of a key.
+_KEY = bytes(chr(b) in ascii_letters + digits + "+/_.=-" for b in range(256))
+
+
+def narrow(text: str) -> bytes:
+    """A byte for each character: ASCII as it is, but a blank for ``?``, which stands for all beyond Latin-1."""
+    return text.replace("?", " ").encode("latin-1", "replace")
+
+
+def long_runs(line: bytes, table: bytes, least: int) -> Iterator[tuple[int, int]]:
+    """The longest runs of bytes that the table gives 1, of ``least`` and more."""
+    marks, run, end = line.translate(table), b"\1" * least, 0
+    while (start := marks.find(run, end)) >= 0:
+        end = marks.find(b"\0", start)
+        if end < 0:
+            end = len(marks)
+        yield start, end
+
+
+def key_runs(line: bytes) -> list[tuple[int, int]]:
+    """Where keys by their look, hexadecimal runs and candidates can be."""
+    return list(long_runs(line, _KEY, 16))
 
 
 def base_spans(text: str | None) -> list[Span]:
     """Spans of the fixed patterns, by start, then by kind as listed."""
     if not text:
         return []
+    line = narrow(text)
+    return base_within(text, line, key_runs(line))
+
+
+def base_within(text: str, line: bytes, runs: list[tuple[int, int]]) -> list[Span]:
+    """The base spans of a text with its ``narrow`` form and that form's ``key_runs``."""
     spans: list[Span] = []
-    lowered = text.lower()
+    lowered = line.lower()
     if any(name in lowered for name in _NAMES):
         spans += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
-    if "AKIA" in text:
-        spans += [("access", *m.span()) for m in _ACCESS.finditer(text)]
-    spans += [("hex", *m.span()) for m in _HEX.finditer(text)]
+    if b"AKIA" in line:
+        spans += [("access", *m.span()) for run in runs for m in _ACCESS.finditer(text, *run)]
+    spans += [("hex", *m.span()) for run in runs for m in _HEX.finditer(text, *run)]
     return by_start(spans)
 
 
@@ -95,10 +124,10 @@ def by_start(spans: list[Span]) -> list[Span]:
     return sorted(spans, key=lambda s: (s[1], order.index(s[0])))
 
 
-def candidates(text: str, base: list[Span], need_digit: bool = True) -> list[tuple[int, int]]:
-    """Long runs of key characters that no base span touches."""
+def candidates(text: str, runs: list[tuple[int, int]], base: list[Span], need_digit: bool = True) -> list[tuple[int, int]]:
+    """Long runs of key characters, in the ``key_runs``, that no base span touches."""
     out, taken = [], touching((a, b) for _, a, b in base)
-    for m in _CANDIDATE.finditer(text):
+    for m in chain.from_iterable(_CANDIDATE.finditer(text, *run) for run in runs):
         a, b = m.span()
         if need_digit and not (_DIGIT.search(text, a, b) and _LETTER.search(text, a, b)):
             continue
@@ -123,17 +152,30 @@ class _Classes(dict):
 _CLASS_OF = _Classes()
 
 
-def encode(text: str, start: int, end: int, blank: bool = False) -> np.ndarray:
-    """Class of each place of the window; 0 is nothing. The second row marks the candidate."""
-    left = "" if blank else text[max(0, start - BEFORE) : start]
+# What the window of a candidate shows: before it, of it, behind it.
+Parts = tuple[str, str, str]
+
+
+def parts_of(text: str, start: int, end: int, blank: bool = False) -> Parts:
     inner = text[start : min(end, start + INSIDE)]
-    right = "" if blank else text[end : end + AFTER]
-    classes = [part.translate(_CLASS_OF) for part in (left, inner, right)]
-    line = classes[0].rjust(BEFORE, "\0") + classes[1].ljust(INSIDE, "\0") + classes[2].ljust(AFTER, "\0")
-    window = np.zeros((2, BEFORE + INSIDE + AFTER), dtype=np.int64)
-    window[0] = np.frombuffer(line.encode("latin-1"), np.uint8)
-    window[1, BEFORE : BEFORE + len(inner)] = 1
-    return window
+    return ("", inner, "") if blank else (text[max(0, start - BEFORE) : start], inner, text[end : end + AFTER])
+
+
+def encode(text: str, start: int, end: int, blank: bool = False) -> np.ndarray:
+    return encode_all([parts_of(text, start, end, blank)])[0]
+
+
+def encode_all(shown: list[Parts]) -> np.ndarray:
+    """Class of each place of each window; 0 is nothing. The second row marks the candidate."""
+    windows = np.zeros((len(shown), 2, BEFORE + INSIDE + AFTER), dtype=np.int64)
+    sizes = np.array([(len(left), len(inner), len(right)) for left, inner, right in shown], dtype=np.int64).reshape(-1, 3)
+    place = np.arange(windows.shape[2])
+    left, inner, right = sizes.T[:, :, None]
+    windows[:, 1] = inside = (place >= BEFORE) & (place < BEFORE + inner)
+    filled = inside | (place >= BEFORE - left) & (place < BEFORE) | (place >= BEFORE + INSIDE) & (place < BEFORE + INSIDE + right)
+    classes = "".join(chain.from_iterable(shown)).translate(_CLASS_OF)
+    windows[:, 0][filled] = np.frombuffer(classes.encode("latin-1"), np.uint8)
+    return windows
 
 
 def stretches(a: int, b: int) -> list[tuple[int, int]]:
@@ -165,39 +207,41 @@ class Network:
 
 
 def _forward(p: dict[str, np.ndarray], windows: np.ndarray):
-    x = np.concatenate([p["embed"][windows[:, 0]], windows[:, 1, :, None].astype(np.float32)], axis=2)
-    n, length, depth = x.shape
-    view = np.lib.stride_tricks.sliding_window_view(x, WIDTH, axis=1)
-    patches = view.transpose(0, 1, 3, 2).reshape(n, length - WIDTH + 1, WIDTH * depth)
-    conv = np.maximum(patches @ p["kernel"] + p["bias"], 0)
-    # Maxima and means over places.
-    best = conv.argmax(axis=1)
-    pooled = np.concatenate([conv.max(axis=1), conv.mean(axis=1)], axis=1)
+    # Rows of the classes outside the candidate, then of those inside.
+    marked = np.stack([np.insert(p["embed"], EMBED, mark, axis=1) for mark in (0, 1)]).reshape(-1, EMBED + 1)
+    view = np.lib.stride_tricks.sliding_window_view(windows[:, 0] + N_CLASSES * windows[:, 1], WIDTH, axis=1)
+    patches = marked.take(view, axis=0).reshape(*view.shape[:2], WIDTH * (EMBED + 1))
+    conv = patches @ p["kernel"]
+    conv += p["bias"]
+    np.maximum(conv, 0, out=conv)
+    # Maxima and means over places, which are quicker with the places in front.
+    by_place = conv.transpose(1, 0, 2).copy()
+    pooled = np.concatenate([by_place.max(axis=0), by_place.mean(axis=0)], axis=1)
     hidden = np.maximum(pooled @ p["w1"] + p["b1"], 0)
-    return hidden @ p["w2"] + p["b2"][0], (x, patches, conv, best, pooled, hidden)
+    return hidden @ p["w2"] + p["b2"][0], (patches, conv, pooled, hidden)
 
 
 def _gradients(p: dict[str, np.ndarray], windows: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-    z, (x, patches, conv, best, pooled, hidden) = _forward(p, windows)
-    n = len(y)
+    z, (patches, conv, pooled, hidden) = _forward(p, windows)
+    n, places, _ = conv.shape
     dz = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
     grads = {"w2": hidden.T @ dz, "b2": np.array([dz.sum()])}
     dh = np.outer(dz, p["w2"]) * (hidden > 0)
     grads |= {"w1": pooled.T @ dh, "b1": dh.sum(axis=0)}
     dp = dh @ p["w1"].T
-    places = conv.shape[1]
-    dconv = np.broadcast_to(dp[:, None, FILTERS:] / places, conv.shape).copy()
+    dconv = (conv > 0) * (dp[:, None, FILTERS:] / places)
     rows, filters = np.arange(n)[:, None], np.arange(FILTERS)
-    dconv[rows, best, filters] += dp[:, :FILTERS]
-    dconv *= conv > 0
+    dconv[rows, conv.argmax(axis=1), filters] += dp[:, :FILTERS] * (pooled[:, :FILTERS] > 0)
     flat = dconv.reshape(-1, FILTERS)
     grads |= {"kernel": patches.reshape(len(flat), -1).T @ flat, "bias": flat.sum(axis=0)}
-    dpatch = (flat @ p["kernel"].T).reshape(n, places, WIDTH, x.shape[2])
-    dx = np.zeros_like(x)
+    # Of the embedding only, a row for each of its parts.
+    weights = p["kernel"].reshape(WIDTH, EMBED + 1, FILTERS)[:, :EMBED]
+    dpatch = (weights.reshape(-1, FILTERS) @ flat.T).reshape(WIDTH, EMBED, n, places)
+    dx = np.zeros((EMBED, n, windows.shape[2]), dpatch.dtype)
     for k in range(WIDTH):
-        dx[:, k : k + places] += dpatch[:, :, k]
+        dx[:, :, k : k + places] += dpatch[k]
     classes = windows[:, 0].ravel()
-    embed = [np.bincount(classes, dx[:, :, k].ravel(), N_CLASSES) for k in range(EMBED)]
+    embed = [np.bincount(classes, part.ravel(), N_CLASSES) for part in dx]
     return grads | {"embed": np.stack(embed, axis=1)}
 
 
@@ -289,7 +333,7 @@ def _calibrate(z: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, floa
 _WORD = re.compile(r"[A-Za-z]{4,}")
 _PART = re.compile(r"([A-Za-z]*)([0-9]*)")
 # Tried within runs of ASCII letters and anything beyond ASCII, which are found faster.
-_LONG_RUN = re.compile(r"[A-Za-z\x80-\U0010ffff]{12,}")
+_LETTER_OR_BEYOND = bytes(b >= 128 or chr(b) in ascii_letters + "?" for b in range(256))
 _LONG_WORD = re.compile(r"[^\W\d_]{12,}")
 _ALPHABETS = ("0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 
@@ -313,6 +357,47 @@ def known_words(texts: list[str]) -> set[str]:
     return {w.decode() for w, n in seen.items() if n > 1}
 
 
+# For each size of a word, ones in so many of sixteen bytes; ``_SMALL`` is the bit that tells small letters.
+_SIZED = ((np.arange(16) < np.arange(16)[:, None]) * np.uint8(255)).view(np.uint64)
+_SMALL, _FIRST_SMALL = (np.array(b, np.uint8).view(np.uint64) for b in ([32] * 16, [32] + [0] * 15))
+
+
+def counted_words(texts: list[str], hashes: np.ndarray) -> pa.Table:
+    """Each of the ``text_words`` of all the texts, in sixteen bytes with zeros behind: how many texts
+    use it, their least and greatest hash."""
+    encoded = [t.encode() for t in texts]
+    line = np.frombuffer(b" ".join([b"", *encoded, bytes(16)]).translate(_LETTERS), np.uint8)
+    letter = line != 32
+    edges = np.flatnonzero(letter[1:] != letter[:-1]) + 1
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    fits = (sizes >= 4) & (sizes <= 15)
+    starts, sized = starts[fits], _SIZED[sizes[fits]]
+    words = np.lib.stride_tricks.sliding_window_view(line, 16)[starts].view(np.uint64) & sized
+    small, every = words & _SMALL, sized & _SMALL
+
+    def equal(bits):
+        return (small[:, 0] == bits[:, 0]) & (small[:, 1] == bits[:, 1])
+
+    # As ``_even_case``: small letters only, none, or all but the first.
+    even = equal(every) | equal(np.zeros_like(every)) | equal(every & ~_FIRST_SMALL)
+    words = (words | every)[even]
+    coded = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(words), [None, pa.py_buffer(words)]).dictionary_encode()
+    text = np.searchsorted(np.cumsum([len(e) + 1 for e in encoded]), starts[even], side="right")
+    # A word counts once in a text.
+    pairs = np.sort(coded.indices.to_numpy().astype(np.int64) * len(texts) + text)
+    pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+    n = np.bincount(pairs // len(texts))
+    first, hashes = np.cumsum(n) - n, hashes[pairs % len(texts)]
+    columns = [n, np.minimum.reduceat(hashes, first), np.maximum.reduceat(hashes, first)] if len(n) else [hashes[:0]] * 3
+    return pa.table([coded.dictionary, *columns], ["word", "n", "lo", "hi"])
+
+
+def added_up(counts: list[pa.Table]) -> pa.Table:
+    """Tables of ``counted_words`` as one, each word once."""
+    one = pa.concat_tables(counts).group_by("word", use_threads=False)
+    return one.aggregate([("n", "sum"), ("lo", "min"), ("hi", "max")]).rename_columns(["word", "n", "lo", "hi"])
+
+
 def surely_plain(run: str, known: set[str]) -> bool:
     """Whether a run is words and short numbers between marks, half of it or more known words."""
     letters = 0
@@ -333,7 +418,9 @@ Example = tuple[int, str, str, str]
 
 def text_examples(text: str, known: set[str]) -> Iterator[Example]:
     """Values of base spans (label 1) and runs that are surely no secret (label 0)."""
-    base = base_spans(text)
+    line = narrow(text)
+    runs = key_runs(line)
+    base = base_within(text, line, runs)
     taken = touching((a, b) for _, a, b in base)
 
     def of(label: int, a: int, b: int, string: str | None = None) -> Example:
@@ -345,12 +432,12 @@ def text_examples(text: str, known: set[str]) -> Iterator[Example]:
             a, b = m.span(2) if m else (a, b)
         if b - a >= 16 and not surely_plain(text[a:b], known):
             yield of(1, a, b)
-    for a, b in candidates(text, base, need_digit=False):
+    for a, b in candidates(text, runs, base, need_digit=False):
         if surely_plain(text[a:b], known):
             yield of(0, a, b)
     # Words side by side with other marks stand for long runs that are no secrets.
-    for run in _LONG_RUN.finditer(text):
-        for m in _LONG_WORD.finditer(text, *run.span()):
+    for run in long_runs(line, _LETTER_OR_BEYOND, 12):
+        for m in _LONG_WORD.finditer(text, *run):
             if _even_case(m[0]) and not taken(*m.span()):
                 yield of(0, *m.span())
     # So do names made of words that follow each other, with a number.
@@ -382,9 +469,9 @@ def spelled(example: Example, plain: list[Example], rng: random.Random) -> list[
     return [(before, s, behind) for s in (string, other) for before, behind in sides]
 
 
-def windows_of(before: str, string: str, behind: str) -> Iterator[np.ndarray]:
+def windows_of(before: str, string: str, behind: str) -> Iterator[Parts]:
     for x, y in stretches(len(before), len(before) + len(string)):
-        yield encode(before + string + behind, x, y)
+        yield parts_of(before + string + behind, x, y)
 
 
 def examples(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -402,9 +489,7 @@ def examples(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 windows.append(window)
                 labels.append(example[0])
                 groups.append(number)
-    if not windows:
-        return np.zeros((0, 2, BEFORE + INSIDE + AFTER), np.int64), np.zeros(0), np.zeros(0, np.int64)
-    return np.stack(windows), np.array(labels, dtype=np.float32), np.array(groups)
+    return encode_all(windows), np.array(labels, dtype=np.float32), np.array(groups, dtype=np.int64)
 
 
 def drawn(rows: list[Example], seed: int, most: int | None = None, batch: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -420,42 +505,34 @@ def drawn(rows: list[Example], seed: int, most: int | None = None, batch: int =
     for _ in range(min(72, max(1, most // max(1, len(turn)))) if most else 1):
         rng.shuffle(turn)
         for at in range(0, len(turn), batch):
-            part, windows = turn[at : at + batch], []
+            part, shown = turn[at : at + batch], []
             for example in part:
                 before, string, behind = rng.choice(spelled(example, labelled[0], rng))
                 x, y = rng.choice(stretches(len(before), len(before) + len(string)))
-                windows.append(encode(before + string + behind, x, y))
-            yield np.stack(windows), np.array([e[0] for e in part], dtype=np.float32)
+                shown.append(parts_of(before + string + behind, x, y))
+            yield encode_all(shown), np.array([e[0] for e in part], dtype=np.float32)
 
 
 def table_words(texts: DataFrame) -> set[str]:
     """Words that two different texts use, and one in ``PAIRS`` of all pairs of a text and its word."""
 
-    def count(batches):
-        held: dict[bytes, list[int]] = {}
-
-        def out():
-            words = [w.decode() for w in held]
-            n, lo, hi = zip(*held.values()) if held else ((), (), ())
-            columns = [pa.array(words, pa.string()), *[pa.array(c, pa.int64()) for c in (n, lo, hi)]]
-            held.clear()
-            return pa.RecordBatch.from_arrays(columns, ["word", "n", "lo", "hi"])
+    def out(counts: pa.Table) -> Iterator[pa.RecordBatch]:
+        words = pc.ascii_rtrim(counts["word"].cast(pa.binary()).cast(pa.string()), "\0")
+        return iter(counts.set_column(0, "word", words).to_batches())
 
+    def count(batches):
+        held: list[pa.Table] = []
         for batch in slices(batches):
-            for text, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist()):
-                for word in text_words(text):
-                    seen = held.get(word)
-                    if seen is None:
-                        held[word] = [1, h, h]
-                    else:
-                        seen[0] += 1
-                        if h < seen[1]:
-                            seen[1] = h
-                        elif h > seen[2]:
-                            seen[2] = h
-            if len(held) > HELD_WORDS:
-                yield out()
-        yield out()
+            texts, hashes = batch.column("text").to_pylist(), batch.column("h").to_numpy()
+            place = np.cumsum([len(t) for t in texts]) // TOGETHER
+            for part in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(place)) + 1):
+                held.append(counted_words([texts[i] for i in part], hashes[part]))
+            if sum(c.num_rows for c in held) > 2 * HELD_WORDS:
+                held = [added_up(held)]
+                if held[0].num_rows > HELD_WORDS:
+                    yield from out(held.pop())
+        if held:
+            yield from out(added_up(held))
 
     hashed = texts.select("text", F.xxhash64("text").alias("h"))
     counted = hashed.mapInArrow(count, "word string, n long, lo long, hi long").groupBy("word")
@@ -547,21 +624,26 @@ def train(documents: DataFrame) -> Network | None:
     return settled(params, *_held_scores(found.where("held"), params))
 
 
-def likeliest(score: Callable[[np.ndarray], np.ndarray], n: int, windows: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
+def likeliest(score: Callable[[np.ndarray], np.ndarray], n: int, windows: Iterator[tuple[int, Parts]]) -> np.ndarray:
     """The greatest score of the windows of each of ``n`` strings."""
     most = np.full(n, -np.inf)
     while part := list(islice(windows, 512)):
-        np.maximum.at(most, [k for k, _ in part], score(np.stack([w for _, w in part])))
+        np.maximum.at(most, [k for k, _ in part], score(encode_all([w for _, w in part])))
     return most
 
 
 def find(texts: list[str | None], net: Network | None) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and added spans of each text; the candidates are scored together."""
-    out = [(base_spans(t), []) for t in texts]
+    out, where = [], []
+    for i, text in enumerate(texts):
+        line = narrow(text or "")
+        runs = key_runs(line)
+        base = base_within(text, line, runs) if text else []
+        out.append((base, []))
+        where += [(i, a, b) for a, b in candidates(text, runs, base)] if text and net else []
     if net is None:
         return out
-    where = [(i, a, b) for i, t in enumerate(texts) if t for a, b in candidates(t, out[i][0])]
-    parts = ((k, encode(texts[i], x, y)) for k, (i, a, b) in enumerate(where) for x, y in stretches(a, b))
+    parts = ((k, parts_of(texts[i], x, y)) for k, (i, a, b) in enumerate(where) for x, y in stretches(a, b))
     most = likeliest(net.probabilities, len(where), parts)
     for (i, a, b), chance in zip(where, most):
         if chance >= net.threshold:

@@ -510,6 +510,62 @@ def test_secret_patterns_on_any_text(parts):
     assert secret_scan.base_spans(text) == brute.secrets(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aZkK9+/.=-_ ?é漢𝒳", max_size=20) | st.sampled_from(["Ab9+/" * 5, "Ünïcödewörtermitenden", "0f" * 14]), max_size=8))
+def test_long_runs_are_those_of_the_text(parts):
+    text = "".join(parts)
+    line = secret_scan.narrow(text)
+    assert len(line) == len(text)
+    assert secret_scan.key_runs(line) == [m.span() for m in re.finditer("[A-Za-z0-9+/_.=-]{16,}", text)]
+    runs = secret_scan.long_runs(line, secret_scan._LETTER_OR_BEYOND, 12)
+    assert list(runs) == [m.span() for m in re.finditer("[A-Za-z\\x80-\U0010ffff]{12,}", text)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["Word", "wOrd", "WORD", "word", "sixteenlettersxy", "fifteenlettersx", "é", "\0", "?", " ", "9"])), max_size=6))
+def test_words_are_counted_once_a_text(parts):
+    texts, seen = ["".join(p) for p in parts], {}
+    for h, text in enumerate(texts):
+        for word in secret_scan.text_words(text):
+            seen.setdefault(word, []).append(-h)
+    half = len(texts) // 2
+    hashes = -np.arange(len(texts))
+    counts = [secret_scan.counted_words(texts[p], hashes[p]) for p in (slice(half), slice(half, None))]
+    found = [(r["word"].rstrip(b"\0"), r["n"], r["lo"], r["hi"]) for r in secret_scan.added_up(counts).to_pylist()]
+    assert sorted(found) == sorted((w, len(h), min(h), max(h)) for w, h in seen.items())
+
+
+def test_windows_encoded_together_are_those_of_each():
+    text = "é\r\n漢?\0 token = " + "Ab9+/" * 30 + "\x85 𝒳 end"
+    places = [(a, b) for a in (0, 3, 20, 60) for b in (a, a + 5, a + 48, len(text))]
+    windows = secret_scan.encode_all([secret_scan.parts_of(text, a, b) for a, b in places])
+    for (a, b), (classes, marks) in zip(places, windows):
+        inner = text[a : min(b, a + secret_scan.INSIDE)]
+        shown = {secret_scan.BEFORE - a + i: c for i, c in enumerate(text[:a]) if a - i <= secret_scan.BEFORE}
+        shown |= {secret_scan.BEFORE + i: c for i, c in enumerate(inner)}
+        shown |= {secret_scan.BEFORE + secret_scan.INSIDE + i: c for i, c in enumerate(text[b : b + secret_scan.AFTER])}
+        assert classes.tolist() == [ord(secret_scan._CLASS_OF[ord(shown[i])]) if i in shown else 0 for i in range(80)]
+        assert np.flatnonzero(marks).tolist() == [secret_scan.BEFORE + i for i in range(len(inner))]
+
+
+def test_texts_are_scanned_in_less_time_than_by_the_patterns():
+    rng = random.Random(14)
+    text = " ".join("".join(rng.choices("etaoinshrdabcf", k=rng.randint(2, 11))) for _ in range(60_000))
+    net = secret_scan.Network(secret_scan.first_params(np.random.default_rng(7)))
+    patterns = re.compile("[0-9a-f]{24,}"), re.compile("[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{14,}[A-Za-z0-9+/_=-]")
+
+    def seconds(run):
+        times = []
+        for _ in range(5):
+            start = time.process_time()
+            run()
+            times.append(time.process_time() - start)
+        return min(times)
+
+    by_patterns = seconds(lambda: [list(p.finditer(text)) for p in patterns])
+    assert seconds(lambda: secret_scan.find([text], net)) < 0.6 * by_patterns
+
+
 def test_network_finds_new_secrets(spark):
     rng = random.Random(11)
     word = lambda: "".join(rng.choices("etaoinshr", k=rng.randint(2, 9)))
