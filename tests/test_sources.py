@@ -358,3 +358,61 @@ def test_a_share_of_a_shuffle_is_bounded(spark):
     apply_settings(session)
     rows = session.range(1_000_000).selectExpr("id", "uuid() AS name").repartition("id")
     assert rows.rdd.getNumPartitions() > 2
+
+
+def test_tasks_list_as_spark_does(spark, tmp_path):
+    for name in ("a.fits", "b.fts", "sub dir%/c.fits", "sub dir%/deep/d.fits", "sub dir%/[e].fits", "empty.fits",
+                 ".hidden.fits", "_hidden.fits", "_x=1/f.fits", "_gone/g.fits", ".gone/h.fits", "i.fits._COPYING_"):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"" if "empty" in name else name.encode())
+    for root in (str(tmp_path), f"file:{tmp_path}/", f"{tmp_path}//sub dir%"):
+        for pattern in ("*", "*.fits", "{a,c}.f?ts", "[a-c].*", "*.none"):
+            reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            told = reader.option("pathGlobFilter", pattern).load(root).select("path", "length", "modificationTime")
+            found = list_files(spark, root, pattern)
+            assert sorted(r[:3] for r in found.collect()) == sorted(map(tuple, told.collect())), (root, pattern)
+    # The driver sees folders only: no file scan with its list of files.
+    assert "binaryFile" not in found._jdf.queryExecution().toString()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        list_files(spark, str(tmp_path / "nowhere"))
+
+
+def test_images_take_the_places_of_those_before(spark, tmp_path):
+    from sunloom.queries import registered
+
+    def put(ids, tasks):
+        files = ids.selectExpr("concat('/in/', id, '.fits') AS path", "CAST(repeat(id, CAST(id % 3 AS int) * 4000 + 1) AS binary) AS content")
+        return registered.write_images(files.repartition(tasks), str(tmp_path))
+
+    def held():
+        return {p.name: p.read_bytes() for p in tmp_path.rglob("*.fits")}
+
+    def expected(ids):
+        return {f"{i}.fits": str(i).encode() * (i % 3 * 4000 + 1) for i in ids}
+
+    def places():
+        return {p.stat().st_ino for p in tmp_path.rglob("*.fits")}
+
+    assert put(spark.range(100, 160), 3) == 60 and held() == expected(range(100, 160))
+    # Writers do not share a folder.
+    assert len({p.parent for p in tmp_path.rglob("*.fits")}) == 3
+    before = places()
+    assert put(spark.range(200, 260), 3) == 60 and held() == expected(range(200, 260))
+    assert len(before & places()) == 60
+    # Names that were there, fewer files and fewer tasks leave nothing behind.
+    assert put(spark.range(250, 270), 2) == 20 and held() == expected(range(250, 270))
+    registered.remove_folders(spark, str(tmp_path))
+    assert not list(tmp_path.iterdir())
+
+
+def test_paths_of_records_do_not_tell_when_files_lay_in_the_store(spark):
+    from sunloom.queries import registered
+
+    files = spark.range(40).selectExpr("concat('/in/', id + 100, '.fits') AS path", "CAST('nothing' AS binary) AS content")
+
+    def records(folder):
+        return registered._listed(spark, folder, "*.fits", images.SDO_KEYWORDS)
+
+    found = registered._through_store(spark, files.repartition(2), records, "found", at_once=10, per_part=5, lanes=2)
+    assert sorted(r["path"] for r in found.collect()) == [f"/in/{i + 100}.fits" for i in range(40)]
