@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
+
 from sunloom.plans import images
 from sunloom.session import materialise, shared_folder
 from sunloom.streaming.flows import stream_images
@@ -41,6 +43,34 @@ def test_arriving_images_are_registered_once(spark, tmp_path):
     assert scratch() <= before
 
 
+def test_a_batch_of_images_done_again_has_the_same_files(spark, tmp_path):
+    landing, state = tmp_path / "in", str(tmp_path / "state")
+    (landing / "day").mkdir(parents=True)
+    taken, fails = [], [True]
+
+    def store(units):
+        taken.append(sorted(r["path"].rsplit("/", 1)[-1] for r in units.collect()))
+        if fails and fails.pop():
+            raise RuntimeError("cut short")
+
+    def run():
+        stream_images(spark, str(landing), "*.fts", store, state, once=True).awaitTermination()
+
+    (landing / "a.fts").write_bytes(b"no image")
+    (landing / "day" / "b.fts").write_bytes(b"no image")
+    with pytest.raises(Exception, match="cut short"):
+        run()
+    (landing / "c.fts").write_bytes(b"no image")
+    run()
+    # What arrived in between is the next batch; then nothing is left, and no batch is handed on.
+    run()
+    run()
+    assert taken[:2] == [["a.fts", "b.fts"]] * 2 and taken[2:] == [["c.fts"]]
+    # Files of batches are kept in the store, not in the log of a source on the driver.
+    assert len(list((tmp_path / "state" / "arrived").glob("batch-*"))) == 2
+    assert not list((tmp_path / "state").glob("sources/0/0"))
+
+
 def test_partial_bins_merge_to_the_batch(spark, tmp_path):
     from datetime import datetime, timedelta
 
